@@ -67,15 +67,12 @@ def purge_superseded(
 ) -> DataFrame:
     """Drop versions that are both superseded and older than the retention.
 
-    Young versions pass untouched.  Of the old ones only the newest per key can
-    survive, and only where no young version exists, so the shuffle carries one
-    row per key and input partition even when one key holds most versions.
+    Young versions pass untouched, without a shuffle.  An old version stays only
+    where it is the newest of its key; that search sends one row per key and
+    input partition, even when one key holds most versions.
     """
     now = as_of if isinstance(as_of, Column) else F.lit(as_of)
     cutoff = now - F.make_dt_interval(hours=F.lit(retention_hours))
     stamp = F.col("_ingestion_timestamp")
-    young = df.where(stamp >= cutoff)
-    old = latest_version(df.where(stamp < cutoff), keys, newest)
-    young_keys = young.select(*[F.col(k).alias(f"_young_{k}") for k in keys]).distinct()
-    same_key = [F.col(k).eqNullSafe(F.col(f"_young_{k}")) for k in keys]
-    return young.unionByName(old.join(young_keys, same_key, "left_anti"))
+    old_newest = latest_version(df, keys, newest).where(stamp < cutoff)
+    return df.where(stamp >= cutoff).unionByName(old_newest)

@@ -28,20 +28,17 @@ def _by_date() -> WindowSpec:
 
 def daily_returns(df: DataFrame) -> DataFrame:
     """Add ``daily_return_pct`` against the previous bar's close; NULL on the first."""
-    return df.withColumn(
-        "daily_return_pct", pct_change(F.col("close"), F.lag("close").over(_by_date()))
+    return (
+        df.withColumn("_previous", F.lag("close").over(_by_date()))
+        .withColumn("daily_return_pct", pct_change(F.col("close"), F.col("_previous")))
+        .drop("_previous")
     )
 
 
-def moving_average(
-    df: DataFrame,
-    name: str,
-    days: int,
-    frame: str = "calendar",
-    average_as: str | None = None,
-    min_periods: int = 1,
-) -> DataFrame:
-    """Add the mean close over the last ``days``; early rows average what exists.
+def mean_close(
+    days: int, frame: str = "calendar", average_as: str | None = None, min_periods: int = 1
+) -> Column:
+    """Mean close over the last ``days``; early rows average what exists.
 
     ``average_as`` names a decimal type to sum the closes in, which makes the
     sum exact and so independent of order; by default they are summed as they
@@ -50,15 +47,19 @@ def moving_average(
     value = f"CAST(close AS {average_as})" if average_as else "close"
     total = over_history(f"sum({value})", days, frame).cast("double")
     count = over_history("count(close)", days, frame)
-    return df.withColumn(name, F.when(count >= max(min_periods, 1), total / count))
+    return F.when(count >= max(min_periods, 1), total / count)
 
 
 def moving_averages(
-    df: DataFrame, frame: str = "calendar", average_as: str | None = None
+    df: DataFrame,
+    frame: str = "calendar",
+    average_as: str | None = None,
+    days: Sequence[int] = (SHORT_DAYS, LONG_DAYS),
+    min_periods: int = 1,
 ) -> DataFrame:
-    """Add ``ma_50`` and ``ma_200``."""
-    return df.transform(moving_average, "ma_50", SHORT_DAYS, frame, average_as).transform(
-        moving_average, "ma_200", LONG_DAYS, frame, average_as
+    """Add ``ma_{n}`` for each length in ``days``."""
+    return df.withColumns(
+        {f"ma_{n}": mean_close(n, frame, average_as, min_periods) for n in days}
     )
 
 
@@ -77,7 +78,8 @@ def daily_bars(
 ) -> DataFrame:
     """Ticks -> one bar per (date, symbol): first, highest, lowest, last price, total size.
 
-    ``order`` must order the ticks of a day totally.  Partial aggregation runs
+    ``order`` must order the ticks of a day totally, up to price among several
+    columns.  Partial aggregation runs
     before the shuffle, so a symbol with most of the ticks sends one row per
     day and input partition.
     """

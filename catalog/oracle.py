@@ -389,6 +389,14 @@ FROM (
   FROM (SELECT symbol, min(date) AS lo, max(date) AS hi FROM bars GROUP BY symbol)
 ) g ANTI JOIN bars ON g.symbol = bars.symbol AND g.date = bars.date""",
     ),
+    "profile_columns": _with(
+        BARS,
+        " UNION ALL ".join(
+            f"""SELECT '{name}' AS "column", count(*) AS rows, count(*) - count({name}) AS missing,
+  CAST(min({name}) AS VARCHAR) AS smallest, CAST(max({name}) AS VARCHAR) AS largest FROM bars"""
+            for name in BAR.split(", ")
+        ),
+    ),
     "layer_counts": _with(
         DIRTY + GOLD.removeprefix(LINES),
         " UNION ALL ".join(

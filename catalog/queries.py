@@ -251,7 +251,7 @@ def daily_returns(spark: SparkSession, sf: str) -> DataFrame:
 def _average(days: int, frame: str) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
         name = f"ma_{days}"
-        rows = gold.moving_average(t.bars(spark, sf), name, days, frame, t.EXACT)
+        rows = gold.moving_averages(t.bars(spark, sf), frame, t.EXACT, days=(days,))
         return rows.select("date", "symbol", "close", name)
 
     return query
@@ -383,7 +383,9 @@ def missing_days(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def profile_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.profile_columns(t.bars(spark, sf))
+    """The exact columns of the profile; the approximate ones have no counterpart in SQL."""
+    profile = quality.profile_columns(t.bars(spark, sf))
+    return profile.select("column", "rows", "missing", "smallest", "largest")
 
 
 def _layers(spark: SparkSession, sf: str) -> dict[str, DataFrame]:

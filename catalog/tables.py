@@ -15,7 +15,7 @@ from barlake.operators.bronze import with_ingestion
 from barlake.operators.gold import daily_bars, gold_layer
 from barlake.operators.silver import NEWEST
 
-TICK_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "price")
+TICK_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 EVENT_ORDER = ("ts", "event_id")
 # Versions of one bar share load times now and then; these make their order total.
 VERSION_ORDER = (*NEWEST, "l_linenumber", "l_partkey", "l_suppkey", "close")
