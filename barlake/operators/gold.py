@@ -147,6 +147,32 @@ def gold_layer(
     )
 
 
+def _first_touched(touched: DataFrame) -> DataFrame:
+    """Per symbol its first touched date and the first date whose close its frames can reach."""
+    first = touched.groupBy("symbol").agg(F.min("date").alias("_from"))
+    return first.withColumn("_edge", F.date_sub("_from", LONG_DAYS - 1))
+
+
+def _recent(silver: DataFrame, first: DataFrame) -> DataFrame:
+    """Touched symbols' rows from the reach of their frames on; other dates are pruned."""
+    return silver.where(F.col("date") >= first.select(F.min("_edge")).scalar()).join(
+        first, "symbol"
+    ).where(F.col("date") >= F.col("_edge"))
+
+
+def idle_symbols(silver: DataFrame, touched: DataFrame) -> DataFrame:
+    """Touched symbols whose returns may need a close from before the reach of their frames.
+
+    The deviation reads the returns of ``VOLATILITY_DAYS``; a bar between the
+    reach of the longest frame and those days is the previous bar of the first.
+    """
+    first = _first_touched(touched)
+    busy = _recent(silver, first).where(
+        F.col("date") < F.date_sub("_from", VOLATILITY_DAYS - 1)
+    )
+    return first.select("symbol").join(busy.select("symbol").distinct(), "symbol", "left_anti")
+
+
 def gold_tail(
     silver: DataFrame,
     touched: DataFrame,
@@ -154,28 +180,32 @@ def gold_tail(
     average_as: str | None = None,
     order: Sequence[str] = NEWEST,
     run_ts: Column | None = None,
+    idle: Sequence[str] | None = None,
 ) -> DataFrame:
     """Gold rows that change when the (symbol, date) pairs in ``touched`` change.
 
     For each touched symbol these are its rows from the first touched date on.
     They are computed from the longest frame before that date plus one carried
     row per symbol, the last bar before the frame, which only ``lag`` reads; so
-    the result equals that of a full run even across a long gap.  With
-    ``frame="rows"`` a frame has no calendar bound and the touched symbols'
-    whole history is read.
+    the result equals that of a full run even across a long gap.  ``idle`` names
+    the symbols that need a carried row, if known (``idle_symbols``): then no
+    other symbol's history is read.  With ``frame="rows"`` a frame has no
+    calendar bound and the touched symbols' whole history is read.
     """
-    first = touched.groupBy("symbol").agg(F.min("date").alias("_from"))
-    mine = silver.join(first, "symbol")
+    first = _first_touched(touched)
     if frame == "calendar":
-        edge = F.date_sub("_from", LONG_DAYS - 1)
-        earliest = F.date_sub(F.min("_from"), LONG_DAYS - 1).alias("_edge")
-        recent = silver.where(F.col("date") >= first.select(earliest).scalar()).join(first, "symbol")
-        carried = (
-            mine.where(F.col("date") < edge)
-            .groupBy("symbol", "_from")
-            .agg(F.max("date").alias("date"), F.max_by("close", "date").alias("close"))
-        )
-        mine = recent.where(F.col("date") >= edge).unionByName(carried, allowMissingColumns=True)
+        mine = _recent(silver, first)
+        if idle is None or len(idle) > 0:
+            past = silver if idle is None else silver.where(F.col("symbol").isin(list(idle)))
+            carried = (
+                past.join(first, "symbol")
+                .where(F.col("date") < F.col("_edge"))
+                .groupBy("symbol", "_from")
+                .agg(F.max("date").alias("date"), F.max_by("close", "date").alias("close"))
+            )
+            mine = mine.unionByName(carried, allowMissingColumns=True)
+    else:
+        mine = silver.join(first, "symbol")
     return (
         mine.transform(daily_returns)
         .transform(moving_averages, frame, average_as)

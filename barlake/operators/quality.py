@@ -12,6 +12,10 @@ from barlake.functions import any_missing, missing
 from barlake.operators.silver import CRITICAL, KEYS
 
 
+# Tasks that merge the profile sketches of all input partitions.
+MERGE_SLOTS = 1000
+
+
 def _long_form(df: DataFrame, structs: Sequence) -> DataFrame:
     """Turn one aggregated row into one row per struct."""
     return df.agg(F.array(*structs).alias("_all")).select(F.inline("_all"))
@@ -140,30 +144,44 @@ def calendar_grid(bars: DataFrame) -> DataFrame:
 def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Per column: rows, missing values, smallest and largest value, distinct values, quartiles.
 
-    One pass with bounded buffers; distinct values and quartiles are approximate.
+    One pass; distinct values (HLL) and quartiles (KLL) come from sketches of
+    bounded size.  The sketches of the input partitions are merged in up to
+    ``MERGE_SLOTS`` tasks before the last merge, so that the final task reads
+    that many sketches per column, not one per input partition.
     """
-    structs = []
-    for name in columns or df.columns:
-        numeric = isinstance(df.schema[name].dataType, NumericType)
-        quartiles = (
-            F.transform(
-                F.percentile_approx(name, [0.25, 0.5, 0.75], 10000), lambda v: v.cast("double")
-            )
-            if numeric
-            else F.lit(None).cast("array<double>")
-        )
-        structs.append(
-            F.struct(
-                F.lit(name).alias("column"),
-                F.count(F.lit(1)).alias("rows"),
-                F.count_if(missing(df, name)).alias("missing"),
-                F.min(name).cast("string").alias("smallest"),
-                F.max(name).cast("string").alias("largest"),
-                F.approx_count_distinct(name).alias("approx_distinct"),
-                quartiles.alias("approx_quartiles"),
-            )
+    names = list(columns or df.columns)
+    numeric = {n for n in names if isinstance(df.schema[n].dataType, NumericType)}
+    sketches = [F.count(F.lit(1)).alias("rows")]
+    for i, name in enumerate(names):
+        value = F.when(~missing(df, name), F.col(name))
+        sketches += [
+            F.count_if(missing(df, name)).alias(f"missing_{i}"),
+            F.min(value).alias(f"smallest_{i}"),
+            F.max(value).alias(f"largest_{i}"),
+            F.hll_sketch_agg(F.when(value.isNotNull(), F.xxhash64(value))).alias(f"hll_{i}"),
+        ]
+        if name in numeric:
+            sketches.append(F.kll_sketch_agg_double(value.cast("double")).alias(f"kll_{i}"))
+    merged = df.groupBy((F.spark_partition_id() % MERGE_SLOTS).alias("_slot")).agg(*sketches)
+
+    def profile(i, name):
+        present = F.sum("rows") - F.sum(f"missing_{i}")
+        quartiles = F.lit(None).cast("array<double>")
+        if name in numeric:
+            at = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+            merged_kll = F.kll_merge_agg_double(f"kll_{i}")
+            quartiles = F.when(present > 0, F.kll_sketch_get_quantile_double(merged_kll, at))
+        return F.struct(
+            F.lit(name).alias("column"),
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(f"missing_{i}"), F.lit(0)).alias("missing"),
+            F.min(f"smallest_{i}").cast("string").alias("smallest"),
+            F.max(f"largest_{i}").cast("string").alias("largest"),
+            F.hll_sketch_estimate(F.hll_union_agg(f"hll_{i}")).alias("approx_distinct"),
+            quartiles.alias("approx_quartiles"),
         )
-    return _long_form(df, structs)
+
+    return _long_form(merged, [profile(i, name) for i, name in enumerate(names)])
 
 
 def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:

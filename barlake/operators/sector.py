@@ -58,16 +58,23 @@ def sector_rollup(enriched: DataFrame, dim: DataFrame) -> DataFrame:
     """Volume, bars and mean return per symbol, per sector and overall.
 
     ``level`` is 0 for a symbol row, 1 for a sector row, 3 for the total, so a
-    NULL sector of unknown symbols is told apart from a total.
+    NULL sector of unknown symbols is told apart from a total.  Bars are summed
+    per symbol first: the join and the roll-up see one row per symbol.
     """
+    per_symbol = enriched.groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("_bars"),
+        F.sum("volume").alias("_volume"),
+        F.sum("daily_return_pct").alias("_returned"),
+        F.count("daily_return_pct").alias("_returns"),
+    )
     return (
-        with_sector(enriched, dim)
+        with_sector(per_symbol, dim)
         .rollup("sector", "symbol")
         .agg(
             F.grouping_id().cast("int").alias("level"),
-            F.count(F.lit(1)).alias("bars"),
-            F.sum("volume").alias("volume"),
-            F.avg("daily_return_pct").alias("mean_return"),
+            F.sum("_bars").alias("bars"),
+            F.sum("_volume").alias("volume"),
+            F.try_divide(F.sum("_returned"), F.sum("_returns")).alias("mean_return"),
         )
     )
 

@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barlake.functions.expressions import DateLike
 from barlake.operators.bronze import append_bronze, with_ingestion
-from barlake.operators.gold import LONG_DAYS, gold_layer, gold_tail
-from barlake.operators.retention import GOLD_DAYS, SILVER_DAYS, cut_layer
+from barlake.operators.gold import gold_layer, gold_tail, idle_symbols
+from barlake.operators.retention import cut_layer
 from barlake.operators.silver import NEWEST, new_rows, silver_layer, upsert_latest
 from barlake.sources.layers import merge_layer, read_layer, write_layer
 from barlake.sources.scratch import path_exists, scratch_path
 
+# Idle symbols up to this many are named as literals, which prune the scan of
+# their history; more of them are found by a join over all touched symbols.
+MAX_LISTED_SYMBOLS = 1000
+
 
 def layer_path(paths: Mapping[str, str], layer: str) -> str:
     """Where a layer is stored; the scheme of the path picks the store."""
@@ -99,7 +103,9 @@ def refresh_gold(
     The stored rows of a touched partition that are not recomputed stay.
     """
     silver = read_layer(spark, layer_path(paths, "silver"))
-    tail = gold_tail(silver, touched, average_as=average_as)
+    listed = [r[0] for r in idle_symbols(silver, touched).take(MAX_LISTED_SYMBOLS + 1)]
+    idle = listed if len(listed) <= MAX_LISTED_SYMBOLS else None
+    tail = gold_tail(silver, touched, average_as=average_as, idle=idle)
 
     def recomputed_first(existing: DataFrame, batch: DataFrame) -> DataFrame:
         return batch.unionByName(new_rows(batch, existing), allowMissingColumns=True)

@@ -32,7 +32,9 @@ def read_bars(
     Without ``start`` the range is the 365 days up to ``end``; without ``end``
     it ends at ``as_of`` (default: today).  Text formats are read permissively:
     a field that does not parse is NULL and the raw record is kept in
-    ``_corrupt_record``.  No row in the range at all raises ``ValueError``.
+    ``_corrupt_record``.  A requested symbol without rows is no error
+    (``absent_symbols`` lists them); no row in the range at all raises
+    ``ValueError``.
     """
     last = date_bound(end or as_of or dt.date.today())
     first = date_bound(start) if start is not None else last - dt.timedelta(days=365)
@@ -55,6 +57,12 @@ def read_bars(
     return bars
 
 
+def absent_symbols(bars: DataFrame, symbols: Sequence[str]) -> DataFrame:
+    """The requested symbols that have no bar at all."""
+    wanted = bars.sparkSession.createDataFrame([(s,) for s in symbols], "symbol string")
+    return wanted.join(bars.select("symbol").distinct(), "symbol", "left_anti")
+
+
 def _source_schema(rename: Mapping[str, str] | None) -> StructType:
     """The declared bar schema under the names the source files use."""
     source_name = {target: source for source, target in (rename or {}).items()}

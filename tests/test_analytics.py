@@ -90,9 +90,11 @@ def test_gold_tail_equals_full_run(spark, frame):
     full = gold.gold_layer(silver, frame).where(
         f"(symbol = 'A' AND date >= date'{day(300)}') OR (symbol = 'GAP' AND date >= date'{day(400)}')"
     )
-    tail = gold.gold_tail(silver, touched, frame)
-    assert same_rows(tail.drop("_gold_timestamp"), full.drop("_gold_timestamp"))
-    assert tail.count() == 23
+    assert column(gold.idle_symbols(silver, touched), "symbol", "symbol") == ["GAP"]
+    for idle in (None, ["GAP"]):
+        tail = gold.gold_tail(silver, touched, frame, idle=idle)
+        assert same_rows(tail.drop("_gold_timestamp"), full.drop("_gold_timestamp"))
+        assert tail.count() == 23
 
 
 def test_features(spark):
@@ -293,6 +295,10 @@ def test_profile(spark):
     exact = df.agg(F.percentile("close", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))).first()[0]
     assert [low, middle, high] == pytest.approx(exact, abs=0.5)
     assert got["date"].smallest == "2024-01-01" and got["symbol"].approx_quartiles is None
+    gaps = df.select(F.lit(None).cast("double").alias("a"), F.lit(float("nan")).alias("b"))
+    got = {r.column: r for r in quality.profile_columns(gaps).collect()}
+    assert all(r.missing == 2000 and r.smallest is None and r.approx_quartiles is None for r in got.values())
+    assert {r.rows for r in quality.profile_columns(df.where("false")).collect()} == {0}
 
 
 def test_layer_metrics(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from barlake.operators import bronze, silver
 from barlake.schemas import BRONZE, GOLD, OHLC, SILVER, SYMBOL_META, conform
-from barlake.sources.files import read_bars, sample_bars, union_sources
+from barlake.sources.files import absent_symbols, read_bars, sample_bars, union_sources
 from barlake.sources.layers import read_layer, write_layer
 from barlake.sources.scratch import scratch_path
 from util import LOADED, bars, column, day, loaded, one, same_rows, versions
@@ -64,6 +64,7 @@ def test_read_bars_csv_keeps_broken_records_and_filters(spark, tmp_path):
     df = read_bars(spark, str(tmp_path), symbols=["A"], as_of="2024-06-30", rename=rename)
     assert column(df, "close") == [1.5, None]
     assert "oops" in column(df, "_corrupt_record")[1]
+    assert column(absent_symbols(df, ["A", "B", "C"]), "symbol", "symbol") == ["B", "C"]
     with pytest.raises(ValueError):
         read_bars(spark, str(tmp_path), symbols=["C"], as_of="2024-06-30", rename=rename)
 
