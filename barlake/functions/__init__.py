@@ -5,6 +5,7 @@ from barlake.functions.expressions import (
     date_bound,
     day_between,
     missing,
+    moment,
     over_history,
     pct_change,
 )
@@ -16,6 +17,7 @@ __all__ = [
     "day_between",
     "grouped_median",
     "missing",
+    "moment",
     "over_history",
     "pct_change",
 ]

@@ -38,6 +38,13 @@ def date_bound(value: DateLike) -> dt.date:
     return value if isinstance(value, dt.date) else dt.date.fromisoformat(value)
 
 
+def moment(value: dt.datetime | Column) -> Column:
+    """A timestamp; a naive datetime is read in the session's time zone."""
+    if isinstance(value, Column):
+        return value
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp")
+
+
 def day_between(
     start: DateLike | None = None, end: DateLike | None = None, column: str = "date"
 ) -> Column:

@@ -7,14 +7,14 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from barlake.functions import moment
 from barlake.operators.silver import KEYS, NEWEST, latest_version
 from barlake.sources.layers import read_layer, write_layer
 
 
 def with_ingestion(df: DataFrame, batch_ts: dt.datetime | Column | None = None) -> DataFrame:
     """Stamp rows with load time and load date; pass ``batch_ts`` to replay a run."""
-    stamp = F.current_timestamp() if batch_ts is None else batch_ts
-    stamp = stamp if isinstance(stamp, Column) else F.lit(stamp)
+    stamp = F.current_timestamp() if batch_ts is None else moment(batch_ts)
     return df.withColumn("_ingestion_timestamp", stamp.cast("timestamp")).withColumn(
         "_ingestion_date", F.to_date("_ingestion_timestamp")
     )
@@ -49,13 +49,13 @@ def distinct_symbols(df: DataFrame) -> DataFrame:
 
 def bronze_as_of(
     df: DataFrame,
-    moment: dt.datetime | Column,
+    as_of: dt.datetime | Column,
     keys: Sequence[str] = KEYS,
     newest: Sequence[str] = NEWEST,
 ) -> DataFrame:
-    """The table as it stood at ``moment``: versions loaded by then, newest per key."""
-    limit = moment if isinstance(moment, Column) else F.lit(moment)
-    return latest_version(df.where(F.col("_ingestion_timestamp") <= limit), keys, newest)
+    """The table as it stood at ``as_of``: versions loaded by then, newest per key."""
+    loaded = F.col("_ingestion_timestamp") <= moment(as_of)
+    return latest_version(df.where(loaded), keys, newest)
 
 
 def purge_superseded(
@@ -71,8 +71,7 @@ def purge_superseded(
     where it is the newest of its key; that search sends one row per key and
     input partition, even when one key holds most versions.
     """
-    now = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    cutoff = now - F.make_dt_interval(hours=F.lit(retention_hours))
+    cutoff = moment(as_of) - F.make_dt_interval(hours=F.lit(retention_hours))
     stamp = F.col("_ingestion_timestamp")
     old_newest = latest_version(df, keys, newest).where(stamp < cutoff)
     return df.where(stamp >= cutoff).unionByName(old_newest)

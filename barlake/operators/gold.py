@@ -70,6 +70,25 @@ def volatility(df: DataFrame, days: int = VOLATILITY_DAYS, frame: str = "calenda
     )
 
 
+def _first_and_last(
+    order: Sequence[str], firsts: Sequence[str], lasts: Sequence[str]
+) -> tuple[dict[str, Column], dict[str, Column]]:
+    """Aggregates for the first and the last row of a group by ``order``, per column.
+
+    A single order column keeps the buffers fixed-width, so Spark aggregates by
+    hash.  Several columns need a struct, which Spark aggregates by sorting; one
+    struct then carries all values of a row.
+    """
+    if len(order) == 1:
+        return (
+            {c: F.min_by(c, order[0]) for c in firsts},
+            {c: F.max_by(c, order[0]) for c in lasts},
+        )
+    packed = lambda columns: F.struct(*order, *[F.col(c).alias(f"_{c}") for c in columns])
+    earliest, latest = F.min(packed(firsts)), F.max(packed(lasts))
+    return {c: earliest[f"_{c}"] for c in firsts}, {c: latest[f"_{c}"] for c in lasts}
+
+
 def daily_bars(
     ticks: DataFrame,
     order: Sequence[str],
@@ -84,20 +103,14 @@ def daily_bars(
     day and input partition.
     """
     volume = F.count(F.lit(1)) if size is None else F.sum(size).cast("bigint")
-    if len(order) == 1:  # fixed-width buffers: Spark aggregates by hash
-        opening = F.min_by(price, order[0])
-        closing = F.max_by(price, order[0])
-    else:
-        first_to_last = F.struct(*order, F.col(price).alias("_price"))
-        opening = F.min(first_to_last)["_price"]
-        closing = F.max(first_to_last)["_price"]
+    first, last = _first_and_last(order, (price,), (price,))
     return (
         ticks.groupBy("date", "symbol")
         .agg(
-            opening.alias("open"),
+            first[price].alias("open"),
             F.max(price).alias("high"),
             F.min(price).alias("low"),
-            closing.alias("close"),
+            last[price].alias("close"),
             volume.alias("volume"),
         )
         .withColumn("adjusted_close", F.col("close"))
@@ -111,19 +124,19 @@ def daily_summary(df: DataFrame, order: Sequence[str] = NEWEST) -> DataFrame:
     After the per-symbol windows the rows are already spread by symbol, which
     this grouping accepts: it adds no shuffle.
     """
-    key = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    first = lambda c: F.min_by(c, key)
-    last = lambda c: F.max_by(c, key)
+    first, last = _first_and_last(
+        order, ("open", "daily_return_pct"), ("close", "ma_50", "ma_200", "volatility_30d")
+    )
     return df.groupBy("date", "symbol").agg(
-        first("open").alias("daily_open"),
+        first["open"].alias("daily_open"),
         F.max("high").alias("daily_high"),
         F.min("low").alias("daily_low"),
-        last("close").alias("daily_close"),
+        last["close"].alias("daily_close"),
         F.sum("volume").alias("daily_volume"),
-        first("daily_return_pct").alias("daily_return_pct"),
-        last("ma_50").alias("ma_50_day"),
-        last("ma_200").alias("ma_200_day"),
-        last("volatility_30d").alias("volatility_30d"),
+        first["daily_return_pct"].alias("daily_return_pct"),
+        last["ma_50"].alias("ma_50_day"),
+        last["ma_200"].alias("ma_200_day"),
+        last["volatility_30d"].alias("volatility_30d"),
     )
 
 

@@ -38,17 +38,21 @@ def read_bars(
     """
     last = date_bound(end or as_of or dt.date.today())
     first = date_bound(start) if start is not None else last - dt.timedelta(days=365)
-    reader = spark.read.format(fmt).options(**dict(options or {}))
+    options = dict(options or {})
+    reader = spark.read.format(fmt).options(**options)
     if fmt in ("csv", "json"):
-        declared = _source_schema(rename).add(StructField(CORRUPT, StringType(), True))
+        names = None
+        if fmt == "csv":  # Spark matches CSV columns by position: take the order from the header
+            options["header"] = True
+            names = spark.read.format(fmt).options(**options).load(_listed(paths)).columns
+            # A file with another header order fails instead of being misread.
+            reader = reader.option("header", True).option("enforceSchema", False)
         reader = (
-            reader.schema(declared)
+            reader.schema(_source_schema(rename, names).add(CORRUPT, StringType()))
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
         )
-        if fmt == "csv":
-            reader = reader.option("header", True).option("enforceSchema", False)
-    raw = reader.load(list(paths) if not isinstance(paths, str) else paths)
+    raw = reader.load(_listed(paths))
     bars = conform(raw, OHLC, rename, keep_extra=True).where(day_between(first, last))
     if symbols is not None:
         bars = bars.where(F.col("symbol").isin(list(symbols)))
@@ -63,12 +67,24 @@ def absent_symbols(bars: DataFrame, symbols: Sequence[str]) -> DataFrame:
     return wanted.join(bars.select("symbol").distinct(), "symbol", "left_anti")
 
 
-def _source_schema(rename: Mapping[str, str] | None) -> StructType:
-    """The declared bar schema under the names the source files use."""
-    source_name = {target: source for source, target in (rename or {}).items()}
-    return StructType(
-        [StructField(source_name.get(f.name, f.name), f.dataType, True) for f in OHLC.fields]
-    )
+def _listed(paths: str | Sequence[str]) -> str | list[str]:
+    return paths if isinstance(paths, str) else list(paths)
+
+
+def _source_schema(
+    rename: Mapping[str, str] | None, names: Sequence[str] | None = None
+) -> StructType:
+    """The declared bar types under the names, and in the order, of the source files.
+
+    Source columns that are no part of a bar are read as text.
+    """
+    target = {source.lower(): name.lower() for source, name in (rename or {}).items()}
+    if names is None:
+        source = {name: s for s, name in (rename or {}).items()}
+        names = [source.get(field.name, field.name) for field in OHLC.fields]
+    kinds = {field.name: field.dataType for field in OHLC.fields}
+    kind = lambda name: kinds.get(target.get(name.lower(), name.lower()), StringType())
+    return StructType([StructField(name, kind(name), True) for name in names])
 
 
 def union_sources(frames: Sequence[DataFrame]) -> DataFrame:

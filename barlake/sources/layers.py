@@ -52,7 +52,7 @@ def write_layer(
     written = Observation()
     out = (
         df.hint("rebalance", F.col(column))
-        .sortWithinPartitions(column, "symbol", "date")
+        .sortWithinPartitions(column, "symbol", *(["date"] if column == MONTH else []))
         .observe(  # behind the shuffle, so a map stage that runs again counts nothing twice
             written,
             F.count(F.lit(1)).alias("rows"),

@@ -218,7 +218,7 @@ FROM (SELECT symbol, min(date) AS lo, max(date) AS hi FROM bars GROUP BY symbol)
     ),
     "bronze_rows": _with(BARS, f"SELECT {BAR}, DATE '2001-11-05' AS _ingestion_date FROM bars"),
     "read_bronze_eq": _with(
-        BARS, f"SELECT {BAR} FROM bars WHERE symbol = 'NATION_7' AND volume = 25"
+        BARS, f"SELECT {BAR} FROM bars WHERE symbol = 'NATION_19'"
     ),
     "read_silver_range": _with(
         BARS,
@@ -293,7 +293,7 @@ FROM bars""",
     "stock_history": _with(
         GOLD,
         f"""SELECT {GOLD_COLUMNS} FROM gold
-WHERE symbol = 'NATION_7' AND date BETWEEN DATE '2000-11-04' AND DATE '2001-11-04'
+WHERE symbol = 'NATION_19' AND date BETWEEN DATE '2000-11-04' AND DATE '2001-11-04'
 ORDER BY date DESC LIMIT 100""",
     ),
     "stock_performance": _with(
@@ -323,7 +323,7 @@ FROM gold QUALIFY place <= 5""",
         GOLD,
         """SELECT symbol, date, daily_close, daily_return_pct, ma_50_day, ma_200_day,
   CAST(floor(volatility_30d * 10000) AS BIGINT) AS volatility_e4
-FROM gold WHERE symbol = 'NATION_7' AND date >= DATE '1999-01-01'""",
+FROM gold WHERE symbol = 'NATION_19' AND date >= DATE '1999-01-01'""",
     ),
     "avg_return_by_symbol": _with(
         GOLD,

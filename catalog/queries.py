@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from barlake.functions import moment
 from barlake.operators import bronze, gold, quality, retention, sector, serving, silver
 from barlake.plans import jobs
 from barlake.plans.sql import sql_over_layers
@@ -34,7 +35,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 BAR = ("date", "symbol", "open", "high", "low", "close", "adjusted_close", "volume")
 VERSION_TIME = dt.datetime(1999, 6, 30, 0, 30)
-SYMBOL = "NATION_7"
+SYMBOL = "NATION_19"
 
 
 def e4(column: Column | str) -> Column:
@@ -80,8 +81,8 @@ def daily_summary(spark: SparkSession, sf: str) -> DataFrame:
 def ingest_bars(spark: SparkSession, sf: str) -> DataFrame:
     """Bars landed as CSV under a vendor's column names, read back for some symbols and a range."""
     landed = scratch_path(spark, "landed")
-    renamed = {"Date": "date", "Symbol": "symbol", "Open": "open", "High": "high", "Low": "low",
-               "Close": "close", "Adj Close": "adjusted_close", "Volume": "volume"}
+    renamed = {"Date": "date", "Open": "open", "High": "high", "Low": "low", "Close": "close",
+               "Adj Close": "adjusted_close", "Volume": "volume", "Symbol": "symbol"}
     vendor = t.bars(spark, sf).select(*[F.col(ours).alias(theirs) for theirs, ours in renamed.items()])
     vendor.write.option("header", True).csv(landed)
     return _bars_only(
@@ -150,7 +151,8 @@ def bronze_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def read_bronze_eq(spark: SparkSession, sf: str) -> DataFrame:
     stored = _stored_bronze(spark, sf)
-    return _bars_only(bronze.read_bronze(spark, stored, {"symbol": SYMBOL, "volume": 25}))
+    equal = {"symbol": SYMBOL, "_ingestion_date": t.LOADED_AT.date()}
+    return _bars_only(bronze.read_bronze(spark, stored, equal))
 
 
 def read_silver_range(spark: SparkSession, sf: str) -> DataFrame:
@@ -228,7 +230,7 @@ def null_rows(spark: SparkSession, sf: str) -> DataFrame:
 def upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
     """Versions loaded by a moment merged with those loaded after it."""
     rows = t.versions(spark, sf)
-    by_then = F.col("_ingestion_timestamp") <= F.lit(VERSION_TIME)
+    by_then = F.col("_ingestion_timestamp") <= moment(VERSION_TIME)
     target = silver.latest_version(rows.where(by_then), newest=t.VERSION_ORDER)
     return _bars_only(silver.upsert_latest(target, rows.where(~by_then), newest=t.VERSION_ORDER))
 

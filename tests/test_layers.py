@@ -53,22 +53,29 @@ def test_sample_bars_shape_and_relations(spark):
 
 def test_read_bars_csv_keeps_broken_records_and_filters(spark, tmp_path):
     (tmp_path / "a.csv").write_text(
-        "Date,Symbol,Open,High,Low,Close,Adj Close,Volume\n"
-        "2024-01-01,A,1,2,0.5,1.5,1.5,100\n"
-        "2024-01-02,A,1,2,0.5,oops,1.5,100\n"
-        "2024-01-02,B,1,2,0.5,1.7,1.5,100\n"
-        "2022-01-02,A,1,2,0.5,1.9,1.5,100\n"
+        "Date,Open,High,Low,Close,Adj Close,Volume,Note,Symbol\n"
+        "2024-01-01,1,2,0.5,1.5,1.25,100,n1,A\n"
+        "2024-01-02,1,2,0.5,oops,1.5,100,n2,A\n"
+        "2024-01-02,1,2,0.5,1.7,1.5,100,n3,B\n"
+        "2022-01-02,1,2,0.5,1.9,1.5,100,n4,A\n"
     )
-    rename = {"Adj Close": "adjusted_close", "Date": "date", "Symbol": "symbol", "Open": "open",
-              "High": "high", "Low": "low", "Close": "close", "Volume": "volume"}
+    rename = {"Adj Close": "adjusted_close"}
     df = read_bars(spark, str(tmp_path), symbols=["A"], as_of="2024-06-30", rename=rename)
     assert column(df, "close") == [1.5, None]
+    assert column(df, "adjusted_close")[0] == 1.25 and column(df, "Note") == ["n1", "n2"]
     assert "oops" in column(df, "_corrupt_record")[1]
     assert column(absent_symbols(df, ["A", "B", "C"]), "symbol", "symbol") == ["B", "C"]
     with pytest.raises(ValueError):
         read_bars(spark, str(tmp_path), symbols=["C"], as_of="2024-06-30", rename=rename)
 
 
+def test_read_bars_refuses_files_with_differing_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("date,symbol,close\n2024-01-01,A,1\n")
+    (tmp_path / "b.csv").write_text("symbol,date,close\nB,2024-01-01,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_bars(spark, str(tmp_path), as_of="2024-06-30").collect()
+
+
 def test_read_bars_json(spark, tmp_path):
     path = str(tmp_path / "json")
     bars(spark, [1, 2, 3]).write.json(path)
