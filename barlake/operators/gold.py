@@ -97,10 +97,10 @@ def daily_bars(
 ) -> DataFrame:
     """Ticks -> one bar per (date, symbol): first, highest, lowest, last price, total size.
 
-    ``order`` must order the ticks of a day totally, up to price among several
-    columns.  Partial aggregation runs
-    before the shuffle, so a symbol with most of the ticks sends one row per
-    day and input partition.
+    ``order`` must order the ticks of a day totally; among several order columns
+    the price breaks remaining ties.  Partial aggregation runs before the
+    shuffle, so a symbol with most of the ticks sends one row per day and input
+    partition.
     """
     volume = F.count(F.lit(1)) if size is None else F.sum(size).cast("bigint")
     first, last = _first_and_last(order, (price,), (price,))

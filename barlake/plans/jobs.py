@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from barlake.functions.expressions import DateLike
 from barlake.operators.bronze import append_bronze, with_ingestion
@@ -90,6 +90,14 @@ def run_full(
     return written
 
 
+def run_metrics(spark: SparkSession, written: Mapping[str, Mapping[str, object]]) -> DataFrame:
+    """What a run wrote, one row per layer, as counted by the writes themselves."""
+    rows = [(layer, m["rows"], m["first_date"], m["last_date"]) for layer, m in written.items()]
+    return spark.createDataFrame(
+        rows, "layer string, rows bigint, first_date date, last_date date"
+    )
+
+
 def refresh_gold(
     spark: SparkSession,
     paths: Mapping[str, str],

@@ -4,15 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from barlake.operators.bronze import with_ingestion
+from barlake.schemas import OHLC
+from barlake.sources.files import CORRUPT
 
 # Process what has arrived and stop; pass another trigger to keep running.
 AVAILABLE_NOW = {"availableNow": True}
 
 
+def parse_records(stream: DataFrame, schema: StructType = OHLC, column: str = "value") -> DataFrame:
+    """JSON messages, text or bytes as a message queue delivers them, to typed columns.
+
+    A field that does not parse is NULL and its message is kept in
+    ``_corrupt_record``.
+    """
+    optional = StructType([StructField(f.name, f.dataType, True) for f in schema.fields])
+    fields = F.from_json(
+        F.col(column).cast("string"),
+        optional.add(CORRUPT, StringType()),
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
+    )
+    return stream.select(fields.alias("_record")).select("_record.*")
+
+
 def start_bronze_append(
     stream: DataFrame,
     path: str,

@@ -131,7 +131,7 @@ GOLD_COLUMNS = """date, symbol, daily_open, daily_high, daily_low, daily_close,
 META = """updates AS (
   SELECT n_name AS symbol, s_name AS company_name, r_name AS sector,
          CASE WHEN s_acctbal >= 0 THEN CAST(s_acctbal AS DECIMAL(12,2)) END AS market_cap,
-         CASE WHEN s_acctbal >= 0 THEN DATE '1995-01-01' + CAST(s_suppkey * 37 % 2500 AS INTEGER) END AS updated_on
+         CASE WHEN s_acctbal >= 0 THEN DATE '1995-01-01' + CAST(floor(s_acctbal / 4) AS INTEGER) END AS updated_on
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 ), dim AS (
   SELECT * FROM updates

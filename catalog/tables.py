@@ -116,6 +116,7 @@ def dirty_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     discount = F.col("l_discount").cast("decimal(4,2)")
     tax = F.col("l_tax").cast("decimal(4,2)")
     loaded = F.col("l_shipdate").cast("timestamp") + F.make_dt_interval(secs=F.col("l_orderkey"))
+    sign = F.when((tax == 0.03) & (discount == 0.03), -1).otherwise(1)
     text = lambda c: c.cast("string")
     lines = traded_lines(spark, sf_dir).select(
         F.when(~((F.col("l_quantity") == 13) & (tax == 0)), F.col("date")).alias("date"),
@@ -129,7 +130,7 @@ def dirty_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(text(price))
         .alias("close"),
         text(price).alias("adjusted_close"),
-        text(F.when((tax == 0.03) & (discount == 0.03), -1).otherwise(1) * F.col("l_quantity").cast("bigint")).alias("volume"),
+        text(sign * F.col("l_quantity").cast("bigint")).alias("volume"),
         loaded.alias("_loaded"),
         "l_linenumber",
         "l_partkey",
@@ -139,12 +140,12 @@ def dirty_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw metadata updates: one per supplier, spread over the traded years by supplier key."""
+    """Raw metadata updates: one per supplier, spread over the traded years by its balance."""
     suppliers = table(spark, sf_dir, "supplier")
     nations = table(spark, sf_dir, "nation")
     regions = table(spark, sf_dir, "region")
     debtor = F.col("s_acctbal") < 0
-    day = F.date_add(F.lit(dt.date(1995, 1, 1)), (F.col("s_suppkey") * 37 % 2500).cast("int"))
+    day = F.date_add(F.lit(dt.date(1995, 1, 1)), F.floor(F.col("s_acctbal") / 4).cast("int"))
     return (
         suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(regions, F.col("n_regionkey") == F.col("r_regionkey"))

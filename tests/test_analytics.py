@@ -143,7 +143,8 @@ def test_report_and_means(spark):
 
 def test_json_and_export(spark, tmp_path):
     rows = gold_rows(spark).select("symbol", "daily_volume")
-    assert all(set(json.loads(r.record)) == {"symbol", "daily_volume"} for r in serving.json_rows(rows).collect())
+    records = [json.loads(r.record) for r in serving.json_rows(rows).collect()]
+    assert all(set(r) == {"symbol", "daily_volume"} for r in records)
     for fmt in ("json", "csv"):
         path = str(tmp_path / fmt)
         serving.export(rows, path, fmt)

@@ -13,6 +13,7 @@ from barlake.sources.scratch import delete_path, path_exists
 from barlake.streaming import (
     bars_from_stream,
     dedup_stream,
+    parse_records,
     read_bar_log,
     start_bar_log,
     start_bronze_append,
@@ -36,6 +37,10 @@ def test_full_run_twice_changes_nothing_downstream(spark, tmp_path, partition):
     sample = sample_bars(spark, 2, 45, end="2024-02-14")
     written = jobs.run_full(spark, sample, paths, batch_ts=LOADED, partition=partition)
     assert [written[x]["rows"] for x in ("bronze", "silver", "gold")] == [90, 90, 90]
+    metrics = jobs.run_metrics(spark, written).collect()
+    assert {(m.layer, m.rows, m.last_date) for m in metrics} == {
+        (layer, 90, dt.date(2024, 2, 14)) for layer in ("bronze", "silver", "gold")
+    }
     before = stored_gold(spark, paths).collect()
     written = jobs.run_full(spark, sample, paths, batch_ts=LOADED, partition=partition)
     assert [written[x]["rows"] for x in ("bronze", "silver", "gold")] == [90, 90, 90]
@@ -147,6 +152,20 @@ def at(n, hour=10):
     return dt.datetime(2024, 1, 1, hour) + dt.timedelta(days=n)
 
 
+def test_messages_are_parsed_and_landed(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    good = '{"date":"2024-01-02","symbol":"A","open":1,"high":2,"low":1,"close":1.5,"volume":7}'
+    bad = '{"date":"2024-01-02","symbol":"B","close":"much"}'
+    spark.createDataFrame([(bytearray(m, "utf8"),) for m in (good, bad)], "value binary").write.parquet(
+        str(source)
+    )
+    messages = spark.readStream.schema("value binary").parquet(str(source))
+    start_bronze_append(parse_records(messages), out, str(tmp_path / "check")).awaitTermination()
+    got = spark.read.parquet(out)
+    assert column(got, "close", "symbol") == [1.5, None]
+    assert column(got, "_corrupt_record", "symbol") == [None, bad]
+
+
 def test_stream_dedup_drops_copies_and_late_events(spark, tmp_path):
     source, out, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
     land(spark, source, 0, [(at(0), "A", 1.0, 1, 1), (at(0), "A", 1.0, 1, 1), (at(5), "A", 2.0, 1, 2)])

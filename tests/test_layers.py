@@ -157,12 +157,17 @@ def test_duplicates_are_removed(spark):
 
 
 def test_a_hot_key_sends_one_row_per_input_partition(spark):
-    hot = versions(spark, [("HOT", 0, 1.0, EARLY, 0)]).crossJoin(spark.range(0, 30000, 1, 6))
-    rows = hot.withColumn("seq", F.col("id").cast("int")).drop("id")
+    rows = spark.range(0, 30000, 1, 6).select(
+        F.when(F.col("id") < 29990, "HOT").otherwise(F.concat(F.lit("S"), "id")).alias("symbol"),
+        F.lit(day(0)).alias("date"),
+        F.lit(EARLY).alias("_ingestion_timestamp"),
+        F.col("id").alias("seq"),
+    )
     latest = silver.latest_version(rows, newest=("_ingestion_timestamp", "seq"))
     plan = latest._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
-    assert one(latest)["seq"] == 29999
+    assert one(latest.where("symbol = 'HOT'"))["seq"] == 29989
+    assert latest.count() == 11
 
 
 def test_cast_and_gap_filter(spark):

@@ -1,9 +1,13 @@
 """Hot symbols: the plan shapes that keep them apart, and right results on skewed data."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from barlake.operators import gold, quality, sector, serving
-from util import bars, loaded, one
+from barlake.schemas import OHLC
+from barlake.sources.layers import write_layer
+from util import bars, day, loaded, one, same_rows
 
 
 def plan(df):
@@ -13,9 +17,10 @@ def plan(df):
 def skewed_ticks(spark):
     """Half of 60,000 ticks belong to one symbol, a third of them to one of its days."""
     n = F.col("id")
+    number = F.when(n % 6 < 2, 0).otherwise(n % 30).cast("int")
     return spark.range(0, 60_000, 1, 6).select(
         F.when(n % 2 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("S"), n % 50)).alias("symbol"),
-        F.date_add(F.lit("2024-01-01").cast("date"), F.when(n % 6 < 2, 0).otherwise(n % 30).cast("int")).alias("date"),
+        F.date_add(F.lit("2024-01-01").cast("date"), number).alias("date"),
         (F.abs(F.xxhash64("id")) % 10_000 / 100).alias("price"),
         F.lit(1).cast("bigint").alias("size"),
         n.alias("a"),
@@ -47,6 +52,42 @@ def test_hot_symbol_is_reduced_before_the_shuffle(spark):
         assert (bar.high, bar.low, bar.volume) == (max(prices), min(prices), len(prices))
 
 
+def test_a_hot_date_is_written_as_several_files(spark, tmp_path):
+    path = str(tmp_path / "hot")
+    rows = spark.range(0, 300_000, 1, 8).select(
+        F.lit("2024-01-01").cast("date").alias("date"),
+        F.concat(F.lit("S"), F.col("id")).alias("symbol"),
+        F.rand(1).alias("close"),
+    )
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "256k")
+    try:
+        assert write_layer(rows, path, "append")["rows"] == 300_000
+    finally:
+        spark.conf.set(name, before)
+    assert len(list((tmp_path / "hot" / "date=2024-01-01").glob("*.parquet"))) > 3
+
+
+def test_tail_equals_full_run_on_random_gaps(spark):
+    """Forty symbols, a third of all bars in one, gaps from a day to over a year."""
+    dice = random.Random(11)
+    rows, touched = [], []
+    for number in range(40):
+        symbol, at = f"S{number}", dice.randrange(50)
+        for _ in range(dice.randrange(1, 40) if number else 700):
+            rows.append((day(at), symbol, *[round(dice.uniform(1, 99), 2)] * 5, 1))
+            at += 1 if number == 0 else dice.choice([1, 1, 2, 3, 30, 90, 210, 400])
+        touched.append((symbol, rows[-dice.randrange(1, 8)][0] if number == 0 else day(at // 2)))
+    table = loaded(spark.createDataFrame(rows, OHLC))
+    touched = spark.createDataFrame(touched, "symbol string, date date")
+    first = touched.withColumnRenamed("date", "_from")
+    full = gold.gold_layer(table).join(first, "symbol").where("date >= _from").drop("_from")
+    for idle in (None, [r.symbol for r in gold.idle_symbols(table, touched).collect()]):
+        tail = gold.gold_tail(table, touched, idle=idle)
+        assert same_rows(tail.drop("_gold_timestamp"), full.drop("_gold_timestamp"))
+
+
 def test_top_per_day_limits_each_input_partition(spark):
     rows = gold.gold_layer(loaded(bars(spark, [1, 2, 3])))
     assert plan(serving.top_gainers_per_day(rows, 3)).count("WindowGroupLimit") == 2
