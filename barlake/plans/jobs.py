@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,7 +13,7 @@ from barlake.operators.gold import gold_layer, gold_tail, idle_symbols
 from barlake.operators.retention import cut_layer
 from barlake.operators.silver import NEWEST, new_rows, silver_layer, upsert_latest
 from barlake.sources.layers import merge_layer, read_layer, write_layer
-from barlake.sources.scratch import path_exists, scratch_path
+from barlake.sources.scratch import delete_path, path_exists, scratch_path
 
 # Idle symbols up to this many are named as literals, which prune the scan of
 # their history; more of them are found by a join over all touched symbols.
@@ -38,7 +38,7 @@ def run_bronze(
 
 
 def run_silver(
-    spark: SparkSession, paths: Mapping[str, str], newest=NEWEST, partition: str = "date"
+    spark: SparkSession, paths: Mapping[str, str], newest: Sequence[str] = NEWEST, partition: str = "date"
 ) -> dict[str, object]:
     """Rebuild the clean layer from the whole raw layer."""
     rows = silver_layer(read_layer(spark, layer_path(paths, "bronze")), newest=newest)
@@ -70,6 +70,7 @@ def run_full(
     silver_days: int | None = None,
     gold_days: int | None = None,
     average_as: str | None = None,
+    newest: Sequence[str] = NEWEST,
     partition: str = "date",
 ) -> dict[str, dict[str, object]]:
     """Raw, clean and analytics layer in sequence, then retention.
@@ -80,7 +81,7 @@ def run_full(
     """
     written = {
         "bronze": run_bronze(bars, paths, batch_ts, partition),
-        "silver": run_silver(spark, paths, partition=partition),
+        "silver": run_silver(spark, paths, newest, partition),
         "gold": run_gold(spark, paths, average_as=average_as, partition=partition),
     }
     today = as_of if as_of is not None else dt.date.today()
@@ -128,14 +129,17 @@ def run_incremental(
     batch_ts: dt.datetime | None = None,
     staging: str | None = None,
     average_as: str | None = None,
+    newest: Sequence[str] = NEWEST,
     partition: str = "date",
 ) -> None:
     """Bring the layers up to date with the rows of ``bars`` not loaded before.
 
-    Touches only the partitions of new dates in the clean layer and, in the
+    New is a (symbol, date) the raw layer does not hold; corrections of known
+    ones come in through ``run_full`` or the streaming upsert.  Touches only the partitions of new dates in the clean layer and, in the
     analytics layer, those from a symbol's first new date on.  The clean layer
     must still hold the longest frame (``cut_layer(..., look_back=200)``).
-    Give ``staging`` to be able to resume an interrupted run.
+    Give ``staging``, a new path for each run, to be able to resume an
+    interrupted one; its folder is removed once the run is complete.
     """
     staging = staging or scratch_path(spark, "incremental")
     bronze = layer_path(paths, "bronze")
@@ -144,16 +148,17 @@ def run_incremental(
         fresh = new_rows(read_layer(spark, bronze), bars) if path_exists(spark, bronze) else bars
         loaded = write_layer(with_ingestion(fresh, batch_ts), arrived, "overwrite", partition)
         if loaded["rows"] == 0:
+            delete_path(spark, staging)
             return
     batch = read_layer(spark, arrived)
     if path_exists(spark, bronze):  # on a resumed run the append may have happened
         write_layer(new_rows(read_layer(spark, bronze), batch), bronze, "append", partition)
     else:
         write_layer(batch, bronze, "append", partition)
-    clean = silver_layer(batch)
-    merge_layer(
-        spark, layer_path(paths, "silver"), clean, upsert_latest, f"{staging}/silver", partition
-    )
-    refresh_gold(
-        spark, paths, clean.select("symbol", "date"), f"{staging}/gold", average_as, partition
-    )
+    newest_wins = lambda stored, arrived: upsert_latest(stored, arrived, newest=newest)
+    clean = silver_layer(batch, newest=newest)
+    silver = layer_path(paths, "silver")
+    if merge_layer(spark, silver, clean, newest_wins, f"{staging}/silver", partition):
+        touched = read_layer(spark, f"{staging}/silver/batch").select("symbol", "date")
+        refresh_gold(spark, paths, touched, f"{staging}/gold", average_as, partition)
+    delete_path(spark, staging)

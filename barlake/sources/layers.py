@@ -122,6 +122,7 @@ def merge_layer(
     rows if they were complete, so a half-replaced table is repaired and the
     rows of a partition dropped midway are not lost.  Returns whether the batch
     held any row; the batch as it arrived stays readable at ``staging/batch``.
+    One writer at a time: a replay puts back the rows it merged at first.
     """
     merged = f"{staging}/merged"
     if not path_exists(spark, f"{merged}/_SUCCESS"):

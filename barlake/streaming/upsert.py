@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from barlake.operators.silver import NEWEST, silver_layer, upsert_latest
 from barlake.plans.jobs import layer_path, refresh_gold
 from barlake.sources.layers import merge_layer, read_layer
+from barlake.sources.scratch import delete_path
 from barlake.streaming.ingest import AVAILABLE_NOW
 
 
@@ -27,6 +28,12 @@ def _merge_clean(
     )
 
 
+def _forget_previous(batch: DataFrame, staging: str, batch_id: int) -> None:
+    """A batch starts only once the one before is committed: its staged rows can go."""
+    if batch_id > 0:
+        delete_path(batch.sparkSession, f"{staging}/{batch_id - 1}")
+
+
 def start_silver_upsert(
     versions: DataFrame,
     path: str,
@@ -43,6 +50,7 @@ def start_silver_upsert(
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
+        _forget_previous(batch, staging, batch_id)
         _merge_clean(batch, path, f"{staging}/{batch_id}", newest, partition)
 
     return (
@@ -70,6 +78,7 @@ def start_gold_refresh(
     """
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
+        _forget_previous(batch, staging, batch_id)
         stage = f"{staging}/{batch_id}"
         silver = layer_path(paths, "silver")
         if _merge_clean(batch, silver, f"{stage}/silver", newest, partition):
