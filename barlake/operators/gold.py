@@ -9,11 +9,13 @@ symbol can gather a large share of a large table in one window task.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from barlake.functions import over_history, pct_change
+from barlake.functions import date_bound, over_history, pct_change
+from barlake.functions.expressions import DateLike
 from barlake.operators.silver import NEWEST
 
 # Frame lengths in days, today included.
@@ -151,15 +153,54 @@ def gold_layer(
 
     One shuffle by symbol and one sort serve every window and the summary.
     """
+    rows = _with_indicators(silver, frame, average_as)
+    return _stamped(daily_summary(rows, order), run_ts)
+
+
+def _with_indicators(bars: DataFrame, frame: str, average_as: str | None) -> DataFrame:
     return (
-        silver.transform(daily_returns)
+        bars.transform(daily_returns)
         .transform(moving_averages, frame, average_as)
         .transform(volatility, frame=frame)
-        .transform(daily_summary, order)
-        .withColumn("_gold_timestamp", F.current_timestamp() if run_ts is None else run_ts)
     )
 
 
+def _stamped(summary: DataFrame, run_ts: Column | None) -> DataFrame:
+    return summary.withColumn(
+        "_gold_timestamp", F.current_timestamp() if run_ts is None else run_ts
+    )
+
+
+def _last_bar(past: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
+    """Date and close of each symbol's last bar: all that a later return reads of it."""
+    return past.groupBy(*keys).agg(
+        F.max("date").alias("date"), F.max_by("close", "date").alias("close")
+    )
+
+
+def gold_since(
+    silver: DataFrame,
+    since: DateLike,
+    frame: str = "calendar",
+    average_as: str | None = None,
+    order: Sequence[str] = NEWEST,
+    run_ts: Column | None = None,
+) -> DataFrame:
+    """The rows of ``gold_layer`` from a date on, without computing those before it.
+
+    Windows run over the reach of the longest frame before ``since`` plus one
+    row per symbol, its last bar before that.  With ``frame="rows"`` a frame has
+    no calendar bound and the whole history is read.
+    """
+    day = F.col("date")
+    if frame == "calendar":
+        edge = F.lit(date_bound(since) - dt.timedelta(days=LONG_DAYS - 1))
+        before = _last_bar(silver.where(day < edge))
+        silver = silver.where(day >= edge).unionByName(before, allowMissingColumns=True)
+    rows = _with_indicators(silver, frame, average_as).where(day >= F.lit(date_bound(since)))
+    return _stamped(daily_summary(rows, order), run_ts)
+
+
 def _first_touched(touched: DataFrame) -> DataFrame:
     """Per symbol its first touched date and the first date whose close its frames can reach."""
     first = touched.groupBy("symbol").agg(F.min("date").alias("_from"))
@@ -210,23 +251,13 @@ def gold_tail(
         mine = _recent(silver, first)
         if idle is None or len(idle) > 0:
             past = silver if idle is None else silver.where(F.col("symbol").isin(list(idle)))
-            carried = (
-                past.join(first, "symbol")
-                .where(F.col("date") < F.col("_edge"))
-                .groupBy("symbol", "_from")
-                .agg(F.max("date").alias("date"), F.max_by("close", "date").alias("close"))
-            )
+            past = past.join(first, "symbol").where(F.col("date") < F.col("_edge"))
+            carried = _last_bar(past, ("symbol", "_from"))
             mine = mine.unionByName(carried, allowMissingColumns=True)
     else:
         mine = silver.join(first, "symbol")
-    return (
-        mine.transform(daily_returns)
-        .transform(moving_averages, frame, average_as)
-        .transform(volatility, frame=frame)
-        .where(F.col("date") >= F.col("_from"))
-        .transform(daily_summary, order)
-        .withColumn("_gold_timestamp", F.current_timestamp() if run_ts is None else run_ts)
-    )
+    rows = _with_indicators(mine, frame, average_as).where(F.col("date") >= F.col("_from"))
+    return _stamped(daily_summary(rows, order), run_ts)
 
 
 def lag_features(df: DataFrame, lags: Sequence[int] = (1, 2, 3, 5, 10)) -> DataFrame:

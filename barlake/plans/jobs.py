@@ -7,10 +7,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from barlake.functions import date_bound
 from barlake.functions.expressions import DateLike
 from barlake.operators.bronze import append_bronze, with_ingestion
-from barlake.operators.gold import gold_layer, gold_tail, idle_symbols
-from barlake.operators.retention import cut_layer
+from barlake.operators.gold import gold_layer, gold_since, gold_tail, idle_symbols
+from barlake.operators.retention import cut_layer, cutoff_date
 from barlake.operators.silver import NEWEST, new_rows, silver_layer, upsert_latest
 from barlake.sources.layers import merge_layer, read_layer, write_layer
 from barlake.sources.scratch import delete_path, path_exists, scratch_path
@@ -38,7 +39,10 @@ def run_bronze(
 
 
 def run_silver(
-    spark: SparkSession, paths: Mapping[str, str], newest: Sequence[str] = NEWEST, partition: str = "date"
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    newest: Sequence[str] = NEWEST,
+    partition: str = "date",
 ) -> dict[str, object]:
     """Rebuild the clean layer from the whole raw layer."""
     rows = silver_layer(read_layer(spark, layer_path(paths, "bronze")), newest=newest)
@@ -50,14 +54,21 @@ def run_gold(
     paths: Mapping[str, str],
     frame: str = "calendar",
     average_as: str | None = None,
+    since: DateLike | None = None,
     partition: str = "date",
 ) -> dict[str, object]:
-    """Rebuild the analytics layer; dates that no longer occur keep their last state.
+    """Rebuild the analytics layer, all of it or the rows from a date on.
 
     Only the partitions computed are replaced, so a second run changes nothing
-    and appends nothing.
+    and appends nothing; dates not computed keep their last state.
     """
-    rows = gold_layer(read_layer(spark, layer_path(paths, "silver")), frame, average_as)
+    silver = read_layer(spark, layer_path(paths, "silver"))
+    if since is None:
+        rows = gold_layer(silver, frame, average_as)
+    else:
+        if partition == "month":  # the first month is replaced as a whole
+            since = date_bound(since).replace(day=1)
+        rows = gold_since(silver, since, frame, average_as)
     return write_layer(rows, layer_path(paths, "gold"), "replace", partition)
 
 
@@ -77,14 +88,16 @@ def run_full(
 
     The analytics layer is computed before the clean one is cut, and the clean
     one is rebuilt from the raw layer on each run, so no average is starved.
-    Retention applies to a layer whose days are given (usual: 90 and 30).
+    Retention applies to a layer whose days are given (usual: 90 and 30); the
+    analytics rows it would remove are not computed in the first place.
     """
+    today = as_of if as_of is not None else dt.date.today()
+    since = cutoff_date(today, gold_days) if gold_days is not None else None
     written = {
         "bronze": run_bronze(bars, paths, batch_ts, partition),
         "silver": run_silver(spark, paths, newest, partition),
-        "gold": run_gold(spark, paths, average_as=average_as, partition=partition),
+        "gold": run_gold(spark, paths, average_as=average_as, since=since, partition=partition),
     }
-    today = as_of if as_of is not None else dt.date.today()
     for layer, days in (("silver", silver_days), ("gold", gold_days)):
         if days is not None:
             cut_layer(spark, layer_path(paths, layer), today, days, partition)
@@ -135,7 +148,8 @@ def run_incremental(
     """Bring the layers up to date with the rows of ``bars`` not loaded before.
 
     New is a (symbol, date) the raw layer does not hold; corrections of known
-    ones come in through ``run_full`` or the streaming upsert.  Touches only the partitions of new dates in the clean layer and, in the
+    ones come in through ``run_full`` or the streaming upsert.  Only the
+    partitions of new dates are rewritten in the clean layer and, in the
     analytics layer, those from a symbol's first new date on.  The clean layer
     must still hold the longest frame (``cut_layer(..., look_back=200)``).
     Give ``staging``, a new path for each run, to be able to resume an

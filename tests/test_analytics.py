@@ -77,6 +77,19 @@ def test_gold_layer_columns_and_one_shuffle(spark):
     assert df.count() == 39
 
 
+@pytest.mark.parametrize("frame", ["calendar", "rows"])
+def test_gold_since_equals_the_end_of_a_full_run(spark, frame):
+    silver = loaded(
+        bars(spark, range(100, 420), "A").union(
+            bars(spark, [5, 9, 7, 8, 6], "GAP", days=[0, 3, 300, 301, 310])
+        )
+    )
+    full = gold.gold_layer(silver, frame).where(F.col("date") >= F.lit(day(295)))
+    since = gold.gold_since(silver, day(295), frame)
+    assert same_rows(since.drop("_gold_timestamp"), full.drop("_gold_timestamp"))
+    assert since.count() == 28
+
+
 @pytest.mark.parametrize("frame", ["calendar", "rows"])
 def test_gold_tail_equals_full_run(spark, frame):
     silver = loaded(
