@@ -250,7 +250,8 @@ def test_asof_metadata(spark):
     assert got[("ODD", day(0))] is None and len(got) == 7
 
 
-def test_grouped_median_against_brute_force(spark):
+@pytest.mark.parametrize("broadcast_limit", ["10m", "-1"])
+def test_grouped_median_against_brute_force(spark, broadcast_limit):
     rows = (
         [("hot", float(v)) for v in [0] * 400 + list(range(-50, 300))]
         + [("even", v) for v in (1e-9, -3.5, 1e12, 7.25)]
@@ -262,7 +263,14 @@ def test_grouped_median_against_brute_force(spark):
     for k, v in rows:
         if v is not None and v == v:
             want.setdefault(k, []).append(v)
-    got = {r.k: r["median"] for r in grouped_median(df, ["k"], "v").collect()}
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, broadcast_limit)
+    try:
+        got = {r.k: r["median"] for r in grouped_median(df, ["k"], "v").collect()}
+    finally:
+        for name in names:
+            spark.conf.unset(name)
     assert got == {k: statistics.median(v) for k, v in want.items()}
 
 
