@@ -22,7 +22,8 @@ def bars_from_stream(
     """Ticks -> daily bars as a tumbling one-day window per symbol.
 
     A day stays open for ``delay`` after it ended by event time; then its state
-    is dropped and later ticks for it are ignored.
+    is dropped and later ticks for it are ignored.  The window starts at midnight
+    UTC: keep the session's time zone at UTC for the dates to agree.
     """
     first_to_last = F.struct(*order, F.col(price).alias("_price"))
     return (
@@ -50,7 +51,8 @@ def start_bar_log(
 
     Update mode emits every changed bar at once, with no hold-back behind the
     watermark.  A replayed batch overwrites its own folder, so nothing is
-    counted twice, and no stored row is read or rewritten.
+    counted twice, and no stored row is read or rewritten.  Move old days to the
+    clean layer from time to time; the log keeps every state of every bar.
     """
 
     def log(batch: DataFrame, batch_id: int) -> None:
