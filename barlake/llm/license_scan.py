@@ -13,7 +13,8 @@ are taken of distinct directories only, so a directory with most of the files is
 
 All joins and sums are DataFrame operations.  What is broadcast is the table of templates.
 Null texts and paths: a file without text has no licence of its own; a file without a path
-lies in the root; repeated rows get equal results; extra columns are ignored.
+lies in the root; repeated rows get equal results; extra columns are kept, but for those named
+like the added ones, which are replaced.
 """
 
 from __future__ import annotations
@@ -41,6 +42,7 @@ TEMPLATES = {
 }
 SPEAKS = r"(?i)licen[cs]e|copyright|all rights reserved|spdx|public domain|creative commons|free of charge|redistribution|mozilla public|\bcc0\b|\bcc by"
 LICENCE_FILE = r"(?i)^(?:licen[cs]e|copying|unlicense|notice)(?:[._-].*)?$"
+ADDED = ("own_licence", "score", "own_licences", "licence", "inherited_from")
 TOKEN_BREAK = r"[^a-z0-9.]+|\.(?![0-9])|(?<![0-9])\."
 
 
@@ -91,25 +93,26 @@ def scan(files: DataFrame, least: float = 0.6) -> DataFrame:
     path = F.coalesce(F.col("path"), F.lit(""))
     name = F.substring_index(path, "/", -1)
     place = F.when(F.instr(path, "/") > 0, F.expr("substring(coalesce(path, ''), 1, length(coalesce(path, '')) - length(substring_index(coalesce(path, ''), '/', -1)) - 1)")).otherwise("")
-    keyed = files.withColumns({"rid": F.xxhash64("path", "text"), "dir": place, "is_licence": name.rlike(LICENCE_FILE)})
-    own = own_licences(keyed.select("rid", "text", "is_licence"), least)
-    slim = keyed.drop("text").join(own.select("rid", F.col("licence").alias("own_licence"), "score", F.col("all").alias("own_licences")), "rid", "left")
-    held = slim.where("is_licence and own_licence is not null").groupBy("dir").agg(F.min(F.struct(-F.col("score"), "own_licence")).alias("b"))
-    held = held.select(F.col("dir").alias("above"), F.col("b.own_licence").alias("given"))
-    parts = F.split("dir", "/")
-    depth = F.when(F.col("dir") == "", 0).otherwise(F.size(parts))
-    above = F.transform(F.sequence(F.lit(0), depth), lambda n: F.struct(n.alias("depth"), F.array_join(F.slice(parts, F.lit(1), n), "/").alias("above")))
-    prefixes = slim.select("dir").distinct().select("dir", F.explode(above).alias("x")).select("dir", "x.*")
-    nearest = prefixes.join(held, "above").groupBy("dir").agg(F.max(F.struct("depth", "above", "given")).alias("n"))
-    nearest = nearest.select("dir", F.col("n.above").alias("above"), F.col("n.given").alias("given"))
-    out = slim.join(nearest, "dir", "left")
-    return out.select(
-        *[c for c in files.columns if c != "text"],
+    keyed = files.withColumns({"_rid": F.xxhash64("path", "text"), "_dir": place, "_licence_file": name.rlike(LICENCE_FILE)})
+    own = own_licences(keyed.select(F.col("_rid").alias("rid"), "text", F.col("_licence_file").alias("is_licence")), least)
+    own = own.select(F.col("rid").alias("_rid"), F.col("licence").alias("own_licence"), "score", F.col("all").alias("own_licences"))
+    kept = [c for c in files.columns if c not in ADDED]
+    slim = keyed.select(*kept, "_rid", "_dir", "_licence_file").drop("text").join(own, "_rid", "left")
+    held = slim.where("_licence_file and own_licence is not null").groupBy("_dir").agg(F.min(F.struct(-F.col("score"), "own_licence")).alias("b"))
+    held = held.select(F.col("_dir").alias("_above"), F.col("b.own_licence").alias("_given"))
+    parts = F.split("_dir", "/")
+    depth = F.when(F.col("_dir") == "", 0).otherwise(F.size(parts))
+    above = F.transform(F.sequence(F.lit(0), depth), lambda n: F.struct(n.alias("depth"), F.array_join(F.slice(parts, F.lit(1), n), "/").alias("_above")))
+    prefixes = slim.select("_dir").distinct().select("_dir", F.explode(above).alias("x")).select("_dir", "x.*")
+    nearest = prefixes.join(held, "_above").groupBy("_dir").agg(F.max(F.struct("depth", "_above", "_given")).alias("n"))
+    nearest = nearest.select("_dir", F.col("n._above").alias("_above"), F.col("n._given").alias("_given"))
+    return slim.join(nearest, "_dir", "left").select(
+        *[c for c in kept if c != "text"],
         "own_licence",
         "score",
         "own_licences",
-        F.coalesce("own_licence", "given").alias("licence"),
-        F.when(F.col("own_licence").isNull(), F.col("above")).alias("inherited_from"),
+        F.coalesce("own_licence", "_given").alias("licence"),
+        F.when(F.col("own_licence").isNull(), F.col("_above")).alias("inherited_from"),
     )
 
 

@@ -17,7 +17,8 @@ where the rank is monotone; running sums over the bins find the one in which the
 ends, and only that bin's documents are ranked one by one.
 
 Null and empty texts have size 0 and take nothing; a null source is a source of its own;
-rows that repeat id and text are taken together; extra columns are kept.
+rows that repeat id and text are taken together; extra columns are kept, but for those named
+like the added ones, which are replaced.
 """
 
 from __future__ import annotations
@@ -61,6 +62,7 @@ def mixed(
     has weighed.  Everything per document stays in Spark.
     """
     spark = docs.sparkSession
+    docs = docs.drop("source_size", "target", "copies", "taken")
     rows = docs.withColumn("size", size_of(F.col("text"))).withColumn("_u", _uniform())
     cls = F.lit(0)
     for i, least in enumerate(classes):
@@ -85,9 +87,9 @@ def mixed(
     out = out.join(F.broadcast(ends), F.col("source").eqNullSafe(F.col("es")) & (F.col("_class") == F.col("_k")), "left")
     copies = F.col("_whole") + F.coalesce(F.col("_u") <= F.col("_cut"), F.lit(False)).cast("int")
     out = out.withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(0))
-    return out.withColumn("taken", F.col("copies") * F.col("size")).select(
-        *docs.columns, "size", "source_size", "target", "copies", "taken"
-    )
+    added = ("size", "source_size", "target", "copies", "taken")
+    out = out.withColumn("taken", F.col("copies") * F.col("size"))
+    return out.select(*[c for c in docs.columns if c not in added], *added)
 
 
 def _uniform() -> Column:

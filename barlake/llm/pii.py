@@ -12,7 +12,8 @@ each labeler's reliability without labels, and a logistic classifier is trained
 resulting probabilities.  It decides about the loose candidates.
 
 Everything that touches a text is a built-in expression.  Null and empty texts have no
-spans; repeated rows get the same spans; extra columns are ignored; offsets are code points,
+spans; repeated rows get the same spans; extra columns are kept, but for base, spans, near and
+loose, which are replaced; offsets are code points,
 the end exclusive.  Quantifiers are possessive where nothing could be given back, so a very
 long text costs linear time and no deep recursion.
 """

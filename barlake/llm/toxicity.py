@@ -19,7 +19,7 @@ document frequencies are counted over every text and every text is scored whole.
 
 Null and empty texts have no neighbours and get the probability of the prior votes alone.  Labels are taken per id (the greatest, if one repeats); without
 labels of both kinds every score is the share of toxic rows, 0 without any.  Rows that
-repeat get equal scores; null ids are never training rows; extra columns are ignored.
+repeat get equal scores; null ids are never training rows; only the columns named are kept.
 """
 
 from __future__ import annotations

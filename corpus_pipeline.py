@@ -24,7 +24,9 @@ TOXIC_FROM = 0.7
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below 0.7."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model, *docs.columns).where(F.col("score") < TOXIC_FROM).select(*docs.columns)
+    held = docs.select("text", *[F.col(c).alias(f"kept_{c}") for c in docs.columns])
+    scored = toxicity.score(held, model, *held.columns[1:]).where(F.col("score") < TOXIC_FROM)
+    return scored.select(*[F.col(f"kept_{c}").alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +52,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind, n_chars counted again."""
     text = pii.redacted(F.col("text"), F.col("spans"))
-    rows = pii.find_spans(docs.select("text", *[F.col(c).alias(f"_{c}") for c in docs.columns if c != "text"]))
-    rows = rows.select(text.alias("text"), *[F.col(f"_{c}").alias(c) for c in docs.columns if c != "text"])
+    rows = pii.find_spans(docs.select("text", *[F.col(c).alias(f"kept_{c}") for c in docs.columns if c != "text"]))
+    rows = rows.select(text.alias("text"), *[F.col(f"kept_{c}").alias(c) for c in docs.columns if c != "text"])
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast("long"))
     return rows.select(*docs.columns)
