@@ -23,6 +23,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from barlake.llm.components import stored
+
 # How licences are named in headers and licence files.
 TEMPLATES = {
     "Apache-2.0": ("licensed under the apache license, version 2.0", "you may not use this file except in compliance with the license", "apache license version 2.0"),
@@ -75,7 +77,7 @@ def own_licences(files: DataFrame, least: float = 0.6) -> DataFrame:
     spark = files.sparkSession
     weights, idf, unknown = template_weights(spark)
     counted = (
-        _units(files).select("rid", F.xxhash64("unit").alias("u"), F.explode(terms(F.col("unit"))).alias("term"))
+        stored(_units(files), "units").select("rid", F.xxhash64("unit").alias("u"), F.explode(terms(F.col("unit"))).alias("term"))
         .groupBy("rid", "u", "term").agg(F.count("*").alias("tf"))
     )
     weighed = counted.join(F.broadcast(idf), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
