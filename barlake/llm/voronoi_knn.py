@@ -7,8 +7,9 @@ enter the answer of a query q in the cell of pivot p if <q, x> reaches q's k-th
 and <q, x> <= <p, x> + |q - p| * |x|; so x is sent to the cells where that bound reaches the
 cell's worst k-th score, and to no other.  There the queries are answered over what arrived.
 
-The pivots are a bounded sample (``pivots`` vectors, those with the least hash of their id);
-a cell's summary is a few numbers, so what is broadcast is bounded too.  A cell's queries and
+The pivots are a bounded sample: one for 64 queries, 8 to ``pivots`` of them, the vectors with
+the least hash of their id.  A cell's summary is a few numbers, so what is broadcast is
+bounded too, and a vector is sent to no more cells than there are pivots.  A cell's queries and
 vectors meet in blocks of at most about ``block`` rows, so a cell with a third of all rows, or
 of one vector repeated, is many tasks.
 
@@ -103,7 +104,8 @@ def _reach(pivots: np.ndarray, summaries: dict[int, tuple[float, float]]):
     radius = np.array([summaries[c][1] for c in cells])
 
     def run(batches):
-        for batch in batches:
+        # A vector may be sent to every cell: slices keep what is held at once small.
+        for batch in (b.slice(at, 1024) for b in batches for at in range(0, len(b), 1024)):
             x = _matrix(batch.column(1).to_pylist(), pivots.shape[1])
             own = np.array(batch.column(2).to_pylist(), int)
             size = np.sqrt((x**2).sum(1))
@@ -141,14 +143,16 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def top_k(vectors: DataFrame, queries, k: int = 5, scale: int = 256, pivots: int = 128, block: int = 2048) -> DataFrame:
+def top_k(vectors: DataFrame, queries, k: int = 5, scale: int = 256, pivots: int = 1024, block: int = 2048) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best of ``vectors`` (vec_id, embedding) for each query.
 
-    ``queries`` is a condition on ``vec_id`` that picks the rows that ask.
+    ``queries`` is a condition on ``vec_id`` that picks the rows that ask; ``pivots`` is the
+    greatest number of cells.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     whole = rows.mapInArrow(_integers(scale), "vec_id long, v binary")
+    pivots = max(8, min(pivots, whole.where(queries).count() // 64))
     sample = whole.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(4 * pivots).collect()
     sizes = [len(r["v"]) for r in sample]
     if not sizes:

@@ -113,7 +113,7 @@ def test_knn_against_brute_force(spark):
     for q in np.flatnonzero(ids % 50 == 0):
         found = sorted((-s, i) for s, i in zip((x @ x[q]).astype(int), ids) if i != ids[q])[:5]
         want += [(ids[q], r + 1, i, -s) for r, (s, i) in enumerate(found)]
-    for options in ({}, {"pivots": 7, "block": 16}):
+    for options in ({}, {"pivots": 9, "block": 16}):
         got = voronoi_knn.top_k(table, F.col("vec_id") % 50 == 0, **options).collect()
         assert sorted(map(tuple, got)) == sorted(want)
     few = voronoi_knn.top_k(table.where("vec_id in (0, 1, 2)"), F.col("vec_id") % 50 == 0).collect()
