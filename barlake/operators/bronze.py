@@ -67,11 +67,11 @@ def purge_superseded(
 ) -> DataFrame:
     """Drop versions that are both superseded and older than the retention.
 
-    Young versions pass untouched, without a shuffle.  An old version stays only
+    Young versions, and rows without a load time, pass untouched, without a shuffle.  An old version stays only
     where it is the newest of its key; that search sends one row per key and
     input partition, even when one key holds most versions.
     """
     cutoff = moment(as_of) - F.make_dt_interval(hours=F.lit(retention_hours))
     stamp = F.col("_ingestion_timestamp")
     old_newest = latest_version(df, keys, newest).where(stamp < cutoff)
-    return df.where(stamp >= cutoff).unionByName(old_newest)
+    return df.where((stamp >= cutoff) | stamp.isNull()).unionByName(old_newest)

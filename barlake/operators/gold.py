@@ -202,11 +202,23 @@ def gold_since(
 
 
 def _first_touched(touched: DataFrame) -> DataFrame:
-    """Per symbol its first touched date and the first date whose close its frames can reach."""
-    first = touched.groupBy("symbol").agg(F.min("date").alias("_from"))
+    """Per symbol its touched range and the first date whose close its frames can reach."""
+    first = touched.groupBy("symbol").agg(F.min("date").alias("_from"), F.max("date").alias("_last"))
     return first.withColumn("_edge", F.date_sub("_from", LONG_DAYS - 1))
 
 
+def _until(silver: DataFrame, first: DataFrame) -> DataFrame:
+    """Adds ``_to``, the last date a touched symbol's changes can reach.
+
+    A close is read by the averages of ``LONG_DAYS`` and, through the return of the next
+    bar, by the deviations of ``VOLATILITY_DAYS`` from that bar on.
+    """
+    later = silver.join(first, "symbol").where(F.col("date") > F.col("_last"))
+    following = later.groupBy("symbol").agg(F.min("date").alias("_next"))
+    reach = F.greatest(F.date_add("_last", LONG_DAYS - 1), F.date_add("_next", VOLATILITY_DAYS - 1))
+    return first.join(following, "symbol", "left").withColumn("_to", reach).drop("_next")
+
+
 def _recent(silver: DataFrame, first: DataFrame) -> DataFrame:
     """Touched symbols' rows from the reach of their frames on; other dates are pruned."""
     return silver.where(F.col("date") >= first.select(F.min("_edge")).scalar()).join(
@@ -234,26 +246,26 @@ def gold_tail(
     average_as: str | None = None,
     order: Sequence[str] = NEWEST,
     run_ts: Column | None = None,
-    idle: Sequence[str] | None = None,
+    idle: DataFrame | None = None,
 ) -> DataFrame:
     """Gold rows that change when the (symbol, date) pairs in ``touched`` change.
 
-    For each touched symbol these are its rows from the first touched date on.
-    They are computed from the longest frame before that date plus one carried
+    For each touched symbol these are its rows from the first touched date to the last one
+    its frames carry a change to; later partitions stay as they are.  They are computed from the longest frame before that date plus one carried
     row per symbol, the last bar before the frame, which only ``lag`` reads; so
-    the result equals that of a full run even across a long gap.  ``idle`` names
+    the result equals that of a full run even across a long gap.  ``idle`` holds
     the symbols that need a carried row, if known (``idle_symbols``): then no
-    other symbol's history is read.  With ``frame="rows"`` a frame has no
+    other symbol's history is used.  With ``frame="rows"`` a frame has no
     calendar bound and the touched symbols' whole history is read.
     """
     first = _first_touched(touched)
     if frame == "calendar":
-        mine = _recent(silver, first)
-        if idle is None or len(idle) > 0:
-            past = silver if idle is None else silver.where(F.col("symbol").isin(list(idle)))
-            past = past.join(first, "symbol").where(F.col("date") < F.col("_edge"))
-            carried = _last_bar(past, ("symbol", "_from"))
-            mine = mine.unionByName(carried, allowMissingColumns=True)
+        first = _until(silver, first)
+        mine = _recent(silver, first).where(F.col("date") <= F.col("_to"))
+        past = silver if idle is None else silver.join(idle, "symbol", "left_semi")
+        past = past.join(first, "symbol").where(F.col("date") < F.col("_edge"))
+        carried = _last_bar(past, ("symbol", "_from"))
+        mine = mine.unionByName(carried, allowMissingColumns=True)
     else:
         mine = silver.join(first, "symbol")
     rows = _with_indicators(mine, frame, average_as).where(F.col("date") >= F.col("_from"))

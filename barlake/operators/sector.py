@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from barlake.functions import grouped_median
 from barlake.operators.silver import latest_version
 from barlake.schemas import SYMBOL_META, conform
 
@@ -40,18 +39,18 @@ def with_sector(bars: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def sector_daily(enriched: DataFrame, dim: DataFrame) -> DataFrame:
-    """Per sector and day: members, mean and median return, volume."""
+    """Per sector and day: members, mean and median return, volume.
+
+    One aggregation: a sector has one row per symbol and day, so a median's group is bounded
+    by the number of symbols.
+    """
     rows = with_sector(enriched, dim)
-    totals = rows.groupBy("sector", "date").agg(
+    return rows.groupBy("sector", "date").agg(
         F.count(F.lit(1)).alias("members"),
         F.avg("daily_return_pct").alias("mean_return"),
+        F.median("daily_return_pct").alias("median_return"),
         F.sum("volume").alias("volume"),
     )
-    medians = grouped_median(rows, ("sector", "date"), "daily_return_pct", "median_return").select(
-        F.col("sector").alias("_sector"), F.col("date").alias("_date"), "median_return"
-    )
-    same = F.col("sector").eqNullSafe(F.col("_sector")) & (F.col("date") == F.col("_date"))
-    return totals.join(medians, same, "left").drop("_sector", "_date")
 
 
 def sector_rollup(enriched: DataFrame, dim: DataFrame) -> DataFrame:

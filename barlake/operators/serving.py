@@ -10,18 +10,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 from barlake.functions import date_bound, day_between, pct_change
 from barlake.functions.expressions import DateLike
 
-# Serving limits.
-MAX_HISTORY_ROWS = 1000
-MAX_PERIOD_DAYS = 365
-MAX_PERFORMERS = 100
-MAX_GAINERS = 50
-
+# Columns of the gainers.
 GAINER_COLUMNS = ("symbol", "daily_close", "daily_return_pct", "ma_50_day", "ma_200_day")
 
 
-def _within(name: str, value: int, most: int) -> int:
-    if not 1 <= value <= most:
-        raise ValueError(f"{name} must be between 1 and {most}, not {value}")
+def _positive(name: str, value: int) -> int:
+    if value < 1:
+        raise ValueError(f"{name} must be at least 1, not {value}")
     return value
 
 
@@ -38,7 +33,7 @@ def stock_history(
     as_of: DateLike | None = None,
 ) -> DataFrame:
     """Newest rows of one symbol; by default the year up to ``as_of`` (today)."""
-    _within("limit", limit, MAX_HISTORY_ROWS)
+    _positive("limit", limit)
     today = _today(as_of)
     start = start if start is not None else today - dt.timedelta(days=365)
     end = end if end is not None else today
@@ -52,13 +47,14 @@ def stock_history(
 def stock_performance(
     gold: DataFrame, period_days: int = 30, top_n: int = 10, as_of: DateLike | None = None
 ) -> DataFrame:
-    """Top symbols by return from the first to the last close of the period."""
-    _within("period_days", period_days, MAX_PERIOD_DAYS)
-    _within("top_n", top_n, MAX_PERFORMERS)
-    since = _today(as_of) - dt.timedelta(days=period_days)
+    """Top symbols by return from the first to the last close of the period up to ``as_of``."""
+    _positive("period_days", period_days)
+    _positive("top_n", top_n)
+    today = _today(as_of)
+    since = today - dt.timedelta(days=period_days)
     mean_volume = F.try_divide(F.sum("daily_volume").cast("double"), F.count("daily_volume"))
     return (
-        gold.where(day_between(since))
+        gold.where(day_between(since, today))
         .groupBy("symbol")
         .agg(
             pct_change(
@@ -78,7 +74,7 @@ def top_gainers(gold: DataFrame, limit: int = 10) -> DataFrame:
     The last day is a scalar subquery of the same plan; on a table partitioned
     by date it prunes the scan to that day.
     """
-    _within("limit", limit, MAX_GAINERS)
+    _positive("limit", limit)
     last_day = gold.select(F.max("date")).scalar()
     return (
         gold.where(F.col("date") == last_day)
@@ -90,7 +86,7 @@ def top_gainers(gold: DataFrame, limit: int = 10) -> DataFrame:
 
 def top_gainers_per_day(gold: DataFrame, limit: int = 10) -> DataFrame:
     """Best returns of every day; each input partition sends at most ``limit`` rows per day."""
-    _within("limit", limit, MAX_GAINERS)
+    _positive("limit", limit)
     by_return = Window.partitionBy("date").orderBy(F.desc("daily_return_pct"), "symbol")
     return (
         gold.withColumn("place", F.row_number().over(by_return))
@@ -129,17 +125,18 @@ def avg_return_by_symbol(
 
 
 def json_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Each row as one JSON object in the column ``record``."""
-    return df.select(F.to_json(F.struct(*(columns or df.columns))).alias("record"))
+    """Each row as one JSON object in the column ``record``; NULL fields are written as null."""
+    row = F.struct(*(columns or df.columns))
+    return df.select(F.to_json(row, {"ignoreNullFields": "false"}).alias("record"))
 
 
 def export(
     df: DataFrame, path: str, fmt: str = "json", options: Mapping[str, object] | None = None
 ) -> None:
-    """Write a result as JSON lines or as CSV with a header."""
+    """Write a result as JSON lines, NULL fields included, or as CSV with a header."""
     if fmt not in ("json", "csv"):
         raise ValueError(f"fmt must be 'json' or 'csv', not {fmt!r}")
-    writer = df.write.mode("overwrite").options(**dict(options or {}))
+    writer = df.write.mode("overwrite").options(**{"ignoreNullFields": False} | dict(options or {}))
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(path)

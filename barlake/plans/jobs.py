@@ -5,21 +5,17 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barlake.functions import date_bound
+from barlake.functions import date_bound, moment
 from barlake.functions.expressions import DateLike
 from barlake.operators.bronze import append_bronze, with_ingestion
 from barlake.operators.gold import gold_layer, gold_since, gold_tail, idle_symbols
 from barlake.operators.retention import cut_layer, cutoff_date
 from barlake.operators.silver import NEWEST, new_rows, silver_layer, upsert_latest
-from barlake.sources.layers import merge_layer, read_layer, write_layer
+from barlake.sources.layers import drop_absent, merge_layer, read_layer, write_layer
 from barlake.sources.scratch import delete_path, path_exists, scratch_path
 
-# Idle symbols up to this many are named as literals, which prune the scan of
-# their history; more of them are found by a join over all touched symbols.
-MAX_LISTED_SYMBOLS = 1000
-
 
 def layer_path(paths: Mapping[str, str], layer: str) -> str:
     """Where a layer is stored; the scheme of the path picks the store."""
@@ -34,8 +30,15 @@ def run_bronze(
     batch_ts: dt.datetime | None = None,
     partition: str = "date",
 ) -> dict[str, object]:
-    """Append landed bars to the raw layer."""
-    return append_bronze(bars, layer_path(paths, "bronze"), batch_ts, partition)
+    """Append landed bars to the raw layer.
+
+    With ``batch_ts`` a run can be retried: bars already loaded under that time are skipped.
+    """
+    path, spark = layer_path(paths, "bronze"), bars.sparkSession
+    if batch_ts is not None and path_exists(spark, path):
+        loaded = read_layer(spark, path).where(F.col("_ingestion_timestamp") == moment(batch_ts))
+        bars = new_rows(loaded, bars)
+    return append_bronze(bars, path, batch_ts, partition)
 
 
 def run_silver(
@@ -59,8 +62,9 @@ def run_gold(
 ) -> dict[str, object]:
     """Rebuild the analytics layer, all of it or the rows from a date on.
 
-    Only the partitions computed are replaced, so a second run changes nothing
-    and appends nothing; dates not computed keep their last state.
+    A full run replaces the table; with ``since`` the partitions from that date on are
+    replaced, and those that have no rows any more are removed.  A second run changes
+    nothing and appends nothing.
     """
     silver = read_layer(spark, layer_path(paths, "silver"))
     if since is None:
@@ -69,7 +73,14 @@ def run_gold(
         if partition == "month":  # the first month is replaced as a whole
             since = date_bound(since).replace(day=1)
         rows = gold_since(silver, since, frame, average_as)
-    return write_layer(rows, layer_path(paths, "gold"), "replace", partition)
+    path = layer_path(paths, "gold")
+    if since is None:
+        return write_layer(rows, path, "overwrite", partition)
+    stored = path_exists(spark, path)
+    written = write_layer(rows, path, "replace", partition)
+    if stored:
+        drop_absent(spark, path, silver.select("date"), since, partition)
+    return written
 
 
 def run_full(
@@ -125,8 +136,7 @@ def refresh_gold(
     The stored rows of a touched partition that are not recomputed stay.
     """
     silver = read_layer(spark, layer_path(paths, "silver"))
-    listed = [r[0] for r in idle_symbols(silver, touched).take(MAX_LISTED_SYMBOLS + 1)]
-    idle = listed if len(listed) <= MAX_LISTED_SYMBOLS else None
+    idle = idle_symbols(silver, touched)
     tail = gold_tail(silver, touched, average_as=average_as, idle=idle)
 
     def recomputed_first(existing: DataFrame, batch: DataFrame) -> DataFrame:

@@ -1,16 +1,53 @@
-"""Read-only SQL over registered tables."""
+"""Read-only SQL over given tables."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Mapping
+import json
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-MAX_SQL_LENGTH = 10_000
+# Functions that load classes.
+REFLECTIVE = {"reflect", "try_reflect", "java_method"}
 
-# Plan fragments of features that run programs or load classes.
-_FORBIDDEN = re.compile(r"ScriptTransformation|\b(?:try_)?reflect\(|\bjava_method\(")
+
+def _nodes(value: object) -> Iterator[dict]:
+    """Every node of a parsed plan, those of subqueries included."""
+    if isinstance(value, dict):
+        if "class" in value:
+            yield value
+        for part in value.values():
+            yield from _nodes(part)
+    elif isinstance(value, list):
+        for part in value:
+            yield from _nodes(part)
+
+
+def _parts(name: str) -> list[str]:
+    return [p.strip() for p in name.strip("[]").split(",")]
+
+
+def check_query(spark: SparkSession, text: str, names: set[str]) -> None:
+    """Refuse a query that reads anything but ``names``, runs a script or calls by reflection.
+
+    The check walks the parsed plan by node class, so neither the length of a query nor what
+    its literals say makes a difference.
+    """
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
+    nodes = list(_nodes(json.loads(plan.toJSON())))
+    kind = lambda n: n["class"].rsplit(".", 1)[-1]
+    inner = {_parts(n["identifier"]["name"] if isinstance(n["identifier"], dict) else n["identifier"])[-1].lower()
+             for n in nodes if kind(n) == "SubqueryAlias" and "identifier" in n}
+    foreign = {n for n in inner - names if spark.catalog.tableExists(n)}
+    for node in nodes:
+        if kind(node) in ("ScriptTransformation", "UnresolvedTableValuedFunction"):
+            raise ValueError("scripts and table functions are not allowed")
+        if kind(node) == "UnresolvedFunction" and _parts(node["nameParts"])[-1].lower() in REFLECTIVE:
+            raise ValueError("reflective calls are not allowed")
+        if kind(node) == "UnresolvedRelation":
+            parts = [p.lower() for p in _parts(node["multipartIdentifier"])]
+            if len(parts) > 1 or parts[0] in foreign or parts[0] not in names | inner:
+                raise ValueError(f"no such table: {'.'.join(parts)}")
 
 
 def sql_over_layers(
@@ -18,24 +55,27 @@ def sql_over_layers(
     query: str,
     views: Mapping[str, DataFrame],
     limit: int | None = None,
+    max_length: int | None = None,
 ) -> DataFrame:
-    """Run one SELECT over the given tables, named as in ``views``.
+    """Run one SELECT over the given tables, named as in ``views``, and no others.
 
-    The text is placed in a subquery, where Spark's parser accepts nothing but
-    a query: data changes, DDL, settings and further statements do not parse.
-    Files named by path, scripts and reflective calls are refused as well.
+    The text is placed in a subquery, where Spark's parser accepts nothing but a query: data
+    changes, DDL, settings and further statements do not parse.  The names are registered
+    only while the query is analyzed; views of the caller under the same names are put back.
     """
-    if len(query) > MAX_SQL_LENGTH:
-        raise ValueError(f"query is longer than {MAX_SQL_LENGTH} characters")
+    if max_length is not None and len(query) > max_length:
+        raise ValueError(f"query is longer than {max_length} characters")
+    text = f"SELECT * FROM (\n{query.strip().removesuffix(';')}\n)"
+    check_query(spark, text, {name.lower() for name in views})
+    before = {name: spark.table(name) for name in views if spark.catalog.tableExists(name)}
     for name, df in views.items():
         df.createOrReplaceTempView(name)
-    text = query.strip().removesuffix(";")
-    by_path = spark.conf.get("spark.sql.runSQLOnFiles")
-    spark.conf.set("spark.sql.runSQLOnFiles", "false")
     try:
-        result = spark.sql(f"SELECT * FROM (\n{text}\n)")
+        result = spark.sql(text)
     finally:
-        spark.conf.set("spark.sql.runSQLOnFiles", by_path)
-    if _FORBIDDEN.search(result._jdf.queryExecution().analyzed().toString()):
-        raise ValueError("scripts and reflective calls are not allowed")
+        for name in views:
+            if name in before:
+                before[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)
     return result if limit is None else result.limit(limit)

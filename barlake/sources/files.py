@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from barlake.functions import date_bound, day_between
@@ -23,42 +23,66 @@ def read_bars(
     symbols: Sequence[str] | None = None,
     start: DateLike | None = None,
     end: DateLike | None = None,
-    as_of: DateLike | None = None,
     rename: Mapping[str, str] | None = None,
     options: Mapping[str, object] | None = None,
 ) -> DataFrame:
-    """Scan landed bar files into the declared schema.
-
-    Without ``start`` the range is the 365 days up to ``end``; without ``end``
-    it ends at ``as_of`` (default: today).  Text formats are read permissively:
-    a field that does not parse is NULL and the raw record is kept in
-    ``_corrupt_record``.  A requested symbol without rows is no error
-    (``absent_symbols`` lists them); no row in the range at all raises
-    ``ValueError``.
+    """Scan landed bar files into the declared schema; bounds that are not given cut nothing.
+
+    Text formats are read permissively: a field that does not parse is NULL and the raw
+    record is kept in ``_corrupt_record``.  A record without a readable date or symbol fails
+    no filter, since nobody can say whether it belongs: ``rejected`` lists such records.
+    CSV files may differ in their headers; each is read by its own, and a column some files
+    lack is NULL there.  A requested symbol without rows is no error (``absent_symbols``).
     """
-    last = date_bound(end or as_of or dt.date.today())
-    first = date_bound(start) if start is not None else last - dt.timedelta(days=365)
     options = dict(options or {})
-    reader = spark.read.format(fmt).options(**options)
-    if fmt in ("csv", "json"):
-        names = None
-        if fmt == "csv":  # Spark matches CSV columns by position: take the order from the header
-            options["header"] = True
-            names = spark.read.format(fmt).options(**options).load(_listed(paths)).columns
-            # A file with another header order fails instead of being misread.
-            reader = reader.option("header", True).option("enforceSchema", False)
-        reader = (
-            reader.schema(_source_schema(rename, names).add(CORRUPT, StringType()))
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-        )
-    raw = reader.load(_listed(paths))
-    bars = conform(raw, OHLC, rename, keep_extra=True).where(day_between(first, last))
+    if fmt == "csv":
+        frames = [
+            _read_text(spark, files, fmt, options | {"header": True}, _source_schema(rename, names))
+            for names, files in _layouts(spark, paths, options).items()
+        ]
+        raw = union_sources([conform(f, OHLC, rename, keep_extra=True) for f in frames])
+    elif fmt == "json":
+        raw = conform(_read_text(spark, _listed(paths), fmt, options, _source_schema(rename)), OHLC, rename, True)
+    else:
+        raw = conform(spark.read.format(fmt).options(**options).load(_listed(paths)), OHLC, rename, True)
+    unknown = _unplaced()
+    if start is not None or end is not None:
+        raw = raw.where(day_between(start, end) | unknown)
     if symbols is not None:
-        bars = bars.where(F.col("symbol").isin(list(symbols)))
-    if bars.isEmpty():
-        raise ValueError(f"no bars between {first} and {last} for the requested symbols")
-    return bars
+        raw = raw.where(F.col("symbol").isin(list(symbols)) | unknown)
+    return raw
+
+
+def _unplaced() -> Column:
+    return F.col("date").isNull() | F.col("symbol").isNull()
+
+
+def rejected(bars: DataFrame) -> DataFrame:
+    """The landed records without a readable date or symbol."""
+    return bars.where(_unplaced())
+
+
+def readable(bars: DataFrame) -> DataFrame:
+    """The landed records with a readable date and symbol."""
+    return bars.where(~_unplaced())
+
+
+def _layouts(
+    spark: SparkSession, paths: str | Sequence[str], options: Mapping[str, object]
+) -> dict[tuple[str, ...], list[str]]:
+    """Header -> files that have it; of each file only the first lines are read."""
+    found: dict[tuple[str, ...], list[str]] = {}
+    reader = spark.read.format("csv").options(**options | {"header": True})
+    for file in sorted(spark.read.format("text").load(_listed(paths)).inputFiles()):
+        found.setdefault(tuple(reader.load(file).columns), []).append(file)
+    return found
+
+
+def _read_text(
+    spark: SparkSession, paths, fmt: str, options: Mapping[str, object], schema: StructType
+) -> DataFrame:
+    reader = spark.read.format(fmt).options(**options).option("mode", "PERMISSIVE")
+    return reader.option("columnNameOfCorruptRecord", CORRUPT).schema(schema.add(CORRUPT, StringType())).load(paths)
 
 
 def absent_symbols(bars: DataFrame, symbols: Sequence[str]) -> DataFrame:

@@ -172,3 +172,18 @@ def drop_before(
             delete_path(spark, f"{path}/{column}={floor.isoformat()}")
         elif not month.where(F.col("date") < F.lit(cutoff)).isEmpty():
             write_layer(kept, path, "replace", partition, fmt)
+
+
+def drop_absent(
+    spark: SparkSession, path: str, dates: DataFrame, since: DateLike, partition: str = "date"
+) -> None:
+    """Delete the partitions from ``since`` on that hold none of ``dates`` (column date).
+
+    What is collected is one value per day or month: bounded by the calendar.
+    """
+    column = _partition_column(partition)
+    day = F.col("date") if column == "date" else _month_of("date")
+    live = dates.where(F.col("date") >= F.lit(date_bound(since))).select(day.alias(column)).distinct()
+    table = spark.read.parquet(path).where(F.col(column) >= F.lit(date_bound(since))).select(column).distinct()
+    for row in table.join(live, column, "left_anti").collect():
+        delete_path(spark, f"{path}/{column}={row[0].isoformat()}")

@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from barlake.operators.bronze import with_ingestion
 from barlake.schemas import OHLC
 from barlake.sources.files import CORRUPT
+from barlake.sources.layers import MONTH
 
 # Process what has arrived and stop; pass another trigger to keep running.
 AVAILABLE_NOW = {"availableNow": True}
@@ -44,11 +45,13 @@ def start_bronze_append(
     see only those: give the stream a path of its own and read it together with
     batch loads through ``union_sources``.
     """
+    rows = with_ingestion(stream)
+    if partition == "month":
+        rows = rows.withColumn(MONTH, F.trunc("date", "month"))
     return (
-        with_ingestion(stream)
-        .writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .outputMode("append")
-        .partitionBy(partition)
+        .partitionBy(MONTH if partition == "month" else partition)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start(path)

@@ -195,7 +195,16 @@ ORACLE: dict[str, str] = {
 FROM (SELECT *, row(loaded, l_linenumber, l_partkey, l_suppkey, close) AS k FROM versions)
 GROUP BY date, symbol""",
     ),
-    "ingest_bars": _with(
+    "ingest_bars": _with(BARS, f"SELECT {BAR} FROM bars"),
+    "ingest_rejects": _with(
+        BARS, "SELECT symbol, count(*) AS rejects FROM bars WHERE volume % 10 = 0 GROUP BY symbol"
+    ),
+    "ingest_added_column": _with(
+        BARS,
+        f"""SELECT {BAR}, CASE WHEN date >= DATE '1998-07-01' THEN CAST(CAST(volume AS BIGINT) AS VARCHAR) END AS lot
+FROM bars""",
+    ),
+    "ingest_bars_range": _with(
         BARS,
         f"""SELECT {BAR} FROM bars
 WHERE symbol IN ('NATION_1', 'NATION_7', 'NATION_12', 'NATION_20')
@@ -304,7 +313,7 @@ FROM (
          (arg_max(daily_close, date) - arg_min(daily_close, date)) / nullif(arg_min(daily_close, date), 0) * 100 AS return_pct,
          CAST(sum(daily_volume) AS DOUBLE) / count(daily_volume) AS avg_volume,
          avg(volatility_30d) AS mean_volatility
-  FROM gold WHERE date >= DATE '2000-11-04' GROUP BY symbol
+  FROM gold WHERE date BETWEEN DATE '1999-07-01' AND DATE '2000-06-30' GROUP BY symbol
 ) ORDER BY return_pct DESC NULLS LAST, symbol LIMIT 10""",
     ),
     "top_gainers": _with(
@@ -328,7 +337,7 @@ FROM gold WHERE symbol = 'NATION_19' AND date >= DATE '1999-01-01'""",
     "avg_return_by_symbol": _with(
         GOLD,
         f"""SELECT symbol, {E4.format("avg(daily_return_pct)")} AS avg_return_e4
-FROM gold WHERE date >= DATE '1996-01-01' GROUP BY symbol""",
+FROM gold GROUP BY symbol""",
     ),
     "sql_over_gold": _with(
         GOLD,
@@ -339,7 +348,13 @@ GROUP BY symbol, year(date)""",
     ),
     "export_json_rows": _with(
         GOLD,
-        """SELECT '{"symbol":"' || symbol || '","daily_volume":' || daily_volume || '}' AS record FROM gold""",
+        "SELECT '{\"symbol\":\"' || symbol || '\",\"date\":\"' || date || '\",\"daily_volume\":' || daily_volume"
+        + "".join(f" || ',\"{p}\":' || CAST(daily_{p} AS DECIMAL(10,2))" for p in ("open", "high", "low", "close"))
+        + "".join(
+            f" || ',\"{c}\":' || coalesce(CAST({E4.format(c)} AS VARCHAR), 'null')"
+            for c in ("daily_return_pct", "ma_50_day", "ma_200_day", "volatility_30d")
+        )
+        + " || '}' AS record FROM gold",
     ),
     "dq_nulls": _with(
         DIRTY,

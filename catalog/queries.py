@@ -17,7 +17,7 @@ from barlake.operators import bronze, gold, quality, retention, sector, serving,
 from barlake.plans import jobs
 from barlake.plans.sql import sql_over_layers
 from barlake.schemas import OHLC, conform
-from barlake.sources.files import read_bars, union_sources
+from barlake.sources.files import read_bars, rejected, union_sources
 from barlake.sources.layers import read_layer, write_layer
 from barlake.sources.scratch import scratch_path
 from barlake.streaming import (
@@ -78,24 +78,47 @@ def daily_summary(spark: SparkSession, sf: str) -> DataFrame:
     return gold.daily_summary(enriched, t.VERSION_ORDER)
 
 
+# A vendor's column names.
+VENDOR = {"Date": "date", "Open": "open", "High": "high", "Low": "low", "Close": "close",
+          "Adj Close": "adjusted_close", "Volume": "volume", "Symbol": "symbol"}
+
+
+def _landed(spark: SparkSession, bars: DataFrame) -> str:
+    """Bars as CSV files under the vendor's column names, which may include others."""
+    path, ours = scratch_path(spark, "landed"), {name: theirs for theirs, name in VENDOR.items()}
+    bars.withColumnsRenamed(ours).write.option("header", True).csv(path)
+    return path
+
+
 def ingest_bars(spark: SparkSession, sf: str) -> DataFrame:
-    """Bars landed as CSV under a vendor's column names, read back for some symbols and a range."""
-    landed = scratch_path(spark, "landed")
-    renamed = {"Date": "date", "Open": "open", "High": "high", "Low": "low", "Close": "close",
-               "Adj Close": "adjusted_close", "Volume": "volume", "Symbol": "symbol"}
-    vendor = t.bars(spark, sf).select(*[F.col(ours).alias(theirs) for theirs, ours in renamed.items()])
-    vendor.write.option("header", True).csv(landed)
-    return _bars_only(
-        read_bars(
-            spark,
-            landed,
-            "csv",
-            symbols=["NATION_1", "NATION_7", "NATION_12", "NATION_20"],
-            start="1996-01-01",
-            end="2000-12-31",
-            rename=renamed,
-        )
+    """All bars, landed as CSV and read back."""
+    return _bars_only(read_bars(spark, _landed(spark, t.bars(spark, sf)), "csv", rename=VENDOR))
+
+
+def ingest_bars_range(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed bars of some symbols and a range."""
+    wanted = ["NATION_1", "NATION_7", "NATION_12", "NATION_20"]
+    landed = _landed(spark, t.bars(spark, sf))
+    return _bars_only(read_bars(spark, landed, "csv", wanted, "1996-01-01", "2000-12-31", VENDOR))
+
+
+def ingest_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed records whose date cannot be read, per symbol, in spite of a date range."""
+    spoiled = t.bars(spark, sf).withColumn(
+        "date", F.when(F.col("volume") % 10 == 0, "n/a").otherwise(F.col("date").cast("string"))
     )
+    found = read_bars(spark, _landed(spark, spoiled), "csv", start="1996-01-01", rename=VENDOR)
+    return rejected(found).groupBy("symbol").agg(F.count("*").alias("rejects"))
+
+
+def ingest_added_column(spark: SparkSession, sf: str) -> DataFrame:
+    """Two landings, the later with one more column and another order of columns."""
+    rows = t.bars(spark, sf)
+    early = _landed(spark, rows.where("date < '1998-07-01'"))
+    late = rows.where("date >= '1998-07-01'").withColumn("lot", F.col("volume").cast("string"))
+    late = _landed(spark, late.select(*sorted(late.columns)))
+    found = read_bars(spark, [early, late], "csv", rename=VENDOR)
+    return found.select(*_bars_only(found).columns, "lot")
 
 
 def conform_schema(spark: SparkSession, sf: str) -> DataFrame:
@@ -315,7 +338,7 @@ def stock_history(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stock_performance(spark: SparkSession, sf: str) -> DataFrame:
-    rows = serving.stock_performance(t.gold(spark, sf), 365, 10, t.AS_OF)
+    rows = serving.stock_performance(t.gold(spark, sf), 365, 10, "2000-06-30")
     return rows.withColumn("avg_volatility_e4", e4("avg_volatility")).drop("avg_volatility")
 
 
@@ -332,7 +355,7 @@ def gold_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def avg_return_by_symbol(spark: SparkSession, sf: str) -> DataFrame:
-    rows = serving.avg_return_by_symbol(t.gold(spark, sf), "1996-01-01")
+    rows = serving.avg_return_by_symbol(t.gold(spark, sf))
     return rows.select("symbol", e4("avg_return").alias("avg_return_e4"))
 
 
@@ -351,7 +374,11 @@ def sql_over_gold(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def export_json_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return serving.json_rows(t.gold(spark, sf), ["symbol", "daily_volume"])
+    """All columns as JSON, with their NULLs; doubles as whole ten-thousandths."""
+    rows = t.gold(spark, sf)
+    doubles = ("daily_return_pct", "ma_50_day", "ma_200_day", "volatility_30d")
+    prices = [F.col(f"daily_{p}").cast("decimal(10,2)").alias(p) for p in ("open", "high", "low", "close")]
+    return serving.json_rows(rows.select("symbol", "date", "daily_volume", *prices, *[e4(c).alias(c) for c in doubles]))
 
 
 # --- quality, metrics, retention ---------------------------------------------
@@ -517,6 +544,9 @@ QUERIES: dict[str, Query] = {
     "ohlc_bars_events": ohlc_bars_events,
     "daily_summary": daily_summary,
     "ingest_bars": ingest_bars,
+    "ingest_bars_range": ingest_bars_range,
+    "ingest_rejects": ingest_rejects,
+    "ingest_added_column": ingest_added_column,
     "conform_schema": conform_schema,
     "union_sources": union_of_sources,
     "schema_evolution": schema_evolution,

@@ -44,8 +44,8 @@ def test_full_run_twice_changes_nothing_downstream(spark, tmp_path, partition):
     }
     before = stored_gold(spark, paths).collect()
     written = jobs.run_full(spark, sample, paths, batch_ts=LOADED, partition=partition)
-    assert [written[x]["rows"] for x in ("bronze", "silver", "gold")] == [2 * days] * 3
-    assert read_layer(spark, paths["bronze"]).count() == 4 * days
+    assert [written[x]["rows"] for x in ("bronze", "silver", "gold")] == [0, 2 * days, 2 * days]
+    assert read_layer(spark, paths["bronze"]).count() == 2 * days
     assert sorted(before) == sorted(stored_gold(spark, paths).collect())
 
 
@@ -234,3 +234,16 @@ def test_stream_gold_equals_batch(spark, tmp_path):
     want = gold.gold_layer(silver.silver_layer(as_versions(batch_ticks(spark, source))))
     assert same_rows(stored_gold(spark, paths), want.drop("_gold_timestamp"))
 
+
+
+@pytest.mark.parametrize("since", [None, "2024-02-02"])
+def test_full_run_removes_days_that_fell_away(spark, tmp_path, since):
+    paths = layer_paths(tmp_path)
+    sample = sample_bars(spark, 2, 8, end="2024-02-08").withColumn("symbol", F.col("symbol"))
+    jobs.run_full(spark, sample, paths, batch_ts=LOADED)
+    spoiled = sample.where("date = '2024-02-05'").withColumn("close", F.lit(None).cast("double"))
+    jobs.run_bronze(spoiled, paths, LOADED + dt.timedelta(days=1))
+    jobs.run_silver(spark, paths)
+    jobs.run_gold(spark, paths, since=since)
+    days = [r.date.day for r in stored_gold(spark, paths).select("date").distinct().orderBy("date").collect()]
+    assert days == [1, 2, 3, 4, 6, 7, 8]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from barlake.operators import bronze, silver
 from barlake.schemas import BRONZE, GOLD, OHLC, SILVER, SYMBOL_META, conform
-from barlake.sources.files import absent_symbols, read_bars, sample_bars, union_sources
+from barlake.sources.files import absent_symbols, read_bars, readable, rejected, sample_bars, union_sources
 from barlake.sources.layers import read_layer, write_layer
 from barlake.sources.scratch import scratch_path
 from util import LOADED, bars, column, day, loaded, one, same_rows, versions
@@ -60,26 +60,27 @@ def test_read_bars_csv_keeps_broken_records_and_filters(spark, tmp_path):
         "2022-01-02,1,2,0.5,1.9,1.5,100,n4,A\n"
     )
     rename = {"Adj Close": "adjusted_close"}
-    df = read_bars(spark, str(tmp_path), symbols=["A"], as_of="2024-06-30", rename=rename)
+    df = read_bars(spark, str(tmp_path), symbols=["A"], start="2023-07-01", rename=rename)
     assert column(df, "close") == [1.5, None]
     assert column(df, "adjusted_close")[0] == 1.25 and column(df, "Note") == ["n1", "n2"]
     assert "oops" in column(df, "_corrupt_record")[1]
     assert column(absent_symbols(df, ["A", "B", "C"]), "symbol", "symbol") == ["B", "C"]
-    with pytest.raises(ValueError):
-        read_bars(spark, str(tmp_path), symbols=["C"], as_of="2024-06-30", rename=rename)
+    assert read_bars(spark, str(tmp_path), rename=rename).count() == 4
+    assert read_bars(spark, str(tmp_path), symbols=["C"], rename=rename).isEmpty()
 
 
-def test_read_bars_refuses_files_with_differing_headers(spark, tmp_path):
+def test_read_bars_reads_each_file_by_its_header(spark, tmp_path):
     (tmp_path / "a.csv").write_text("date,symbol,close\n2024-01-01,A,1\n")
-    (tmp_path / "b.csv").write_text("symbol,date,close\nB,2024-01-01,2\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        read_bars(spark, str(tmp_path), as_of="2024-06-30").collect()
+    (tmp_path / "b.csv").write_text("symbol,date,close,pe\nB,2024-01-01,2,7\nC,never,3,8\n,2024-01-02,4,9\n")
+    df = read_bars(spark, str(tmp_path), symbols=["A", "B"], start="2024-01-01")
+    assert sorted((r.symbol, r.close, r.pe) for r in readable(df).collect()) == [("A", 1.0, None), ("B", 2.0, "7")]
+    assert sorted(r.close for r in rejected(df).collect()) == [3.0, 4.0]
 
 
 def test_read_bars_json(spark, tmp_path):
     path = str(tmp_path / "json")
     bars(spark, [1, 2, 3]).write.json(path)
-    assert column(read_bars(spark, path, "json", as_of=day(5)), "close") == [1.0, 2.0, 3.0]
+    assert column(read_bars(spark, path, "json"), "close") == [1.0, 2.0, 3.0]
 
 
 def test_union_keeps_duplicates_and_fills_columns(spark):
@@ -241,3 +242,15 @@ def test_scratch_is_the_folder_the_session_names(spark):
     if root:
         assert scratch_path(spark, "x").startswith(root)
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_purge_keeps_rows_without_load_time(spark):
+    rows = bars(spark, [1, 2]).withColumn("_ingestion_timestamp", F.lit(None).cast("timestamp"))
+    assert bronze.purge_superseded(rows, dt.datetime(2024, 6, 10), 24).count() == 2
+
+
+def test_newest_version_is_total(spark):
+    rows = bars(spark, [1]).union(bars(spark, [3])).union(bars(spark, [2]))
+    rows = rows.withColumn("_ingestion_timestamp", F.lit(dt.datetime(2024, 6, 1)))
+    for n in (1, 3):
+        assert column(silver.latest_version(rows.repartition(n)), "close") == [3.0]
