@@ -79,7 +79,11 @@ def _valid(kind: str, value: Column) -> Column:
 
 
 def _matches(text: Column, kind: str, pattern: str, base: bool) -> Column:
-    """Spans of a pattern's matches, from the lengths of what lies between them."""
+    """Spans of a pattern's good matches, from the lengths of what lies between matches.
+
+    A strict match that fails its check is passed over at once, so a text full of numbers
+    costs linear time; the spans kept are copied for each further one.
+    """
     value, gap = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     pairs = F.zip_with(value, F.slice(gap, F.lit(1), F.size(value)), lambda v, g: F.struct(v.alias("v"), F.length(g).alias("g")))
     empty = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
@@ -88,7 +92,9 @@ def _matches(text: Column, kind: str, pattern: str, base: bool) -> Column:
         start = acc["at"] + x["g"]
         end = start + F.length(x["v"])
         span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), x["v"].alias("value"), F.lit(base).alias("base"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+        longer = F.concat(acc["out"], F.array(span))
+        kept = F.when(_valid(kind, x["v"]), longer).otherwise(acc["out"]) if base else longer
+        return F.struct(end.alias("at"), kept.alias("out"))
 
     return F.aggregate(pairs, empty, step, lambda acc: acc["out"])
 
@@ -103,15 +109,10 @@ def with_candidates(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     some = {k: text.rlike(NEEDS[k]) for k in KINDS}
 
-    def found(patterns, base, keep):
-        parts = []
-        for k in KINDS:
-            spans = _matches(text, k, patterns[k], base)
-            parts.append(F.when(some[k], F.filter(spans, keep(k)) if keep else spans).otherwise(none))
-        return F.concat(*parts)
+    def found(patterns, base):
+        return F.concat(*[F.when(some[k], _matches(text, k, patterns[k], base)).otherwise(none) for k in KINDS])
 
-    rows = docs.withColumn("base", found(STRICT, True, lambda k: lambda s: _valid(k, s["value"])))
-    rows = rows.withColumn("near", found(LOOSE, False, None))
+    rows = docs.withColumn("base", found(STRICT, True)).withColumn("near", found(LOOSE, False))
     loose = F.filter("near", lambda s: ~F.exists("base", lambda b: _overlap(s, b)))
     return rows.withColumn("loose", F.when(F.size("near") > 0, loose).otherwise(none)).drop("near")
 

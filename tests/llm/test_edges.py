@@ -82,7 +82,7 @@ def test_kneser_ney(docs, nothing, spark):
     assert kneser_ney.score(nothing, empty, "doc_id long").count() == 0
 
 
-def test_pii(docs, nothing):
+def test_pii(docs, nothing):  # the long texts hold tens of thousands of numbers that are no cards
     assert all(r.spans == [] for r in pii.find_spans(docs).collect())
     assert pii.find_spans(nothing).count() == 0
 
