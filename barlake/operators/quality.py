@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import NumericType, StructType
 
-from barlake.functions import any_missing, missing
+from barlake.functions import any_missing, date_bound, day_between, missing
+from barlake.functions.expressions import DateLike
 from barlake.operators.silver import CRITICAL, KEYS
 
 
@@ -111,13 +112,18 @@ def schema_differences(df: DataFrame, schema: StructType) -> DataFrame:
     return _long_form(df, found)
 
 
-def missing_days(bars: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
-    """Days without a bar between a symbol's first and last bar.
+def missing_days(
+    bars: DataFrame, calendar: DataFrame | None = None, until: DateLike | None = None
+) -> DataFrame:
+    """Days without a bar between a symbol's first and last bar, or up to ``until``.
 
-    The gap before each bar is known from the previous bar, so only the missing
+    With ``until`` a symbol whose feed stopped misses every day after its last bar, and bars
+    after that date are not looked at.  The gap before each bar is known from the previous bar, so only the missing
     days are generated, not a grid of all days.  ``calendar`` (column ``date``)
     keeps only the days the market was open.
     """
+    if until is not None:
+        bars = bars.where(day_between(None, until))
     previous = F.lag("date").over(Window.partitionBy("symbol").orderBy("date"))
     gaps = (
         bars.select("symbol", "date", previous.alias("_previous"))
@@ -129,6 +135,11 @@ def missing_days(bars: DataFrame, calendar: DataFrame | None = None) -> DataFram
             ).alias("date"),
         )
     )
+    if until is not None:
+        last = bars.groupBy("symbol").agg(F.max("date").alias("_last"))
+        open_days = F.sequence(F.date_add("_last", 1), F.lit(date_bound(until)))
+        stopped = last.where(F.col("_last") < F.lit(date_bound(until)))
+        gaps = gaps.unionByName(stopped.select("symbol", F.explode(open_days).alias("date")))
     if calendar is None:
         return gaps
     return gaps.join(calendar.select("date").distinct(), "date", "left_semi").select("symbol", "date")

@@ -402,6 +402,13 @@ FROM (
         """SELECT g.symbol, g.date FROM (
   SELECT symbol, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date
   FROM (SELECT symbol, min(date) AS lo, max(date) AS hi FROM bars GROUP BY symbol)
+) g ANTI JOIN bars ON g.symbol = bars.symbol AND g.date = bars.date""",
+    ),
+    "missing_days_until": _with(
+        BARS,
+        """SELECT g.symbol, g.date FROM (
+  SELECT symbol, CAST(unnest(generate_series(lo, DATE '2001-11-20', INTERVAL 1 DAY)) AS DATE) AS date
+  FROM (SELECT symbol, min(date) AS lo FROM bars GROUP BY symbol)
 ) g ANTI JOIN bars ON g.symbol = bars.symbol AND g.date = bars.date""",
     ),
     "profile_columns": _with(

@@ -411,6 +411,11 @@ def missing_days(spark: SparkSession, sf: str) -> DataFrame:
     return quality.missing_days(t.bars(spark, sf))
 
 
+def missing_days_until(spark: SparkSession, sf: str) -> DataFrame:
+    """Missing days up to a date after the last bars."""
+    return quality.missing_days(t.bars(spark, sf), until="2001-11-20")
+
+
 def profile_columns(spark: SparkSession, sf: str) -> DataFrame:
     """The exact columns of the profile; the approximate ones have no counterpart in SQL."""
     profile = quality.profile_columns(t.bars(spark, sf))
@@ -593,6 +598,7 @@ QUERIES: dict[str, Query] = {
     "dq_score": dq_score,
     "distinct_keys": distinct_keys,
     "missing_days": missing_days,
+    "missing_days_until": missing_days_until,
     "profile_columns": profile_columns,
     "layer_counts": layer_counts,
     "layer_lineage": layer_lineage,

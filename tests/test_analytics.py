@@ -340,3 +340,9 @@ def test_layer_metrics(spark):
     assert metrics == {"symbol": "TEST", "bars": 3, "latest_date": day(2), "avg_volume": 1e6}
     dist = one(quality.return_distribution(gold_rows(spark)))
     assert dist["symbols"] == 4 and dist["returns"] == 5
+
+
+def test_missing_days_up_to_a_date(spark):
+    rows = bars(spark, [1, 2], "STOPPED", days=[0, 2]).union(bars(spark, [1, 2], "LATER", days=[1, 9]))
+    got = {(r.symbol, r.date) for r in quality.missing_days(rows, until=day(4)).collect()}
+    assert got == {("STOPPED", day(n)) for n in (1, 3, 4)} | {("LATER", day(n)) for n in (2, 3, 4)}
