@@ -76,20 +76,16 @@ def quality_flags(df: DataFrame) -> DataFrame:
     )
 
 
-def silver_layer(
-    bronze: DataFrame,
+def newest_rows(
+    versions: DataFrame,
     keys: Sequence[str] = KEYS,
     newest: Sequence[str] = NEWEST,
     run_ts: Column | None = None,
 ) -> DataFrame:
-    """Raw versions -> clean rows: dedup, cast, gap filter, quality flag, run time.
-
-    One shuffle, by key; everything after the dedup is row-local.
-    """
+    """The newest version of each key, typed, flagged and stamped, valid or not."""
     return (
-        latest_version(bronze, keys, newest)
+        latest_version(versions, keys, newest)
         .transform(cast_prices)
-        .transform(drop_missing)
         .transform(quality_flags)
         .drop("_failed_rules")
         .withColumn(
@@ -99,6 +95,20 @@ def silver_layer(
     )
 
 
+def silver_layer(
+    bronze: DataFrame,
+    keys: Sequence[str] = KEYS,
+    newest: Sequence[str] = NEWEST,
+    run_ts: Column | None = None,
+) -> DataFrame:
+    """Raw versions -> clean rows: dedup, cast, gap filter, quality flag, run time.
+
+    The newest version is chosen first and checked afterwards: a bar whose newest version
+    is invalid has no clean row.  One shuffle, by key; everything after it is row-local.
+    """
+    return drop_missing(newest_rows(bronze, keys, newest, run_ts))
+
+
 def upsert_latest(
     target: DataFrame,
     batch: DataFrame,
@@ -109,6 +119,31 @@ def upsert_latest(
     return latest_version(union_sources([target, batch]), keys, newest)
 
 
+def changed_keys(
+    existing: DataFrame,
+    incoming: DataFrame,
+    columns: Sequence[str],
+    keys: Sequence[str] = KEYS,
+    newest: Sequence[str] = NEWEST,
+) -> DataFrame:
+    """Keys of ``incoming`` that the table lacks or whose newest version differs in ``columns``.
+
+    Both sides are reduced to one row per key before they meet; NULL equals NULL here.  A
+    column the table does not have counts as NULL there.
+    """
+    ours = latest_version(incoming, keys, newest).select(*keys, F.struct(*columns).alias("_ours"))
+    held = [
+        (F.col(c) if c in existing.columns else F.lit(None)).try_cast(incoming.schema[c].dataType).alias(c)
+        for c in columns
+    ]
+    theirs = latest_version(existing, keys, newest).select(
+        *[F.col(k).alias(f"_held_{k}") for k in keys], F.struct(*held).alias("_theirs")
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys]
+    both = ours.join(theirs, same, "left")
+    return both.where(~F.col("_ours").eqNullSafe(F.col("_theirs"))).select(*keys)
+
+
 def new_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Incoming rows whose key the table does not hold yet.
 

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barlake.functions import date_bound, moment
 from barlake.functions.expressions import DateLike
-from barlake.operators.bronze import append_bronze, with_ingestion
+from barlake.operators.bronze import append_bronze, purge_superseded, with_ingestion
 from barlake.operators.gold import gold_layer, gold_since, gold_tail, idle_symbols
 from barlake.operators.retention import cut_layer, cutoff_date
-from barlake.operators.silver import NEWEST, new_rows, silver_layer, upsert_latest
-from barlake.sources.layers import drop_absent, merge_layer, read_layer, write_layer
+from barlake.operators.silver import KEYS, NEWEST, changed_keys, new_rows, silver_layer
+from barlake.sources.layers import drop_absent, holds_rows, read_layer, replace_keys, write_layer
 from barlake.sources.scratch import delete_path, path_exists, scratch_path
 
 
@@ -131,18 +131,23 @@ def refresh_gold(
     average_as: str | None = None,
     partition: str = "date",
 ) -> None:
-    """Recompute the analytics rows that changed bars influence, in place.
+    """Recompute the analytics rows that changed or removed bars influence, in place.
 
-    The stored rows of a touched partition that are not recomputed stay.
+    ``touched`` holds (symbol, date) and should be a stored table.  The stored rows of a
+    partition that are not recomputed stay; a touched key without a clean row has none here.
     """
-    silver = read_layer(spark, layer_path(paths, "silver"))
-    idle = idle_symbols(silver, touched)
-    tail = gold_tail(silver, touched, average_as=average_as, idle=idle)
-
-    def recomputed_first(existing: DataFrame, batch: DataFrame) -> DataFrame:
-        return batch.unionByName(new_rows(batch, existing), allowMissingColumns=True)
-
-    merge_layer(spark, layer_path(paths, "gold"), tail, recomputed_first, staging, partition)
+    if not holds_rows(spark, layer_path(paths, "silver")):
+        replace_keys(spark, layer_path(paths, "gold"), touched, touched.limit(0), f"{staging}/gold", partition)
+        return
+    tail = f"{staging}/tail"
+    if not path_exists(spark, f"{tail}/_SUCCESS"):
+        silver = read_layer(spark, layer_path(paths, "silver"))
+        idle = idle_symbols(silver, touched)
+        rows = gold_tail(silver, touched, average_as=average_as, idle=idle)
+        rows.write.mode("overwrite").parquet(tail)
+    rows = spark.read.parquet(tail)
+    keys = rows.select(*KEYS).union(touched.select(*KEYS))
+    replace_keys(spark, layer_path(paths, "gold"), keys, rows, f"{staging}/gold", partition)
 
 
 def run_incremental(
@@ -155,34 +160,99 @@ def run_incremental(
     newest: Sequence[str] = NEWEST,
     partition: str = "date",
 ) -> None:
-    """Bring the layers up to date with the rows of ``bars`` not loaded before.
-
-    New is a (symbol, date) the raw layer does not hold; corrections of known
-    ones come in through ``run_full`` or the streaming upsert.  Only the
-    partitions of new dates are rewritten in the clean layer and, in the
-    analytics layer, those from a symbol's first new date on.  The clean layer
-    must still hold the longest frame (``cut_layer(..., look_back=200)``).
-    Give ``staging``, a new path for each run, to be able to resume an
-    interrupted one; its folder is removed once the run is complete.
+    """Bring the layers up to date with what is new or corrected in ``bars``.
+
+    The bars of a (symbol, date) are loaded if the raw layer does not hold it, or holds
+    other values in its newest version; a bar whose newest version is invalid leaves the
+    clean and the analytics layer.  Only the partitions of such dates are rewritten in the
+    clean layer and, in the analytics layer, those that the longest frame carries a change
+    to.  The clean layer must still hold that frame (``cut_layer(..., look_back=200)``).
+    Give ``staging``, a new path for each run, to be able to resume an interrupted one;
+    its folder is removed once the run is complete.
     """
     staging = staging or scratch_path(spark, "incremental")
-    bronze = layer_path(paths, "bronze")
-    arrived = f"{staging}/arrived"
+    bronze, arrived = layer_path(paths, "bronze"), f"{staging}/arrived"
     if not path_exists(spark, f"{arrived}/_SUCCESS"):
-        fresh = new_rows(read_layer(spark, bronze), bars) if path_exists(spark, bronze) else bars
-        loaded = write_layer(with_ingestion(fresh, batch_ts), arrived, "overwrite", partition)
-        if loaded["rows"] == 0:
+        if write_layer(with_ingestion(bars, batch_ts), arrived, "overwrite", partition)["rows"] == 0:
             delete_path(spark, staging)
             return
     batch = read_layer(spark, arrived)
-    if path_exists(spark, bronze):  # on a resumed run the append may have happened
-        write_layer(new_rows(read_layer(spark, bronze), batch), bronze, "append", partition)
-    else:
-        write_layer(batch, bronze, "append", partition)
-    newest_wins = lambda stored, arrived: upsert_latest(stored, arrived, newest=newest)
-    clean = silver_layer(batch, newest=newest)
-    silver = layer_path(paths, "silver")
-    if merge_layer(spark, silver, clean, newest_wins, f"{staging}/silver", partition):
-        touched = read_layer(spark, f"{staging}/silver/batch").select("symbol", "date")
-        refresh_gold(spark, paths, touched, f"{staging}/gold", average_as, partition)
+    changed = _stored_changes(spark, bronze, batch, bars.columns, newest, f"{staging}/changed")
+    if changed.isEmpty():
+        delete_path(spark, staging)
+        return
+    _append_once(spark, bronze, _of_keys(batch, changed), partition)
+    dated = changed.where("date IS NOT NULL AND symbol IS NOT NULL")
+    versions = _of_keys(_in_dates_of(read_layer(spark, bronze), dated), dated)
+    clean = silver_layer(versions, newest=newest)
+    replace_keys(spark, layer_path(paths, "silver"), dated, clean, f"{staging}/silver", partition)
+    refresh_gold(spark, paths, dated, staging, average_as, partition)
+    delete_path(spark, staging)
+
+
+def _stored_changes(
+    spark: SparkSession, bronze: str, batch: DataFrame, bar: Sequence[str], newest: Sequence[str], path: str
+) -> DataFrame:
+    """The changed keys of a batch, written once: after the append they could not be told any more."""
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        if path_exists(spark, bronze):
+            held = _in_dates_of(read_layer(spark, bronze), batch)
+            values = [c for c in bar if c not in KEYS]
+            changed = changed_keys(held, batch, values, newest=newest)
+        else:
+            changed = batch.select(*KEYS).distinct()
+        changed.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _in_dates_of(table: DataFrame, batch: DataFrame) -> DataFrame:
+    """Rows of the table between the batch's first and last date, and undated ones; others are pruned."""
+    first, last = (batch.select(f("date")).scalar() for f in (F.min, F.max))
+    return table.where(F.col("date").between(first, last) | F.col("date").isNull())
+
+
+def _of_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    wanted = keys.select(*[F.col(k).alias(f"_key_{k}") for k in KEYS])
+    return rows.join(wanted, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in KEYS], "left_semi")
+
+
+def _append_once(spark: SparkSession, bronze: str, rows: DataFrame, partition: str) -> None:
+    """Append rows to the raw layer, but for those it holds under the same load time (a resumed run)."""
+    if path_exists(spark, bronze):
+        stamp = rows.select(F.max("_ingestion_timestamp")).scalar()
+        table = read_layer(spark, bronze)
+        known = table.where(F.col("_ingestion_timestamp") == stamp)
+        shared = [c for c in rows.columns if c in table.columns]
+        known = known.select(*[F.col(c).alias(f"_known_{c}") for c in shared])
+        rows = rows.join(known, [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in shared], "left_anti")
+    write_layer(rows, bronze, "append", partition)
+
+
+def purge_bronze(
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    as_of: dt.datetime,
+    retention_hours: int = 24,
+    newest: Sequence[str] = NEWEST,
+    partition: str = "date",
+    staging: str | None = None,
+) -> None:
+    """Remove superseded versions older than the retention from the stored raw layer.
+
+    Only the partitions that hold an old key with several versions are rewritten, through
+    ``staging``, which makes an interrupted run resumable.
+    """
+    staging = staging or scratch_path(spark, "purge")
+    path, kept = layer_path(paths, "bronze"), f"{staging}/kept"
+    if not path_exists(spark, f"{kept}/_SUCCESS"):
+        raw = read_layer(spark, path)
+        day = F.col("date") if partition == "date" else F.trunc("date", "month")
+        cutoff = moment(as_of) - F.make_dt_interval(hours=F.lit(retention_hours))
+        copies = raw.groupBy(*KEYS).agg(F.count("*").alias("n"), F.min("_ingestion_timestamp").alias("oldest"))
+        days = copies.where((F.col("n") > 1) & (F.col("oldest") < cutoff)).select(day.alias("_day")).distinct()
+        affected = raw.join(days, day.eqNullSafe(F.col("_day")), "left_semi")
+        rows = purge_superseded(affected, as_of, retention_hours, newest=newest)
+        if write_layer(rows, kept, "overwrite", partition)["rows"] == 0:
+            return
+    write_layer(read_layer(spark, kept), path, "replace", partition)
     delete_path(spark, staging)

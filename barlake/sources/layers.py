@@ -12,14 +12,14 @@ partitions, but a concurrent reader may see some replaced and some not.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from barlake.functions import day_between, date_bound
 from barlake.functions.expressions import DateLike
-from barlake.sources.scratch import delete_path, path_exists
+from barlake.sources.scratch import child_names, delete_path, path_exists
 
 MONTH = "_month"
 
@@ -106,48 +106,48 @@ def read_layer(
     return df if schema is None else df.select(*schema.names)
 
 
-def merge_layer(
+def replace_keys(
     spark: SparkSession,
     path: str,
-    batch: DataFrame,
-    resolve: Callable[[DataFrame, DataFrame], DataFrame],
+    keys: DataFrame,
+    rows: DataFrame,
     staging: str,
     partition: str = "date",
     fmt: str = "parquet",
-) -> bool:
-    """Replace the partitions a batch touches with ``resolve(existing, batch)``.
-
-    The batch and then the merged rows are first written under ``staging``.
-    Replaying an interrupted merge with the same ``staging`` reuses the merged
-    rows if they were complete, so a half-replaced table is repaired and the
-    rows of a partition dropped midway are not lost.  Returns whether the batch
-    held any row; the batch as it arrived stays readable at ``staging/batch``.
-    One writer at a time: a replay puts back the rows it merged at first.
+) -> None:
+    """Replace the rows of the given (symbol, date) keys by ``rows``; only their partitions are rewritten.
+
+    ``rows`` holds at most these keys; a key without a row there is deleted, and so is a
+    partition that keeps none.  ``keys`` is read more than once and should be a stored
+    table.  The merged partitions are first written under ``staging``: replaying an
+    interrupted call with the same ``staging`` reuses them, so a half-replaced table is
+    repaired and the rows of a partition dropped midway are not lost.  One writer at a
+    time: a replay puts back the rows it merged at first.
     """
-    merged = f"{staging}/merged"
+    column, merged = _partition_column(partition), f"{staging}/merged"
+    # One value per day or month at most, so listing them on the driver is bounded by the
+    # calendar; as literals they prune the scan.
+    day = F.col("date") if column == "date" else _month_of("date")
+    days = [r[0] for r in keys.select(day.alias("d")).distinct().collect()]
     if not path_exists(spark, f"{merged}/_SUCCESS"):
-        arrived = f"{staging}/batch"
-        if write_layer(batch, arrived, "overwrite", partition, fmt)["rows"] == 0:
-            return False
-        batch = read_layer(spark, arrived, fmt=fmt)
-        rows = batch
-        if path_exists(spark, path):
-            rows = resolve(_touched(spark, path, arrived, partition, fmt), batch)
+        if holds_rows(spark, path):
+            table = spark.read.format(fmt).load(path).where(F.col(column).isin(days)).drop(MONTH)
+            gone = keys.select(F.col("symbol").alias("_symbol"), F.col("date").alias("_date"))
+            same = (F.col("symbol") == F.col("_symbol")) & (F.col("date") == F.col("_date"))
+            rows = rows.unionByName(table.join(gone, same, "left_anti"), allowMissingColumns=True)
         write_layer(rows, merged, "overwrite", partition, fmt)
-    write_layer(read_layer(spark, merged, fmt=fmt), path, "replace", partition, fmt)
-    return True
-
+    kept = set()
+    if holds_rows(spark, merged):
+        rows = spark.read.format(fmt).load(merged)
+        kept = {r[0] for r in rows.select(column).distinct().collect()}
+        write_layer(rows.drop(MONTH), path, "replace", partition, fmt)
+    for value in set(days) - kept:
+        delete_path(spark, f"{path}/{column}={value.isoformat()}")
 
-def _touched(spark: SparkSession, path: str, arrived: str, partition: str, fmt: str) -> DataFrame:
-    """Rows of the table in the partitions that the staged batch holds.
 
-    Partition values are one per day or month at most, so listing them on the
-    driver is bounded by the calendar; as literals they prune the scan.
-    """
-    column = _partition_column(partition)
-    values = [r[0] for r in spark.read.format(fmt).load(arrived).select(column).distinct().collect()]
-    table = spark.read.format(fmt).load(path).where(F.col(column).isin(values))
-    return table.drop(MONTH) if column == MONTH else table
+def holds_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a layer holds any partition; Spark cannot read a table that holds none."""
+    return path_exists(spark, path) and any("=" in name for name in child_names(spark, path))
 
 
 def drop_before(
@@ -155,16 +155,16 @@ def drop_before(
 ) -> None:
     """Delete the rows dated strictly before ``cutoff``.
 
-    Partitions that lie wholly before it are removed without reading a row;
-    under the month layout the one month the cutoff falls in is rewritten.
+    Partitions that lie wholly before it are listed from the store and removed without
+    opening a file; under the month layout the one month the cutoff falls in is rewritten.
     """
     column = _partition_column(partition)
     cutoff = date_bound(cutoff)
     table = spark.read.format(fmt).load(path)
     floor = cutoff if column == "date" else cutoff.replace(day=1)
-    expired = table.where(F.col(column) < F.lit(floor)).select(column).distinct()
-    for row in expired.collect():  # one value per day or month: bounded by the calendar
-        delete_path(spark, f"{path}/{column}={row[0].isoformat()}")
+    for name in child_names(spark, path):  # one folder per day or month
+        if name.startswith(f"{column}=") and name[len(column) + 1 :] < floor.isoformat():
+            delete_path(spark, f"{path}/{name}")
     if column == MONTH and cutoff != floor:
         month = table.where(F.col(MONTH) == F.lit(floor)).drop(MONTH)
         kept = month.where(F.col("date") >= F.lit(cutoff))

@@ -36,3 +36,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target = jvm.org.apache.hadoop.fs.Path(path)
     store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     store.delete(target, True)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders right under a folder, on whatever store the path names."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [entry.getPath().getName() for entry in store.listStatus(target)]

@@ -4,28 +4,60 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from barlake.operators.silver import NEWEST, silver_layer, upsert_latest
+from barlake.operators.silver import (
+    CRITICAL,
+    KEYS,
+    NEWEST,
+    drop_missing,
+    latest_version,
+    newest_rows,
+    null_rows,
+)
 from barlake.plans.jobs import layer_path, refresh_gold
-from barlake.sources.layers import merge_layer, read_layer
-from barlake.sources.scratch import delete_path
+from barlake.sources.files import union_sources
+from barlake.sources.layers import holds_rows, read_layer, replace_keys
+from barlake.sources.scratch import delete_path, path_exists
 from barlake.streaming.ingest import AVAILABLE_NOW
 
 
+def withdrawn_path(path: str) -> str:
+    """Where a streamed clean layer keeps the keys whose newest version is invalid."""
+    return f"{path.rstrip('/')}-withdrawn"
+
+
 def _merge_clean(
     batch: DataFrame, path: str, staging: str, newest: Sequence[str], partition: str
-) -> bool:
-    clean = silver_layer(batch, newest=newest)
-    return merge_layer(
-        batch.sparkSession,
-        path,
-        clean,
-        lambda existing, arrived: upsert_latest(existing, arrived, newest=newest),
-        staging,
-        partition,
-    )
+) -> DataFrame:
+    """Merge a micro-batch into the clean layer; returns its (symbol, date) keys, stored.
+
+    The newest version of a key is chosen among the batch, the clean row and the withdrawn
+    one, and checked afterwards: an invalid newest version takes the clean row away, and an
+    older valid one that arrives later does not bring it back.
+    """
+    spark, chosen, withdrawn = batch.sparkSession, f"{staging}/newest", withdrawn_path(path)
+    if not path_exists(spark, f"{chosen}/_SUCCESS"):
+        arrived = f"{staging}/batch"
+        dated = batch.where("symbol IS NOT NULL AND date IS NOT NULL")
+        newest_rows(dated, newest=newest).write.mode("overwrite").parquet(arrived)
+        rows = spark.read.parquet(arrived)
+        first, last = (rows.select(f("date")).scalar() for f in (F.min, F.max))
+        keys = rows.select(*[F.col(k).alias(f"_key_{k}") for k in KEYS])
+        same = [F.col(k) == F.col(f"_key_{k}") for k in KEYS]
+        for table in (path, withdrawn):
+            if holds_rows(spark, table):
+                old = read_layer(spark, table).where(F.col("date").between(first, last))
+                rows = union_sources([rows, old.join(keys, same, "left_semi")])
+        latest_version(rows, newest=newest).write.mode("overwrite").parquet(chosen)
+    rows = spark.read.parquet(chosen)
+    keys = rows.select(*KEYS)
+    valid, invalid = drop_missing(rows), null_rows(rows, CRITICAL)
+    replace_keys(spark, path, keys, valid, f"{staging}/clean", partition)
+    if holds_rows(spark, withdrawn) or not invalid.isEmpty():
+        replace_keys(spark, withdrawn, keys, invalid, f"{staging}/withdrawn", partition)
+    return keys
 
 
 def _forget_previous(batch: DataFrame, staging: str, batch_id: int) -> None:
@@ -81,10 +113,9 @@ def start_gold_refresh(
         _forget_previous(batch, staging, batch_id)
         stage = f"{staging}/{batch_id}"
         silver = layer_path(paths, "silver")
-        if _merge_clean(batch, silver, f"{stage}/silver", newest, partition):
-            spark = batch.sparkSession
-            touched = read_layer(spark, f"{stage}/silver/batch").select("symbol", "date")
-            refresh_gold(spark, paths, touched, f"{stage}/gold", average_as, partition)
+        touched = _merge_clean(batch, silver, f"{stage}/silver", newest, partition)
+        if not touched.isEmpty():
+            refresh_gold(batch.sparkSession, paths, touched, stage, average_as, partition)
 
     return (
         versions.writeStream.foreachBatch(refresh)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from barlake.operators import gold, retention, silver
 from barlake.plans import jobs
 from barlake.sources.files import sample_bars
-from barlake.sources.layers import merge_layer, read_layer, write_layer
+from barlake.sources.layers import read_layer, replace_keys, write_layer
 from barlake.sources.scratch import delete_path, path_exists
 from barlake.streaming import (
     bars_from_stream,
@@ -92,16 +92,68 @@ def test_incremental_resumes_after_a_stop(spark, tmp_path, monkeypatch):
     assert same_rows(stored_gold(spark, paths), want)
 
 
-def test_merge_repairs_a_half_replaced_table(spark, tmp_path):
+def test_replaced_keys_repair_a_half_replaced_table(spark, tmp_path):
     path, staging = str(tmp_path / "silver"), str(tmp_path / "staging")
     write_layer(loaded(bars(spark, [1, 2, 3])), path, "overwrite")
     batch = loaded(bars(spark, [20, 40], days=[1, 3]))
-    newer = lambda old, new: silver.upsert_latest(old, new, newest=("close",))
-    merge_layer(spark, path, batch, newer, staging)
+    replace_keys(spark, path, batch.select("symbol", "date"), batch, staging)
     delete_path(spark, f"{path}/date={day(1)}")  # as if the commit had stopped here
-    merge_layer(spark, path, batch, newer, staging)
+    replace_keys(spark, path, batch.select("symbol", "date"), batch, staging)
     assert column(read_layer(spark, path), "close") == [1.0, 20.0, 3.0, 40.0]
-    assert not merge_layer(spark, path, batch.where("false"), newer, str(tmp_path / "empty"))
+    empty = batch.where("false")
+    replace_keys(spark, path, batch.select("symbol", "date"), empty, str(tmp_path / "gone"))
+    assert column(read_layer(spark, path), "close") == [1.0, 3.0]
+    everything = loaded(bars(spark, [1, 2, 3])).select("symbol", "date")
+    replace_keys(spark, path, everything, empty, str(tmp_path / "all"))
+    assert not path_exists(spark, f"{path}/date={day(0)}")
+    replace_keys(spark, path, batch.select("symbol", "date"), batch, str(tmp_path / "again"))
+    assert column(read_layer(spark, path), "close") == [20.0, 40.0]
+
+
+@pytest.mark.parametrize("partition", ["date", "month"])
+def test_incremental_takes_corrections_and_withdrawals(spark, tmp_path, partition):
+    step = 1 if partition == "month" else 5
+    days = range(0, 260, step)
+    before = bars(spark, range(100, 100 + len(days)), "A", days).union(bars(spark, [5, 6, 7], "B", [0, 5, 200]))
+    close = F.when(F.col("date") == F.lit(day(20)), 500.0).when(
+        (F.col("date") == F.lit(day(5))), F.lit(None).cast("double")
+    ).otherwise(F.col("close"))
+    after = before.withColumn("close", close)
+    full, inc = layer_paths(tmp_path / "full"), layer_paths(tmp_path / "inc")
+    later = LOADED + dt.timedelta(days=1)
+    jobs.run_full(spark, after, full, batch_ts=LOADED, partition=partition)
+    jobs.run_full(spark, before, inc, batch_ts=LOADED, partition=partition)
+    folder = "date=" + str(day(255)) if partition == "date" else "_month=2024-09-01"
+    untouched = sorted((tmp_path / "inc" / "gold" / folder).glob("*.parquet"))
+    for _ in range(2):  # the second run finds nothing new
+        jobs.run_incremental(spark, after, inc, later, partition=partition)
+    assert same_rows(stored_gold(spark, inc), stored_gold(spark, full))
+    assert untouched == sorted((tmp_path / "inc" / "gold" / folder).glob("*.parquet"))
+    assert read_layer(spark, inc["bronze"]).count() == before.count() + 3
+    jobs.run_incremental(spark, before, inc, later + dt.timedelta(days=1), partition=partition)
+    want = gold.gold_layer(loaded(before)).drop("_gold_timestamp")
+    assert same_rows(stored_gold(spark, inc), want)
+
+
+def test_incremental_keeps_undated_records_in_the_raw_layer_once(spark, tmp_path):
+    paths = layer_paths(tmp_path)
+    rows = bars(spark, [1, 2, 3])
+    undated = rows.limit(1).withColumn("date", F.lit(None).cast("date"))
+    jobs.run_full(spark, rows, paths, batch_ts=LOADED)
+    for n in (1, 2):
+        jobs.run_incremental(spark, rows.unionByName(undated), paths, LOADED + dt.timedelta(days=n))
+    assert read_layer(spark, paths["bronze"]).count() == 4
+    assert stored_gold(spark, paths).count() == 3
+
+
+@pytest.mark.parametrize("partition", ["date", "month"])
+def test_purge_of_the_stored_raw_layer(spark, tmp_path, partition):
+    paths = layer_paths(tmp_path)
+    for n, closes in enumerate(([1, 2, 3], [10, 2.5], [7])):
+        jobs.run_bronze(bars(spark, closes), paths, LOADED + dt.timedelta(days=n), partition)
+    jobs.purge_bronze(spark, paths, LOADED + dt.timedelta(days=2, hours=1), 24, partition=partition)
+    left = read_layer(spark, paths["bronze"])
+    assert sorted(r.close for r in left.collect()) == [2.5, 3.0, 7.0]
 
 
 @pytest.mark.parametrize("partition", ["date", "month"])
@@ -225,6 +277,21 @@ def test_stream_upsert_equals_batch(spark, tmp_path, partition):
     assert not path_exists(spark, str(tmp_path / "stage" / "1"))
 
 
+@pytest.mark.parametrize("partition", ["date", "month"])
+def test_invalid_newest_version_leaves_the_streamed_layers(spark, tmp_path, partition):
+    source, paths = tmp_path / "in", layer_paths(tmp_path)
+    land(spark, source, 0, [(at(0, 9), "A", 5.0, 1, 1), (at(1, 9), "A", 6.0, 1, 2), (at(2, 9), "A", 7.0, 1, 3)])
+    land(spark, source, 1, [(at(1, 12), "A", None, 1, 4)])  # withdraws the second day
+    land(spark, source, 2, [(at(1, 10), "A", 6.5, 1, 5)])  # late and older: does not bring it back
+    start_gold_refresh(
+        as_versions(tick_stream(spark, source)), paths, str(tmp_path / "check"), str(tmp_path / "stage"),
+        partition=partition,
+    ).awaitTermination()
+    want = silver.silver_layer(as_versions(batch_ticks(spark, source)))
+    assert column(read_layer(spark, paths["silver"]), "close") == [5.0, 7.0]
+    assert same_rows(stored_gold(spark, paths), gold.gold_layer(want).drop("_gold_timestamp"))
+
+
 def test_stream_gold_equals_batch(spark, tmp_path):
     source, paths = tmp_path / "in", layer_paths(tmp_path)
     spread_ticks(spark, source)
