@@ -125,6 +125,14 @@ def _gold_over(bars: str) -> str:
 
 GOLD = BARS + _gold_over("bars")
 
+# Bars after a later load corrected some closes and withdrew others.
+CORRECTED = BARS + """, corrected AS (
+  SELECT * REPLACE (CASE WHEN volume % 43 = 0 THEN close * 2 ELSE close END AS close)
+  FROM bars WHERE volume % 41 <> 0
+)""" + _gold_over("corrected")
+
+REMAINING = BARS + ", remaining AS (SELECT * FROM bars WHERE volume % 41 <> 0)" + _gold_over("remaining")
+
 GOLD_COLUMNS = """date, symbol, daily_open, daily_high, daily_low, daily_close, daily_volume,
   daily_return_pct, ma_50_day, ma_200_day, CAST(floor(volatility_30d * 10000) AS BIGINT) AS volatility_e4"""
 
@@ -284,6 +292,25 @@ WHERE symbol IS NULL OR close IS NULL""",
     "gold_layer": _with(GOLD, f"SELECT {GOLD_COLUMNS} FROM gold"),
     "layers_end_to_end": _with(GOLD, f"SELECT {GOLD_COLUMNS} FROM gold"),
     "incremental_run": _with(GOLD, f"SELECT {GOLD_COLUMNS} FROM gold"),
+    "incremental_correction": _with(CORRECTED, f"SELECT {GOLD_COLUMNS} FROM gold"),
+    "incremental_late_bar": _with(GOLD, f"SELECT {GOLD_COLUMNS} FROM gold"),
+    "rebuild_after_removal": _with(REMAINING, f"SELECT {GOLD_COLUMNS} FROM gold"),
+    "full_run_retained": _with(
+        GOLD,
+        f"""SELECT * FROM (SELECT date, symbol FROM bars WHERE date >= DATE '2001-11-04' - 90)
+LEFT JOIN (SELECT {GOLD_COLUMNS} FROM gold WHERE date >= DATE '2001-11-04' - 30) USING (date, symbol)""",
+    ),
+    "run_metrics": _with(
+        BARS,
+        """SELECT layer, count(*) AS rows, min(date) AS first_date, max(date) AS last_date
+FROM bars CROSS JOIN (VALUES ('bronze'), ('silver'), ('gold')) AS layers(layer) GROUP BY layer""",
+    ),
+    "purge_stored": _with(
+        VERSIONS,
+        f"""SELECT {BAR}, l_linenumber, l_partkey, l_suppkey FROM versions
+QUALIFY {NEWEST_VERSION} = 1 OR loaded >= TIMESTAMP '1999-06-30 00:30:00' - INTERVAL 365 DAYS""",
+    ),
+    "gold_since": _with(GOLD, f"SELECT {GOLD_COLUMNS} FROM gold WHERE date >= DATE '2000-02-29'"),
     "ml_lag_features": _with(
         BARS,
         "SELECT date, symbol, close, "
@@ -477,7 +504,16 @@ FROM bars ASOF LEFT JOIN (
     ),
     "stream_bronze": EVENT_ROWS,
     "stream_dedup": EVENT_ROWS,
-    "stream_daily_bars": _with(EVENT_BARS, "SELECT * FROM event_bars"),
+    "stream_daily_bars": _with(EVENT_BARS, "SELECT *, close AS adjusted_close FROM event_bars"),
+    "stream_bars_closed": _with(
+        EVENT_BARS,
+        f"""SELECT {BAR}, CASE WHEN date < DATE '2024-01-20' THEN 'clean' ELSE 'log' END AS place
+FROM (SELECT *, close AS adjusted_close FROM event_bars)""",
+    ),
+    "stream_upsert_invalid": _with(
+        EVENT_LATEST + ", valid AS (SELECT * FROM event_latest WHERE event_id % 5 <> 0)" + _gold_over("valid"),
+        f"SELECT {GOLD_COLUMNS} FROM gold",
+    ),
     "stream_upsert": _with(EVENT_LATEST, f"SELECT {BAR}, event_id FROM event_latest"),
     "stream_gold_tail": _with(
         EVENT_LATEST + _gold_over("event_latest"), f"SELECT {GOLD_COLUMNS} FROM gold"

@@ -22,6 +22,7 @@ from barlake.sources.layers import read_layer, write_layer
 from barlake.sources.scratch import scratch_path
 from barlake.streaming import (
     bars_from_stream,
+    close_days,
     dedup_stream,
     read_bar_log,
     start_bar_log,
@@ -319,6 +320,82 @@ def incremental_run(spark: SparkSession, sf: str) -> DataFrame:
     return _gold_columns(read_layer(spark, paths["gold"]))
 
 
+def _layer_paths(spark: SparkSession, name: str) -> dict[str, str]:
+    root = scratch_path(spark, name)
+    return {layer: f"{root}/{layer}" for layer in ("bronze", "silver", "gold")}
+
+
+def _full_run(spark: SparkSession, rows: DataFrame, paths: dict[str, str], **kwargs) -> dict:
+    return jobs.run_full(
+        spark, rows, paths, t.AS_OF, t.LOADED_AT, average_as=t.EXACT, partition="month", **kwargs
+    )
+
+
+def incremental_correction(spark: SparkSession, sf: str) -> DataFrame:
+    """All bars, then a run in which some closes are corrected and some are withdrawn."""
+    paths, rows, volume = _layer_paths(spark, "correction"), t.bars(spark, sf), F.col("volume")
+    _full_run(spark, rows, paths)
+    close = F.when(volume % 43 == 0, F.col("close") * 2).otherwise(F.col("close"))
+    corrected = rows.withColumn("close", F.when(volume % 41 != 0, close))
+    jobs.run_incremental(
+        spark, corrected, paths, t.LOADED_LATER, average_as=t.EXACT, partition="month"
+    )
+    return _gold_columns(read_layer(spark, paths["gold"]))
+
+
+def incremental_late_bar(spark: SparkSession, sf: str) -> DataFrame:
+    """A full run without some weeks of one symbol, which then arrive late."""
+    paths, rows = _layer_paths(spark, "late"), t.bars(spark, sf)
+    late = (F.col("symbol") == SYMBOL) & F.col("date").between("1998-03-01", "1998-03-20")
+    _full_run(spark, rows.where(~late), paths)
+    jobs.run_incremental(
+        spark, rows.where(late), paths, t.LOADED_LATER, average_as=t.EXACT, partition="month"
+    )
+    return _gold_columns(read_layer(spark, paths["gold"]))
+
+
+def rebuild_after_removal(spark: SparkSession, sf: str) -> DataFrame:
+    """A full run, a later load whose closes are missing, and a rebuild."""
+    paths, rows = _layer_paths(spark, "rebuilt"), t.bars(spark, sf)
+    _full_run(spark, rows, paths)
+    spoiled = rows.where("volume % 41 = 0").withColumn("close", F.lit(None).cast("double"))
+    jobs.run_bronze(spoiled, paths, t.LOADED_LATER, "month")
+    jobs.run_silver(spark, paths, partition="month")
+    jobs.run_gold(spark, paths, average_as=t.EXACT, partition="month")
+    return _gold_columns(read_layer(spark, paths["gold"]))
+
+
+def full_run_retained(spark: SparkSession, sf: str) -> DataFrame:
+    """What a full run with retention leaves in the clean and the analytics layer."""
+    paths = _layer_paths(spark, "retained")
+    _full_run(spark, t.bars(spark, sf), paths, silver_days=90, gold_days=30)
+    clean = read_layer(spark, paths["silver"]).select("date", "symbol")
+    rows = _gold_columns(read_layer(spark, paths["gold"]))
+    return clean.join(rows, ["date", "symbol"], "left")
+
+
+def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """What the writes of a full run counted."""
+    written = _full_run(spark, t.bars(spark, sf), _layer_paths(spark, "metrics"))
+    return jobs.run_metrics(spark, written)
+
+
+def purge_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Superseded versions removed from the stored raw layer."""
+    paths = _layer_paths(spark, "purged")
+    write_layer(t.versions(spark, sf), paths["bronze"], "append", "month")
+    jobs.purge_bronze(
+        spark, paths, VERSION_TIME, 24 * 365, newest=t.VERSION_ORDER, partition="month"
+    )
+    rows = read_layer(spark, paths["bronze"])
+    return rows.select(*BAR, "l_linenumber", "l_partkey", "l_suppkey")
+
+
+def gold_since(spark: SparkSession, sf: str) -> DataFrame:
+    """The analytics rows from a date on, computed without those before it."""
+    return _gold_columns(gold.gold_since(t.loaded_bars(spark, sf), "2000-02-29", average_as=t.EXACT))
+
+
 def ml_lag_features(spark: SparkSession, sf: str) -> DataFrame:
     return gold.lag_features(t.bars(spark, sf)).drop("open", "high", "low", "adjusted_close", "volume")
 
@@ -495,55 +572,89 @@ def asof_metadata(spark: SparkSession, sf: str) -> DataFrame:
 # --- streams -----------------------------------------------------------------
 
 
+def _land_and_run(spark: SparkSession, sf: str, start, repeat: bool = False) -> None:
+    """The events in three landings, each taken by a run of its own: event times are out of
+    order across the micro-batches.  With ``repeat`` a landing sends the one before again."""
+    folder, events = scratch_path(spark, "landing"), t.table(spark, sf, "events")
+    turn = F.pmod("event_id", F.lit(3))
+    for n in range(3):
+        sent = events.where(turn == n)
+        sent = sent.union(events.where((turn == n - 1) | (turn == n))) if repeat else sent
+        sent.write.mode("append").parquet(folder)
+        start(t.landed_ticks(spark, folder)).awaitTermination()
+
+
+# Event times of a landing reach back over the whole month that the events span.
+DELAY = "60 days"
+
+
 def stream_bronze(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_path(spark, "stream-bronze")
-    stream = t.event_tick_stream(spark, sf)
-    start_bronze_append(stream, path, scratch_path(spark, "checkpoint")).awaitTermination()
+    path, checkpoint = scratch_path(spark, "stream-bronze"), scratch_path(spark, "checkpoint")
+    _land_and_run(spark, sf, lambda ticks: start_bronze_append(ticks, path, checkpoint, "month"))
     return spark.read.parquet(path).select("date", "symbol", "price", "size", "event_id")
 
 
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """Every event sent twice, as by a source that retransmits."""
-    path = scratch_path(spark, "stream-dedup")
-    stream = t.event_tick_stream(spark, sf).union(t.event_tick_stream(spark, sf))
-    once = dedup_stream(stream, ["event_id"])
-    start_bronze_append(once, path, scratch_path(spark, "checkpoint")).awaitTermination()
+    """Every event sent at least twice, in one landing and across two, as by a source that retransmits."""
+    path, checkpoint = scratch_path(spark, "stream-dedup"), scratch_path(spark, "checkpoint")
+    once = lambda ticks: dedup_stream(ticks, ["event_id"], delay=DELAY)
+    _land_and_run(spark, sf, lambda ticks: start_bronze_append(once(ticks), path, checkpoint), True)
     return spark.read.parquet(path).select("date", "symbol", "price", "size", "event_id")
 
 
+def _bar_log(spark: SparkSession, sf: str) -> str:
+    path, checkpoint = scratch_path(spark, "stream-bars"), scratch_path(spark, "checkpoint")
+    bars = lambda ticks: bars_from_stream(ticks, t.EVENT_ORDER, delay=DELAY)
+    _land_and_run(spark, sf, lambda ticks: start_bar_log(bars(ticks), path, checkpoint))
+    return path
+
+
 def stream_daily_bars(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_path(spark, "stream-bars")
-    stream = bars_from_stream(t.event_tick_stream(spark, sf), t.EVENT_ORDER)
-    start_bar_log(stream, path, scratch_path(spark, "checkpoint")).awaitTermination()
-    return read_bar_log(spark, path)
+    return read_bar_log(spark, _bar_log(spark, sf))
+
+
+def stream_bars_closed(spark: SparkSession, sf: str) -> DataFrame:
+    """Closed days moved from the bar log to the clean layer, and the open days left in the log."""
+    log, silver_path = _bar_log(spark, sf), scratch_path(spark, "closed")
+    close_days(spark, log, silver_path, "2024-01-20", t.LOADED_AT)
+    left = read_bar_log(spark, log).where("date >= '2024-01-20'")  # the last batch is left whole
+    closed = read_layer(spark, silver_path).select(*BAR, F.lit("clean").alias("place"))
+    return closed.unionByName(left.select(*BAR, F.lit("log").alias("place")))
 
 
 def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_path(spark, "stream-silver")
-    start_silver_upsert(
-        t.event_versions(t.event_tick_stream(spark, sf)),
-        path,
-        scratch_path(spark, "checkpoint"),
-        scratch_path(spark, "staging"),
-        newest=t.EVENT_VERSION_ORDER,
-    ).awaitTermination()
+    path, checkpoint, staging = (scratch_path(spark, n) for n in ("stream-silver", "checkpoint", "staging"))
+    _land_and_run(
+        spark, sf,
+        lambda ticks: start_silver_upsert(
+            t.event_versions(ticks), path, checkpoint, staging, newest=t.EVENT_VERSION_ORDER
+        ),
+    )
     return read_layer(spark, path).select(*BAR, "event_id")
 
 
-def stream_gold_tail(spark: SparkSession, sf: str) -> DataFrame:
-    root = scratch_path(spark, "stream-gold")
-    paths = {layer: f"{root}/{layer}" for layer in ("silver", "gold")}
-    start_gold_refresh(
-        t.event_versions(t.event_tick_stream(spark, sf)),
-        paths,
-        scratch_path(spark, "checkpoint"),
-        scratch_path(spark, "staging"),
-        newest=t.EVENT_VERSION_ORDER,
-        average_as=t.EXACT,
-    ).awaitTermination()
+def _refreshed_gold(spark: SparkSession, sf: str, spoil: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    paths, checkpoint, staging = _layer_paths(spark, "stream-gold"), scratch_path(spark, "checkpoint"), scratch_path(spark, "staging")
+    _land_and_run(
+        spark, sf,
+        lambda ticks: start_gold_refresh(
+            spoil(t.event_versions(ticks)), paths, checkpoint, staging,
+            newest=t.EVENT_VERSION_ORDER, average_as=t.EXACT,
+        ),
+    )
     return _gold_columns(read_layer(spark, paths["gold"]))
 
 
+def stream_gold_tail(spark: SparkSession, sf: str) -> DataFrame:
+    return _refreshed_gold(spark, sf, lambda versions: versions)
+
+
+def stream_upsert_invalid(spark: SparkSession, sf: str) -> DataFrame:
+    """Versions of which every fifth has no close: a key whose newest one is such has no row."""
+    close = F.when(F.col("event_id") % 5 != 0, F.col("close"))
+    return _refreshed_gold(spark, sf, lambda versions: versions.withColumn("close", close))
+
+
 QUERIES: dict[str, Query] = {
     "ohlc_bars_ticks": ohlc_bars_ticks,
     "ohlc_bars_events": ohlc_bars_events,
@@ -582,6 +693,13 @@ QUERIES: dict[str, Query] = {
     "gold_layer": gold_layer,
     "layers_end_to_end": layers_end_to_end,
     "incremental_run": incremental_run,
+    "incremental_correction": incremental_correction,
+    "incremental_late_bar": incremental_late_bar,
+    "rebuild_after_removal": rebuild_after_removal,
+    "full_run_retained": full_run_retained,
+    "run_metrics": run_metrics,
+    "purge_stored": purge_stored,
+    "gold_since": gold_since,
     "ml_lag_features": ml_lag_features,
     "price_momentum_5d": price_momentum_5d,
     "stock_history": stock_history,
@@ -613,6 +731,8 @@ QUERIES: dict[str, Query] = {
     "stream_bronze": stream_bronze,
     "stream_dedup": stream_dedup,
     "stream_daily_bars": stream_daily_bars,
+    "stream_bars_closed": stream_bars_closed,
     "stream_upsert": stream_upsert,
+    "stream_upsert_invalid": stream_upsert_invalid,
     "stream_gold_tail": stream_gold_tail,
 }

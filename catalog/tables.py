@@ -23,6 +23,7 @@ EVENT_VERSION_ORDER = (*NEWEST, "event_id")
 AS_OF = "2001-11-04"
 EVENTS_AS_OF = "2024-01-30"
 LOADED_AT = dt.datetime(2001, 11, 5, 6, 0)
+LOADED_LATER = dt.datetime(2001, 11, 6, 6, 0)
 # Prices have two digits and stay below a million: closes of this type sum exactly.
 EXACT = "decimal(8,2)"
 
@@ -176,13 +177,9 @@ def event_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_ticks(table(spark, sf_dir, "events"))
 
 
-def event_tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event file as a stream."""
-    return _as_ticks(
-        spark.readStream.schema(SCHEMAS["events"])
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+def landed_ticks(spark: SparkSession, folder: str) -> DataFrame:
+    """A folder of landed events as a stream."""
+    return _as_ticks(spark.readStream.schema(SCHEMAS["events"]).parquet(folder))
 
 
 def event_versions(event_ticks: DataFrame) -> DataFrame:
