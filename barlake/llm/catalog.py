@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barlake.llm import chat_format, decontaminate, jaccard_join, voronoi_knn
+from barlake.llm import chat_format, decontaminate, jaccard_join, license_scan, voronoi_knn
 from barlake.llm.chat_format import op4_chat_formatting
 from barlake.llm.decontaminate import op10_decontaminate
 from barlake.llm.jaccard_join import op6_ngram_jaccard_join
@@ -34,5 +34,6 @@ ORACLE = {
     "op4_chat_formatting": chat_format.ORACLE_SQL,
     "op5_voronoi_knn": voronoi_knn.ORACLE_SQL,
     "op6_ngram_jaccard_join": jaccard_join.ORACLE_SQL,
+    "op9_license_scan": license_scan.ORACLE_SQL,
     "op10_decontaminate": decontaminate.ORACLE_SQL,
 }

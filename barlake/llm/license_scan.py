@@ -130,3 +130,70 @@ def op9_license_scan(spark, sf_dir: str) -> DataFrame:
     name = name.otherwise(F.concat_ws("/", "source", F.expr("doc_id div 100"), F.expr("doc_id div 10"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))))
     found = scan(docs.select("doc_id", name.alias("path"), "text"))
     return found.select("doc_id", "path", "own_licence", F.array_join("own_licences", ",").alias("own_licences"), "licence", "inherited_from")
+
+
+def _sql_terms(text: str) -> str:
+    """The terms of a text in DuckDB's SQL, whose patterns cannot look ahead or behind."""
+    spaced = f"regexp_replace(regexp_replace(lower({text}), '[^a-z0-9.]+', ' ', 'g'), '[.][.]+', ' ', 'g')"
+    before = f"regexp_replace(' ' || {spaced} || ' ', '([^0-9])[.]', '\\1 ', 'g')"
+    return f"list_filter(string_split(regexp_replace({before}, '[.]([^0-9])', ' \\1', 'g'), ' '), lambda t: t <> '')"
+
+
+def _sql(least: float = 0.6) -> str:
+    rows = [(name, f"{name}#{i}", text) for name, texts in TEMPLATES.items() for i, text in enumerate(texts)]
+    values = ", ".join("('{}', '{}', '{}')".format(*row) for row in rows)
+    return f"""WITH templates(licence, template, body) AS (VALUES {values}),
+split AS (
+  SELECT licence, template, term, count(*) AS tf
+  FROM (SELECT licence, template, unnest({_sql_terms("body")}) AS term FROM templates) GROUP BY ALL
+), idf AS (
+  SELECT term, ln(CAST({len(rows) + 1} AS DOUBLE) / (count(*) + 1)) + 1 AS idf FROM split GROUP BY term
+), weights AS (
+  SELECT licence, template, term, w / sqrt(sum(w * w) OVER (PARTITION BY template)) AS weight
+  FROM (SELECT *, tf * idf AS w FROM split JOIN idf USING (term))
+), files AS (
+  SELECT doc_id, text, doc_id % 10 = 0 AS is_licence,
+    CASE WHEN doc_id % 100 = 0 THEN concat_ws('/', source, doc_id // 100)
+         ELSE concat_ws('/', source, doc_id // 100, doc_id // 10) END AS dir,
+    CASE WHEN doc_id % 10 = 0 THEN 'LICENSE' ELSE doc_id || '.txt' END AS name
+  FROM documents
+), speaking AS (
+  SELECT doc_id, text, is_licence, list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '{SPEAKS}')) AS lines
+  FROM files WHERE regexp_matches(text, '{SPEAKS}')
+), units AS (
+  SELECT DISTINCT doc_id, unit
+  FROM (SELECT doc_id, unnest(CASE WHEN is_licence THEN list_concat([text], lines) ELSE lines END) AS unit FROM speaking)
+), weighed AS (
+  SELECT doc_id, unit, term, tf * coalesce(idf, ln({len(rows) + 1}) + 1) AS w
+  FROM (SELECT doc_id, unit, term, count(*) AS tf
+        FROM (SELECT doc_id, unit, unnest({_sql_terms("unit")}) AS term FROM units) GROUP BY ALL)
+  LEFT JOIN idf USING (term)
+), norms AS (
+  SELECT doc_id, unit, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY ALL
+), scored AS (
+  SELECT doc_id, unit, licence, round(dot / norm, 9) AS score
+  FROM (SELECT doc_id, unit, licence, template, sum(w * weight) AS dot FROM weighed JOIN weights USING (term) GROUP BY ALL)
+  JOIN norms USING (doc_id, unit)
+), best AS (
+  SELECT doc_id, unit, licence, score FROM scored WHERE score >= {least}
+  QUALIFY row_number() OVER (PARTITION BY doc_id, unit ORDER BY score DESC, licence) = 1
+), own AS (
+  SELECT doc_id, arg_min(licence, row(-score, licence)) AS own_licence, max(score) AS score,
+    array_to_string(list_sort(list(DISTINCT licence)), ',') AS own_licences
+  FROM best GROUP BY doc_id
+), held AS (
+  SELECT dir AS above, arg_min(own_licence, row(-score, own_licence)) AS given
+  FROM files JOIN own USING (doc_id) WHERE is_licence GROUP BY dir
+), prefixes AS (
+  SELECT dir, depth, array_to_string(list_slice(string_split(dir, '/'), 1, depth), '/') AS above
+  FROM (SELECT dir, unnest(range(len(string_split(dir, '/')) + 1)) AS depth FROM (SELECT DISTINCT dir FROM files))
+), nearest AS (
+  SELECT dir, arg_max(above, depth) AS above, arg_max(given, depth) AS given
+  FROM prefixes JOIN held USING (above) GROUP BY dir
+)
+SELECT doc_id, dir || '/' || name AS path, own_licence, own_licences, coalesce(own_licence, given) AS licence,
+  CASE WHEN own_licence IS NULL THEN above END AS inherited_from
+FROM files LEFT JOIN own USING (doc_id) LEFT JOIN nearest USING (dir)"""
+
+
+ORACLE_SQL = _sql()
