@@ -29,9 +29,9 @@ def latest_version(
     """One row per key: the newest by ``newest``, all descending.
 
     Rows of one load share their load time: the bar's own columns, largest first, decide
-    between them, so the choice never depends on the order of the rows.  Spark limits each key to one row per input partition before
-    the shuffle (WindowGroupLimit), so a key with very many versions does not
-    gather in one task.
+    between them, so the choice never depends on the order of the rows.  Spark limits each
+    key to one row per input partition before the shuffle (WindowGroupLimit), so a key
+    with very many versions does not gather in one task.
     """
     ties = [c for c in NUMERIC if c in df.columns and c not in (*newest, *keys)]
     order = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in (*newest, *ties)])

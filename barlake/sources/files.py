@@ -137,6 +137,7 @@ def sample_bars(
             F.format_string("STOCK_%03d.NS", "id").alias("symbol"),
             F.explode(F.sequence(F.lit(first), F.lit(last))).alias("date"),
         )
+        # Spread and mean of the close, factors of the other prices, volumes.
         .withColumn("close", F.randn(seed) * 20 + 100)
         .select(
             "date",
