@@ -5,19 +5,23 @@ label, those with the least hash of their id.  Everything else covers the whole
 document frequencies are counted over every text and every text is scored whole.
 
 * Terms are runs of letters (A-Z lower-cased; characters above ASCII count as letters) and
-  their first four to seven letters, which stand for inflected forms.  The index keeps the
-  ``terms`` terms that mark the toxic examples most clearly: at least ``ratio`` times as frequent there as in the clean ones.  All other words together are one more
-  term, so a term counts for less in a long text.  Vectors are (1 + ln tf) * idf, of length one.
+  their first four to seven letters, which stand for inflected forms.  The index keeps every
+  term of the examples, however rare.  Vectors are (1 + ln tf) * idf * relevance, of length
+  one; relevance is 0.1 plus the size of the log ratio of the term's shares among toxic and
+  clean examples, a weight that is never 0.  Words that no example has can match none and are
+  left out of a text's vector.
 * The index is inverted: per term its examples with their weights, in blocks of ``block``
-  examples, and the greatest weight of each block.  A text's terms give every block an upper
-  bound; blocks are read from the highest bound until none can reach the k-th best any more.
+  examples, and the greatest weight of each block.  Terms of an eighth of the examples or more
+  are rows of a matrix instead, multiplied for many texts at once.  What they give and a text's
+  other terms bound every block; the blocks with the highest bounds are read first, then those
+  that can still reach the k-th best.
   The k nearest are exact, ties to the smaller id.
 * Each neighbour votes with 1 / (distance + 0.1), distance being 1 - cosine; ``prior`` votes
   are cast at the share of toxic rows.
   A logistic curve, fitted on the examples with each left out of its own neighbours, turns
   votes into a probability; the ids of the neighbours are the evidence.
 
-Null and empty texts have no neighbours and get the probability of the prior votes alone.  Labels are taken per id (the greatest, if one repeats); without
+Null and empty texts and texts without a word of the examples have no neighbours and get the probability of the prior votes alone.  Labels are taken per id (the greatest, if one repeats); without
 labels of both kinds every score is the share of toxic rows, 0 without any.  Rows that
 repeat get equal scores; null ids are never training rows; only the columns named are kept.
 """
@@ -25,7 +29,6 @@ repeat get equal scores; null ids are never training rows; only the columns name
 from __future__ import annotations
 
 import pickle
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +53,7 @@ def terms_of(word: bytes) -> list[bytes]:
 
 
 class ChosenTerms(dict):
-    """Word -> positions of its chosen terms; remembers the first ``limit`` words of a task."""
+    """Word -> positions of its terms; remembers the first ``limit`` words of a task."""
 
     def __init__(self, chosen: dict[bytes, int], limit: int = 150_000):
         super().__init__()
@@ -62,12 +65,12 @@ class ChosenTerms(dict):
             self[word] = found
         return found
 
-    def of(self, body: bytes | None) -> list[int]:
-        """Positions of the chosen terms in a text, and len(chosen) for each other word."""
-        found, other = [], len(self.chosen)
+    def of(self, body: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of a text's terms, ascending, and how often they occur."""
+        found = []
         for terms in map(self.__getitem__, tokens(body)):
-            found += terms or (other,)
-        return found
+            found += terms
+        return np.unique(np.array(found, np.int64), return_counts=True)
 
 
 def _body(docs: DataFrame, *names) -> DataFrame:
@@ -97,50 +100,101 @@ _EXAMPLES = pa.schema(
 
 
 def _frequencies(chosen: dict[bytes, int]):
-    """Task: in how many texts each chosen term occurs; the last entry counts texts."""
+    """Task: in how many texts each term of the examples occurs; the last entry counts texts."""
 
     def run(batches):
-        df, words = np.zeros(len(chosen) + 2, np.int64), ChosenTerms(chosen)
+        df, words = np.zeros(len(chosen) + 1, np.int64), ChosenTerms(chosen)
         for batch in batches:
             for body in batch.column(0):
-                df[list(set(words.of(body.as_py())))] += 1
+                df[words.of(body.as_py())[0]] += 1
             df[-1] += len(batch)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(df))), pa.array(df)], names=["term", "df"])
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], names=["term", "df"])
 
     return run
 
 
+def _ranges(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    size = stop - start
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
 class BlockMaxIndex:
     """Inverted index of unit vectors in blocks, with each block's greatest weight per term."""
 
-    def __init__(self, ids, labels, vectors: list[dict[int, float]], width: int, block: int = 64):
+    def __init__(self, ids, labels, vectors: list, width: int, block: int = 64):
+        # A vector is a dict, or its terms and their weights as arrays.
+        vectors = [(np.array([*v], np.int64), np.array([*v.values()], float)) if isinstance(v, dict) else v for v in vectors]
         # Examples whose heaviest terms agree share blocks, which keeps the bounds tight.
-        order = sorted(range(len(ids)), key=lambda i: (sorted(vectors[i], key=lambda t: (-vectors[i][t], t)), ids[i]))
+        heaviest = [terms[np.lexsort((terms, -weights))].astype(">u4").tobytes() for terms, weights in vectors]
+        order = sorted(range(len(ids)), key=lambda i: (heaviest[i], ids[i]))
         self.ids, self.labels = np.array([ids[i] for i in order], np.int64), np.array([labels[i] for i in order], float)
         self.block, self.blocks = block, -(-len(order) // block)
-        self.most = np.zeros((width, self.blocks))
-        lists = [[[] for _ in range(self.blocks)] for _ in range(width)]
-        for at, i in enumerate(order):
-            for t, w in vectors[i].items():
-                lists[t][at // block].append((at % block, w))
-                self.most[t, at // block] = max(self.most[t, at // block], w)
-        self.postings = [
-            [(np.array([a for a, _ in p], np.int64), np.array([w for _, w in p])) if p else None for p in row] for row in lists
-        ]
+        term = np.concatenate([np.zeros(0, np.int64), *(vectors[i][0] for i in order)])
+        weight = np.concatenate([np.zeros(0), *(vectors[i][1] for i in order)])
+        at = np.repeat(np.arange(len(order)), np.array([len(vectors[i][0]) for i in order], np.int64))
+        often = np.flatnonzero(np.bincount(term, minlength=width) * 8 >= max(len(order), 64))
+        self.row = np.full(width, -1, np.int32)
+        self.row[often] = np.arange(len(often))
+        self.matrix = np.zeros((len(often), self.blocks * block))
+        dense = self.row[term] >= 0
+        self.matrix[self.row[term[dense]], at[dense]] = weight[dense]
+        term, at, weight = term[~dense], at[~dense], weight[~dense]
+        sort = np.lexsort((at, term))
+        term, at, self.weight = term[sort], at[sort], weight[sort]
+        self.at = at.astype(np.int32)
+        # A list is the postings of a term in a block.
+        new = np.flatnonzero(np.diff(term * self.blocks + at // block, prepend=-1))
+        self.start = np.append(new, len(term))
+        self.of_block = (at[new] // block).astype(np.int32)
+        self.most = np.maximum.reduceat(self.weight, new) if len(new) else np.zeros(0)
+        self.lists = np.searchsorted(term[new], np.arange(width + 1))
 
     def nearest(self, query: dict[int, float], k: int, without: int | None = None):
         """(cosine, example) of the k nearest with a cosine above 0, best first, ties to the smaller id."""
-        terms = sorted(query)
-        bounds = np.array([query[t] for t in terms]) @ self.most[terms] if terms else np.zeros(self.blocks)
+        terms = np.array(sorted(query), np.int64)
+        return self.nearest_each([(terms, np.array([query[t] for t in terms.tolist()], float))], k, [without])[0]
+
+    def nearest_each(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list | None = None) -> list:
+        """The same for many queries, each its terms, ascending, and their weights."""
+        dense = np.zeros((len(queries), len(self.matrix)))
+        for i, (terms, weights) in enumerate(queries):
+            row = self.row[terms]
+            dense[i, row[row >= 0]] = weights[row >= 0]
+        return [
+            self._nearest(terms, weights, part, k, without[i] if without else None)
+            for i, ((terms, weights), part) in enumerate(zip(queries, dense @ self.matrix))
+        ]
+
+    def _nearest(self, terms, weights, part, k, without):
+        sparse = self.row[terms] < 0
+        terms, weights = terms[sparse], weights[sparse]
+        lo, hi = self.lists[terms], self.lists[terms + 1]
+        lists, w = _ranges(lo, hi), np.repeat(weights, hi - lo)
+        part = part.reshape(self.blocks, self.block)
+        bounds = part.max(1) + np.bincount(self.of_block[lists], w * self.most[lists], self.blocks) if self.blocks else np.zeros(0)
         best: list[tuple[float, int, int]] = []
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or (len(best) == k and bounds[b] < -best[-1][0] - 1e-12):
-                break
-            scores = np.zeros(self.block)
-            for t in terms:
-                if (held := self.postings[t][b]) is not None:
-                    scores[held[0]] += query[t] * held[1]
-            found = [(-round(float(scores[a]), 12), int(self.ids[b * self.block + a]), b * self.block + a) for a in np.flatnonzero(scores)]
+        first = np.zeros(self.blocks, bool)
+        first[np.argsort(-bounds, kind="stable")[: max(4, self.blocks // 16)]] = True
+        for chosen in (first, ~first):
+            least = -best[-1][0] if len(best) == k else 0.0
+            chosen = chosen & (bounds > 0) & (bounds >= least - 1e-12)
+            if not chosen.any():
+                continue
+            read = chosen[self.of_block[lists]]
+            lo, hi = self.start[lists[read]], self.start[lists[read] + 1]
+            held = _ranges(lo, hi)
+            scores = np.bincount(self.at[held], np.repeat(w[read], hi - lo) * self.weight[held], self.blocks * self.block)
+            scores = np.where(chosen[:, None], scores.reshape(part.shape) + part, 0).ravel()[: len(self.ids)].round(12)
+            if len(scores) > k + 1:
+                # One more than k, as ``without`` may be among them.
+                least = max(least, np.partition(scores, -k - 1)[-k - 1])
+            found = np.flatnonzero((scores > 0) & (scores >= least))
+            if len(found) > 4 * k + 4:
+                # Many equal scores: only those with the smaller ids can win.
+                found = found[np.lexsort((self.ids[found], -scores[found]))[: k + 1]]
+            found = [(-float(scores[a]), int(self.ids[a]), int(a)) for a in found]
             best = sorted(best + [x for x in found if x[1] != without])[:k]
         return [(-s, at) for s, _, at in best]
 
@@ -151,18 +205,17 @@ def _found(chosen: dict[bytes, int]):
     def run(batches):
         words = ChosenTerms(chosen)
         for batch in batches:
-            counts = [Counter(words.of(body.as_py())) for body in batch.column(0)]
-            done = [pa.array([list(f(c)) for c in counts], pa.list_(pa.int64())) for f in (Counter.keys, Counter.values)]
+            counts = [words.of(body.as_py()) for body in batch.column(0)]
+            done = [pa.array([c[i] for c in counts], pa.list_(pa.int64())) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *done], names=["doc_id", "y", "found", "times"])
 
     return run
 
 
-def vector(counts: dict[int, int], idf: np.ndarray) -> dict[int, float]:
-    """Unit vector of the index terms found in a text."""
-    raw = {t: (1 + np.log(c)) * idf[t] for t, c in counts.items()}
-    norm = np.sqrt(sum(x * x for x in raw.values()))
-    return {t: x / norm for t, x in raw.items()}
+def vector(terms: np.ndarray, times: np.ndarray, heavy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The terms found in a text and their weights, of length one."""
+    raw = (1 + np.log(times)) * heavy[terms]
+    return terms, raw / np.sqrt((raw * raw).sum()) if len(raw) else raw
 
 
 def votes(index: BlockMaxIndex, near, share: float, prior: float) -> float:
@@ -183,7 +236,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, sample: int = 2000, terms: int = 256, ratio: float = 8.0, k: int = 16, prior: float = 1.0
+    docs: DataFrame, labels: DataFrame, sample: int = 2000, k: int = 16, prior: float = 1.0
 ) -> dict:
     """The model: terms with their weights, the index of the sample, and the calibration curve."""
     rows = training_rows(labels)
@@ -204,56 +257,47 @@ def train(
     n = {r["y"]: r["n"] for r in examples.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(n) < 2:
         return model
-    by_term = examples.select("y", F.explode("terms").alias("term")).groupBy("term").agg(
-        F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")
-    )
-    marks = ((F.col("a") + 0.5) / (n[1] + 1)) / ((F.col("b") + 0.5) / (n[0] + 1))
-    best = (
-        by_term.where((F.col("a") >= max(3, n[1] // 50)) & (marks >= ratio))
-        .orderBy(F.desc(F.col("a") / n[1] - F.col("b") / n[0]), "term").limit(terms).collect()
-    )
-    chosen = {bytes(r["term"]): i for i, r in enumerate(best)}
-    counted = _body(docs).mapInArrow(_frequencies(chosen), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()
-    df = np.zeros(len(chosen) + 2)
-    for r in counted:
-        df[r["term"]] = r["df"]
+    # As many rows as the sample has different terms.
+    every = examples.select(F.explode("terms").alias("term")).distinct().toArrow()["term"].to_pylist()
+    chosen = {t: i for i, t in enumerate(sorted(every))}
+    counted = _body(docs).mapInArrow(_frequencies(chosen), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    df = np.zeros(len(chosen) + 1)
+    df[counted["term"].to_numpy()] = counted["df"].to_numpy()
+    held = held.mapInArrow(_found(chosen), "doc_id long, y int, found array<bigint>, times array<bigint>").toArrow().sort_by("doc_id")
+    ids, ys = held["doc_id"].to_pylist(), held["y"].to_pylist()
+    texts = [(f.values.to_numpy(), t.values.to_numpy()) for f, t in zip(held["found"], held["times"])]
+    shares = []
+    for y in (1, 0):
+        at = [f for (f, _), label in zip(texts, ys) if label == y]
+        shares.append((np.bincount(np.concatenate(at), minlength=len(chosen)) + 0.5) / (n[y] + 1))
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
-    ids, ys, vectors = [], [], []
-    for r in held.mapInArrow(_found(chosen), "doc_id long, y int, found array<bigint>, times array<bigint>").collect():
-        ids.append(r["doc_id"])
-        ys.append(r["y"])
-        vectors.append(vector(dict(zip(r["found"], r["times"])), idf))
-    full = [i for i, v in enumerate(vectors) if v]
-    index = BlockMaxIndex([ids[i] for i in full], [ys[i] for i in full], [vectors[i] for i in full], len(idf))
-    raw = np.array([votes(index, index.nearest(v, k, without=i), share, prior) for i, v in zip(ids, vectors)])
+    heavy = idf * (0.1 + np.abs(np.log(shares[0] / shares[1])))
+    vectors = [vector(f, t, heavy) for f, t in texts]
+    full = [i for i, (f, _) in enumerate(vectors) if len(f)]
+    index = BlockMaxIndex(
+        [ids[i] for i in full], [ys[i] for i in full], [vectors[i] for i in full], len(chosen)
+    )
+    near = [x for at in range(0, len(ids), 64) for x in index.nearest_each(vectors[at : at + 64], k, ids[at : at + 64])]
+    raw = np.array([votes(index, x, share, prior) for x in near])
     weight = np.where(np.array(ys) == 1, toxic / n[1], clean / n[0])
     curve = _logistic(raw, np.array(ys, float), weight)
-    return model | {"chosen": chosen, "idf": idf, "index": index, "curve": curve}
+    return model | {"chosen": chosen, "heavy": heavy, "index": index, "curve": curve}
 
 
 def _score(shared):
     def run(batches):
         model = pickle.loads(shared.value)
-        words, alone = ChosenTerms(model["chosen"]), {}
-        for batch in batches:
-            scores, near = [], []
-            for body in batch.column(0):
-                found = []
-                if model["curve"] is None:
-                    scores.append(model["share"])
-                else:
-                    query = vector(Counter(words.of(body.as_py())), model["idf"])
-                    if len(query) == 1:  # a single term: the same neighbours each time
-                        (term,) = query
-                        if term not in alone:
-                            alone[term] = model["index"].nearest(query, model["k"])
-                        found = alone[term]
-                    elif query:
-                        found = model["index"].nearest(query, model["k"])
-                    slope, constant = model["curve"]
-                    raw = votes(model["index"], found, model["share"], model["prior"])
-                    scores.append(float(1 / (1 + np.exp(-np.clip(slope * raw + constant, -30, 30)))))
-                near.append([int(model["index"].ids[at]) for _, at in found])
+        words, index = ChosenTerms(model["chosen"]), model.get("index")
+        # Slices keep the matrix of partial scores small.
+        for batch in (b.slice(at, 64) for b in batches for at in range(0, len(b), 64)):
+            if model["curve"] is None:
+                scores, near = [model["share"]] * len(batch), [[]] * len(batch)
+            else:
+                found = index.nearest_each([vector(*words.of(body.as_py()), model["heavy"]) for body in batch.column(0)], model["k"])
+                raw = np.array([votes(index, x, model["share"], model["prior"]) for x in found])
+                slope, constant = model["curve"]
+                scores = 1 / (1 + np.exp(-np.clip(slope * raw + constant, -30, 30)))
+                near = [[int(index.ids[at]) for _, at in x] for x in found]
             done = [pa.array(scores, pa.float64()), pa.array(near, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *done], names=[*batch.schema.names[1:], "score", "evidence"])
 
@@ -263,7 +307,7 @@ def _score(shared):
 def score(docs: DataFrame, model: dict, *names: str) -> DataFrame:
     """The named columns of ``docs`` with score (0 to 1) and evidence (ids of the nearest examples).
 
-    The model that is broadcast holds at most 2 * sample examples over at most ``terms`` terms.
+    The model that is broadcast holds at most 2 * sample examples with all their terms.
     """
     rows = _body(docs, *names)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])

@@ -137,6 +137,25 @@ def test_toxicity(docs, nothing, spark):
         assert len(got) == size and all(r.score == 0 and r.evidence == [] for r in got)
 
 
+def test_toxicity_keeps_rare_words(spark):
+    # A word is in a few texts of its kind only, and nothing else tells the texts apart.
+    bad = [(i, f"some plain words {chr(97 + i % 20)}xq here") for i in range(200)]
+    fine = [(1000 + i, f"some plain words {chr(97 + i % 20)}ok here") for i in range(200)]
+    table = spark.createDataFrame(bad + fine, "doc_id long, text string")
+    labels = table.select("doc_id", (F.col("doc_id") < 1000).cast("int").alias("toxic"))
+    model = toxicity.train(table, labels, sample=60)
+    held = {i: t for i, t in bad + fine if i in set(model["index"].ids.tolist())}
+    assert all(w.encode() in model["chosen"] for t in held.values() for w in t.split())
+    some = [(1, "axq plain"), (2, None), (3, "unknown vocabulary")]
+    got = {r.doc_id: r for r in toxicity.score(spark.createDataFrame(some, "doc_id long, text string"), model, "doc_id").collect()}
+    assert len(got[1].evidence) == 16 and got[2].evidence == got[3].evidence == []
+    near = {r.doc_id: r.evidence for r in toxicity.score(table, model, "doc_id").collect()}
+    for i, text in list(held.items())[:20]:
+        word = text.split()[3]
+        same = [j for j, other in held.items() if word in other.split()]
+        assert set(near[i][: len(same)]) == set(same)
+
+
 def test_block_max_index_is_exact():
     rng = np.random.default_rng(7)
     vectors = []
