@@ -250,7 +250,10 @@ def link_documents(
     bucket_tokens: int = 1_000_000,
     bits: int = SKETCH_BITS,
 ) -> DataFrame:
-    """(rid, doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text).
+    """(rid, doc_id, n_shingles, component_id, component) per row of ``docs`` (doc_id, text).
+
+    ``component_id`` is the least id of a component, which two components share if rows repeat
+    an id, and null if all its ids are; ``component`` tells them apart and is null without words.
 
     ``rid`` is the hash of id and text.  ``hot`` is the estimated document count from which
     a token's postings are spread over buckets, ``bucket_tokens`` the postings a bucket
@@ -314,12 +317,13 @@ def link_documents(
     nodes = sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     nodes = nodes.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
-    nodes = nodes.join(least, "component").select("node", "component_id")
+    nodes = nodes.join(least, "component").select("node", "component_id", "component")
     return sets.join(nodes, "node", "left").select(
         "rid",
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(F.col("n") > 0, F.col("component")).alias("component"),
     )
 
 

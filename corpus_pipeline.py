@@ -32,9 +32,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group of near copies, and all without words."""
     linked = jaccard_join.link_documents(docs).where("n_shingles > 0")
-    group = F.coalesce("component_id", "rid")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid"))
-    kept = stored(linked.groupBy(group.alias("g")).agg(first.alias("f")).select(F.col("f.rid").alias("_kept")), "kept")
+    kept = stored(linked.groupBy("component").agg(first.alias("f")).select(F.col("f.rid").alias("_kept")), "kept")
     worded = F.coalesce(F.length(F.btrim(F.col("text"), F.lit(" \t\n\x0b\x0c\r"))) > 0, F.lit(False))
     rows = docs.withColumn("_rid", F.xxhash64("doc_id", "text"))
     chosen = rows.where(worded).join(kept, F.col("_rid") == F.col("_kept"), "left_semi").dropDuplicates(["_rid"])

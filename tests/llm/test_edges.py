@@ -215,6 +215,14 @@ def test_wrapper_induction(spark):
     assert wrapper_induction.extract(table.where("false")).count() == 0
 
 
+def test_near_duplicates_by_component(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(1, one), (1, two), (2, one + " more"), (3, two + " more"), (None, "x " + one.replace("a", "c")), (None, one.replace("a", "c"))]
+    rows = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, rows, "").collect()]
+    assert len(got) == 3 and {(1, one), (1, two)} < set(got) and [d for d, t in got if "c1" in t] == [None]
+
+
 def test_pipeline(docs, nothing, spark, tmp_path):
     spark.createDataFrame([(4, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(1, "nothing like it")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
