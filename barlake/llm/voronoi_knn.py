@@ -17,7 +17,10 @@ Components are turned into floor(scale * x); scores are exact integers (computed
 below 2**53).  Ties go to the smaller id.  Vectors that are null, empty, hold a null or
 non-finite component, or have not the pivots' most common length take no part, nor do rows
 without an id; rows that repeat an id are vectors of their own, but a query never finds a row
-of its own id.  Extra columns are ignored; empty tables give no rows.
+of its own id.  A row that asks repeatedly, with the same id and vector, asks once.  An id
+that asks with several vectors has one answer: each row found counts once, with the best of its
+scores.  (The SQL joins every asking row, so it differs where asking ids repeat.)  Extra
+columns are ignored; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -29,7 +32,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from barlake.llm.components import stored
 
-FOUND = "query_id long, vec_id long, score long"
+# ``asked`` and ``held`` are hashes of the query's and the found row's vector.
+FOUND = "query_id long, asked long, vec_id long, held long, score long"
 
 
 def _integers(scale: int):
@@ -78,11 +82,11 @@ def _best(k: int, width: int):
         queries, data = group[asked], group[~asked].sort_values("vec_id")
         out = []
         if len(queries) and len(data):
-            x, ids = _matrix(data["v"], width), data["vec_id"].to_numpy(np.int64)
+            x, ids, held = _matrix(data["v"], width), data["vec_id"].to_numpy(np.int64), data["h"].to_numpy(np.int64)
             for at in range(0, len(queries), 64):
                 some = queries.iloc[at : at + 64]
                 scores = _matrix(some["v"], width) @ x.T
-                for q, row in zip(some["query_id"].to_numpy(np.int64), scores):
+                for q, h, row in zip(some["query_id"].to_numpy(np.int64), some["h"].to_numpy(np.int64), scores):
                     row[ids == q] = -np.inf
                     if len(row) > k:
                         least = np.partition(row, -k)[-k]
@@ -91,8 +95,8 @@ def _best(k: int, width: int):
                         at_least = np.arange(len(row))
                     # Ids ascend, so a stable sort by falling score gives ties to the smaller id.
                     top = at_least[np.argsort(-row[at_least], kind="stable")][:k]
-                    out += [(q, int(ids[i]), int(row[i])) for i in top if row[i] > -np.inf]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
+                    out += [(q, h, int(ids[i]), int(held[i]), int(row[i])) for i in top if row[i] > -np.inf]
+        return pd.DataFrame(out, columns=["query_id", "asked", "vec_id", "held", "score"]).astype("int64")
 
     return run
 
@@ -130,19 +134,29 @@ def _join(queries: DataFrame, data: DataFrame, block: int, k: int, width: int) -
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     own = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
     asked = queries.join(F.broadcast(blocks), "cell").select(
-        "cell", own("qb").alias("q"), each("xb").alias("x"), F.col("vec_id").alias("query_id"), F.lit(None).cast("long").alias("vec_id"), "v"
+        "cell", own("qb").alias("q"), each("xb").alias("x"), F.col("vec_id").alias("query_id"), F.lit(None).cast("long").alias("vec_id"), "v",
+        F.xxhash64("v").alias("h"),
     )
     held = data.join(F.broadcast(blocks), "cell").select(
-        "cell", each("qb").alias("q"), own("xb").alias("x"), F.lit(None).cast("long").alias("query_id"), "vec_id", "v"
+        "cell", each("qb").alias("q"), own("xb").alias("x"), F.lit(None).cast("long").alias("query_id"), "vec_id", "v",
+        F.xxhash64("v").alias("h"),
     )
     return asked.unionByName(held).groupBy("cell", "q", "x").applyInPandas(_best(k, width), FOUND)
 
 
-def _ranked(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+def _ranked(found: DataFrame, k: int, *keys: str) -> DataFrame:
+    order = Window.partitionBy(*keys).orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _answers(found: DataFrame, k: int) -> DataFrame:
+    """One answer per id: a row found with several of its vectors counts once, with its best score."""
+    best = _ranked(found, k, "query_id", "asked")
+    copy = Window.partitionBy("query_id", "asked", "vec_id", "held").orderBy("rank")
+    rows = best.withColumn("copy", F.row_number().over(copy)).groupBy("query_id", "vec_id", "held", "copy").agg(F.max("score").alias("score"))
+    return _ranked(rows, k, "query_id").select("query_id", "rank", "vec_id", "score")
+
+
 def top_k(vectors: DataFrame, queries, k: int = 5, scale: int = 256, pivots: int = 1024, block: int = 2048) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best of ``vectors`` (vec_id, embedding) for each query.
 
@@ -163,19 +177,19 @@ def top_k(vectors: DataFrame, queries, k: int = 5, scale: int = 256, pivots: int
     cells = stored(
         whole.where(F.length("v") == length).mapInArrow(_assign(chosen), "vec_id long, v binary, cell int, away double"), "cells"
     )
-    asking = cells.where(queries)
-    near = stored(_ranked(_join(asking, cells, block, k, width), k), "near")
-    kth = near.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("kth"))
+    asking = stored(cells.where(queries).dropDuplicates(["vec_id", "v"]), "asking")
+    near = stored(_ranked(_join(asking, cells, block, k, width), k, "query_id", "asked"), "near")
+    kth = near.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("asked").alias("h"), F.col("score").alias("kth"))
     summary = (
-        asking.join(kth, "vec_id", "left").groupBy("cell")
+        asking.withColumn("h", F.xxhash64("v")).join(kth, ["vec_id", "h"], "left").groupBy("cell")
         .agg(F.min(F.coalesce("kth", F.lit(float("-inf")))).alias("worst"), F.max("away").alias("radius"))
     )
     summaries = {r["cell"]: (r["worst"], r["radius"]) for r in summary.collect()}
     if not summaries:
-        return near.select("query_id", "rank", "vec_id", "score")
+        return _answers(near.drop("rank"), k)
     sent = stored(cells.select("vec_id", "v", "cell").mapInArrow(_reach(chosen, summaries), "vec_id long, v binary, cell int"), "sent")
     far = _join(asking, sent, block, k, width)
-    return _ranked(near.select("query_id", "vec_id", "score").unionByName(far), k).select("query_id", "rank", "vec_id", "score")
+    return _answers(near.drop("rank").unionByName(far), k)
 
 
 def op5_voronoi_knn(spark, sf_dir: str) -> DataFrame:

@@ -121,6 +121,16 @@ def test_knn_against_brute_force(spark):
     assert voronoi_knn.top_k(table.where("false"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_knn_of_repeated_queries(spark):
+    rows = [(50, [1.0, 0.0]), (50, [1.0, 0.0]), (100, [1.0, 0.0]), (100, [0.0, 1.0])]
+    rows += [(i, [float(i), 0.0]) for i in range(1, 8)] + [(9, [6.5, 0.0])] * 2 + [(10, [0.0, 6.0]), (11, [7.0, 7.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(map(tuple, voronoi_knn.top_k(table, F.col("vec_id") % 50 == 0, scale=2, block=4).collect()))
+    # A repeated query asks once, repeated candidates are two; two vectors of an id share one answer.
+    want = [(7, 28), (11, 28), (9, 26), (9, 26), (6, 24)]
+    assert got == [(q, r + 1, i, s) for q in (50, 100) for r, (i, s) in enumerate(want)]
+
+
 def test_mixing(docs, nothing):
     got = mix_sources.mixed(docs)
     assert got.columns.count("size") == 1 and got.columns.count("taken") == 1
