@@ -58,6 +58,11 @@ def _matrix(column, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.float64).reshape(-1, width)
 
 
+def _first_distinct(x: np.ndarray, most: int) -> np.ndarray:
+    """The first distinct rows, in their order."""
+    return x[np.sort(np.unique(x, axis=0, return_index=True)[1])[:most]]
+
+
 def _assign(pivots: np.ndarray):
     """Task: nearest pivot of each vector, its distance, and the vector's length."""
     half = (pivots**2).sum(1) / 2
@@ -173,7 +178,7 @@ def top_k(vectors: DataFrame, queries, k: int = 5, scale: int = 256, pivots: int
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     length = max(sorted(set(sizes)), key=sizes.count)
     width = length // 8
-    chosen = np.unique(np.array([np.frombuffer(r["v"], np.float64) for r in sample if len(r["v"]) == length]), axis=0)[:pivots]
+    chosen = _first_distinct(_matrix([r["v"] for r in sample if len(r["v"]) == length], width), pivots)
     cells = stored(
         whole.where(F.length("v") == length).mapInArrow(_assign(chosen), "vec_id long, v binary, cell int, away double"), "cells"
     )

@@ -121,6 +121,11 @@ def test_knn_against_brute_force(spark):
     assert voronoi_knn.top_k(table.where("false"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_pivots_keep_the_order_of_the_sample():
+    x = np.array([[9.0, 1.0], [3.0, 2.0], [9.0, 1.0], [1.0, 5.0], [2.0, 2.0]])
+    assert voronoi_knn._first_distinct(x, 3).tolist() == [[9, 1], [3, 2], [1, 5]]
+
+
 def test_knn_of_repeated_queries(spark):
     rows = [(50, [1.0, 0.0]), (50, [1.0, 0.0]), (100, [1.0, 0.0]), (100, [0.0, 1.0])]
     rows += [(i, [float(i), 0.0]) for i in range(1, 8)] + [(9, [6.5, 0.0])] * 2 + [(10, [0.0, 6.0]), (11, [7.0, 7.0])]
