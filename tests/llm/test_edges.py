@@ -230,6 +230,14 @@ def test_wrapper_induction(spark):
     assert wrapper_induction.extract(table.where("false")).count() == 0
 
 
+def test_articles_keep_headings_with_ordinary_words():
+    page = (
+        "<div class=related><article>other</article></div><article><div class='article-header'><h1>T</h1></div>"
+        "<h2 id='related-work'>Related</h2><section id='legal-framework'><p>law</section></article><article><p>second</article><div id=share>s</div>"
+    )
+    assert wrapper_induction.main_text(wrapper_induction.parse(page), set()) == "T\nRelated\nlaw\nsecond"
+
+
 def test_near_duplicates_by_component(spark):
     one, two = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
     rows = [(1, one), (1, two), (2, one + " more"), (3, two + " more"), (None, "x " + one.replace("a", "c")), (None, one.replace("a", "c"))]
