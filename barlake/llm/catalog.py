@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barlake.llm import chat_format, decontaminate, jaccard_join, license_scan, voronoi_knn
+from barlake.llm import chat_format, decontaminate, jaccard_join, license_scan, source_divergence, voronoi_knn
 from barlake.llm.chat_format import op4_chat_formatting
 from barlake.llm.decontaminate import op10_decontaminate
 from barlake.llm.jaccard_join import op6_ngram_jaccard_join
@@ -10,6 +10,7 @@ from barlake.llm.kneser_ney import op2_kneser_ney_scoring
 from barlake.llm.license_scan import op9_license_scan
 from barlake.llm.mix_sources import op7_pareto_mixing
 from barlake.llm.pii import op3_weakly_supervised_pii
+from barlake.llm.source_divergence import op11_source_divergence
 from barlake.llm.toxicity import op8_toxicity_nearest_examples
 from barlake.llm.voronoi_knn import op5_voronoi_knn
 from barlake.llm.wrapper_induction import op1_wrapper_induction
@@ -27,6 +28,7 @@ QUERIES = {
         op8_toxicity_nearest_examples,
         op9_license_scan,
         op10_decontaminate,
+        op11_source_divergence,
     )
 }
 
@@ -36,4 +38,5 @@ ORACLE = {
     "op6_ngram_jaccard_join": jaccard_join.ORACLE_SQL,
     "op9_license_scan": license_scan.ORACLE_SQL,
     "op10_decontaminate": decontaminate.ORACLE_SQL,
+    "op11_source_divergence": source_divergence.ORACLE_SQL,
 }
