@@ -179,12 +179,11 @@ def divergences(
         "groups",
     )
 
-    of_group = ["lang", "source", "own", "kinds", "blocks", "parts", "block"]
-    slices = (
-        kept.join(groups.select(*of_group), ["lang", "source"])
-        .withColumns({"k": block_of("term", "parts"), "p": _share("n", "own", "kinds"), "kind": F.lit(SLICE), "v": F.lit(0).cast("long")})
-    )
-    placed = kept.where("first").join(langs, "lang").withColumn("k", block_of("term", "parts"))
+    # What a row needs of its language comes with its source: no join puts a language in one task.
+    of_group = ["lang", "source", "own", "words", "kinds", "blocks", "parts", "block"]
+    rows = kept.join(groups.select(*of_group), ["lang", "source"]).withColumn("k", block_of("term", "parts"))
+    slices = rows.withColumns({"p": _share("n", "own", "kinds"), "kind": F.lit(SLICE), "v": F.lit(0).cast("long")})
+    placed = rows.where("first")
     in_part = placed.groupBy("lang", "k").agg(F.count("*").alias("v"))
     heads = (
         groups.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -192,7 +191,7 @@ def divergences(
         .withColumns({"kind": F.lit(HEAD), "term": F.lit(None).cast("string"), "p": F.col("floor")})
     )
     diagonal = (
-        placed.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        placed.drop("source", "block").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumns({"j": F.col("i"), "block": F.col("i"), "kind": F.lit(LANGUAGE), "source": F.lit(None).cast("string")})
         .withColumns({"p": _share("total", "words", "kinds"), "v": F.lit(0).cast("long")})
         .selectExpr(*ROWS_FROM)
