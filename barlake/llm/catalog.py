@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from barlake.llm import chat_format, decontaminate, jaccard_join, license_scan, source_divergence, voronoi_knn
+from barlake.llm import (
+    chat_format, decontaminate, dual_tree_search, jaccard_join, license_scan, minhash_join, source_divergence, voronoi_knn,
+)
 from barlake.llm.chat_format import op4_chat_formatting
 from barlake.llm.decontaminate import op10_decontaminate
+from barlake.llm.dual_tree_search import op13_dual_tree_search
 from barlake.llm.jaccard_join import op6_ngram_jaccard_join
 from barlake.llm.kneser_ney import op2_kneser_ney_scoring
 from barlake.llm.license_scan import op9_license_scan
+from barlake.llm.minhash_join import op12_minhash_join
 from barlake.llm.mix_sources import op7_pareto_mixing
 from barlake.llm.pii import op3_weakly_supervised_pii
 from barlake.llm.source_divergence import op11_source_divergence
@@ -29,6 +33,8 @@ QUERIES = {
         op9_license_scan,
         op10_decontaminate,
         op11_source_divergence,
+        op12_minhash_join,
+        op13_dual_tree_search,
     )
 }
 
@@ -39,4 +45,6 @@ ORACLE = {
     "op9_license_scan": license_scan.ORACLE_SQL,
     "op10_decontaminate": decontaminate.ORACLE_SQL,
     "op11_source_divergence": source_divergence.ORACLE_SQL,
+    "op12_minhash_join": minhash_join.ORACLE_SQL,
+    "op13_dual_tree_search": dual_tree_search.ORACLE_SQL,
 }
