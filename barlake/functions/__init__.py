@@ -7,6 +7,7 @@ from barlake.functions.expressions import (
     missing,
     moment,
     over_history,
+    over_prefix,
     pct_change,
 )
 from barlake.functions.median import grouped_median
@@ -19,5 +20,6 @@ __all__ = [
     "missing",
     "moment",
     "over_history",
+    "over_prefix",
     "pct_change",
 ]

@@ -71,3 +71,17 @@ def over_history(call: str, days: int, frame: str = "calendar") -> Column:
     else:
         raise ValueError(f"frame must be 'calendar' or 'rows', not {frame!r}")
     return F.expr(f"{call} OVER (PARTITION BY symbol ORDER BY date {bounds})")
+
+
+def over_prefix(call: str, days: int, frame: str = "calendar") -> Column:
+    """A sum or count over one symbol's last ``days``, as the difference of two running ones.
+
+    The frame of either starts with the history and only grows, so Spark adds each row once
+    to each, whatever the length; a sliding frame is filled anew for every row.  Only for exact
+    values: differences of doubles would keep the rounding of the whole history.
+    """
+    if frame not in ("calendar", "rows"):
+        raise ValueError(f"frame must be 'calendar' or 'rows', not {frame!r}")
+    kind, before = ("RANGE", f"INTERVAL {int(days)} DAYS") if frame == "calendar" else ("ROWS", str(int(days)))
+    running = f"{call} OVER (PARTITION BY symbol ORDER BY date {kind} BETWEEN UNBOUNDED PRECEDING AND "
+    return F.expr(f"coalesce({running} CURRENT ROW), 0) - coalesce({running} {before} PRECEDING), 0)")

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from barlake.functions import date_bound, over_history, pct_change
+from barlake.functions import date_bound, over_history, over_prefix, pct_change
 from barlake.functions.expressions import DateLike
 from barlake.operators.silver import NEWEST
 
@@ -22,6 +22,8 @@ from barlake.operators.silver import NEWEST
 SHORT_DAYS = 50
 LONG_DAYS = 200
 VOLATILITY_DAYS = 30
+# The type closes are summed in unless another is given.
+EXACT = "decimal(28,8)"
 
 
 def _by_date() -> WindowSpec:
@@ -42,13 +44,15 @@ def mean_close(
 ) -> Column:
     """Mean close over the last ``days``; early rows average what exists.
 
-    ``average_as`` names a decimal type to sum the closes in, which makes the
-    sum exact and so independent of order; by default they are summed as they
-    come.  Fewer than ``min_periods`` closes in the frame give NULL.
+    Closes are summed as decimals of the type ``average_as``, by default with 8 digits behind
+    the point and 20 before it: sums are exact, so a mean is the running sum of the history
+    less that before the frame, and each row is added once, not once per frame it is in.  A
+    close that is missing, or no such decimal, is not averaged.  Fewer than ``min_periods``
+    closes in the frame give NULL.
     """
-    value = f"CAST(close AS {average_as})" if average_as else "close"
-    total = over_history(f"sum({value})", days, frame).cast("double")
-    count = over_history("count(close)", days, frame)
+    value = f"try_cast(close AS {average_as or EXACT})"
+    total = over_prefix(f"sum({value})", days, frame).cast("double")
+    count = over_prefix(f"count({value})", days, frame)
     return F.when(count >= max(min_periods, 1), total / count)
 
 
@@ -201,42 +205,97 @@ def gold_since(
     return _stamped(daily_summary(rows, order), run_ts)
 
 
-def _first_touched(touched: DataFrame) -> DataFrame:
-    """Per symbol its touched range and the first date whose close its frames can reach."""
-    first = touched.groupBy("symbol").agg(F.min("date").alias("_from"), F.max("date").alias("_last"))
-    return first.withColumn("_edge", F.date_sub("_from", LONG_DAYS - 1))
+def _following(silver: DataFrame, touched: DataFrame) -> DataFrame:
+    """(symbol, date, _next): each touched key with the date of the symbol's next bar after it."""
+    symbols = touched.select("symbol").distinct()
+    first = touched.select(F.min("date")).scalar()
+    later = silver.where(F.col("date") > first).join(symbols, "symbol", "left_semi")
+    both = later.select("symbol", "date", F.lit(False).alias("_touched")).union(
+        touched.select("symbol", "date", F.lit(True))
+    )
+    # Backwards in time, touched keys before a bar of the same day: what came last is the next bar.
+    backwards = Window.partitionBy("symbol").orderBy(F.desc("date"), F.desc("_touched"))
+    seen = backwards.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bar = F.when(~F.col("_touched"), F.col("date"))
+    return both.withColumn("_next", F.last(bar, ignorenulls=True).over(seen)).where("_touched").drop("_touched")
+
+
+def merged_ranges(ranges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, first, last): the given date ranges, overlapping and adjoining ones of a key made one."""
+    order = Window.partitionBy(*keys).orderBy("first", "last")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    apart = F.coalesce(F.col("first") > F.date_add(F.max("last").over(before), 1), F.lit(True))
+    numbered = ranges.withColumn("_apart", apart.cast("int")).withColumn("_island", F.sum("_apart").over(order))
+    return numbered.groupBy(*keys, "_island").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("_island")
 
 
-def _until(silver: DataFrame, first: DataFrame) -> DataFrame:
-    """Adds ``_to``, the last date a touched symbol's changes can reach.
+def influence(silver: DataFrame, touched: DataFrame) -> DataFrame:
+    """(symbol, first, last): disjoint date ranges in which changes of the touched keys can be seen.
 
-    A close is read by the averages of ``LONG_DAYS`` and, through the return of the next
-    bar, by the deviations of ``VOLATILITY_DAYS`` from that bar on.
+    A close is read by the averages of ``LONG_DAYS`` from its own date on and, through the
+    return of the next bar, by the deviations of ``VOLATILITY_DAYS`` from that bar on.  The
+    next bar may lie behind a long gap, so these are two ranges; those that meet are merged.
     """
-    later = silver.join(first, "symbol").where(F.col("date") > F.col("_last"))
-    following = later.groupBy("symbol").agg(F.min("date").alias("_next"))
-    reach = F.greatest(F.date_add("_last", LONG_DAYS - 1), F.date_add("_next", VOLATILITY_DAYS - 1))
-    return first.join(following, "symbol", "left").withColumn("_to", reach).drop("_next")
+    reach = F.array(
+        F.struct(F.col("date").alias("first"), F.date_add("date", LONG_DAYS - 1).alias("last")),
+        F.struct(F.col("_next").alias("first"), F.date_add("_next", VOLATILITY_DAYS - 1).alias("last")),
+    )
+    ranges = _following(silver, touched.select("symbol", "date").distinct()).select("symbol", F.inline(reach))
+    return merged_ranges(ranges.where("first IS NOT NULL"), ("symbol",))
+
 
+def _with_edge(islands: DataFrame) -> DataFrame:
+    """Adds ``_edge``, the first date the frames of an island read."""
+    return islands.withColumn("_edge", F.date_sub("first", LONG_DAYS - 1))
 
-def _recent(silver: DataFrame, first: DataFrame) -> DataFrame:
-    """Touched symbols' rows from the reach of their frames on; other dates are pruned."""
-    return silver.where(F.col("date") >= first.select(F.min("_edge")).scalar()).join(
-        first, "symbol"
-    ).where(F.col("date") >= F.col("_edge"))
 
+def dates_read(islands: DataFrame) -> list[tuple[dt.date, dt.date]]:
+    """The date ranges that the islands' frames read, over all symbols.
 
-def idle_symbols(silver: DataFrame, touched: DataFrame) -> DataFrame:
-    """Touched symbols whose returns may need a close from before the reach of their frames.
+    They are disjoint, so what is collected is bounded by the calendar.
+    """
+    # By days: a merge of one row per island would gather them all in one task.
+    days = _with_edge(islands).select(F.explode(F.sequence("_edge", "last")).alias("first")).distinct()
+    return [(r["first"], r["last"]) for r in merged_ranges(days.withColumn("last", F.col("first"))).collect()]
+
+
+def idle_islands(silver: DataFrame, islands: DataFrame) -> DataFrame:
+    """The islands whose returns may need a close from before the reach of their frames.
 
     The deviation reads the returns of ``VOLATILITY_DAYS``; a bar between the
     reach of the longest frame and those days is the previous bar of the first.
+    ``silver`` needs no dates but those of ``dates_read``.
     """
-    first = _first_touched(touched)
-    busy = _recent(silver, first).where(
-        F.col("date") < F.date_sub("_from", VOLATILITY_DAYS - 1)
-    )
-    return first.select("symbol").join(busy.select("symbol").distinct(), "symbol", "left_anti")
+    early = F.col("date").between(F.col("_edge"), F.date_sub("first", VOLATILITY_DAYS))
+    busy = silver.select("symbol", "date").join(_with_edge(islands), "symbol").where(early)
+    return islands.join(busy.select("symbol", "first").distinct(), ["symbol", "first"], "left_anti")
+
+
+def gold_islands(
+    recent: DataFrame,
+    past: DataFrame,
+    islands: DataFrame,
+    idle: DataFrame | None = None,
+    average_as: str | None = None,
+    order: Sequence[str] = NEWEST,
+    run_ts: Column | None = None,
+) -> DataFrame:
+    """The analytics rows dated in the islands (symbol, first, last), equal to those of a full run.
+
+    They are computed from ``recent``, the bars from each island's reach on, plus one carried
+    row per island, the last bar before that among ``past``, which only ``lag`` reads.  If the
+    islands that need one are known (``idle_islands``), no other symbol's past is used.  An
+    island stands in the place of its symbol, so islands of one symbol do not mix.
+    """
+    within = F.col("date").between(F.col("_edge"), F.col("last"))
+    mine = recent.join(_with_edge(islands), "symbol").where(within).drop("_edge", "last")
+    before = past.select("symbol", "date", "close").join(_with_edge(islands if idle is None else idle), "symbol")
+    carried = _last_bar(before.where(F.col("date") < F.col("_edge")), ("symbol", "first"))
+    mine = mine.unionByName(carried, allowMissingColumns=True)
+    island = F.struct(F.col("symbol").alias("name"), F.col("first").alias("from"))
+    rows = _with_indicators(mine.withColumn("symbol", island).drop("first"), "calendar", average_as)
+    summary = daily_summary(rows.where(F.col("date") >= F.col("symbol.from")), order)
+    return _stamped(summary.withColumn("symbol", F.col("symbol.name")), run_ts)
 
 
 def gold_tail(
@@ -246,29 +305,18 @@ def gold_tail(
     average_as: str | None = None,
     order: Sequence[str] = NEWEST,
     run_ts: Column | None = None,
-    idle: DataFrame | None = None,
 ) -> DataFrame:
     """Gold rows that change when the (symbol, date) pairs in ``touched`` change.
 
-    For each touched symbol these are its rows from the first touched date to the last one
-    its frames carry a change to; later partitions stay as they are.  They are computed from the longest frame before that date plus one carried
-    row per symbol, the last bar before the frame, which only ``lag`` reads; so
-    the result equals that of a full run even across a long gap.  ``idle`` holds
-    the symbols that need a carried row, if known (``idle_symbols``): then no
-    other symbol's history is used.  With ``frame="rows"`` a frame has no
-    calendar bound and the touched symbols' whole history is read.
+    With calendar frames these are the rows in the islands of ``influence``: their number
+    follows the touched dates, however far apart these lie.  With ``frame="rows"`` a frame has no
+    calendar bound: all rows from a symbol's first touched date on, from its whole history.
     """
-    first = _first_touched(touched)
     if frame == "calendar":
-        first = _until(silver, first)
-        mine = _recent(silver, first).where(F.col("date") <= F.col("_to"))
-        past = silver if idle is None else silver.join(idle, "symbol", "left_semi")
-        past = past.join(first, "symbol").where(F.col("date") < F.col("_edge"))
-        carried = _last_bar(past, ("symbol", "_from"))
-        mine = mine.unionByName(carried, allowMissingColumns=True)
-    else:
-        mine = silver.join(first, "symbol")
-    rows = _with_indicators(mine, frame, average_as).where(F.col("date") >= F.col("_from"))
+        islands = influence(silver, touched)
+        return gold_islands(silver, silver, islands, None, average_as, order, run_ts)
+    first = touched.groupBy("symbol").agg(F.min("date").alias("_from"))
+    rows = _with_indicators(silver.join(first, "symbol"), frame, average_as).where(F.col("date") >= F.col("_from"))
     return _stamped(daily_summary(rows, order), run_ts)
 
 

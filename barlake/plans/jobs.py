@@ -10,10 +10,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from barlake.functions import date_bound, moment
 from barlake.functions.expressions import DateLike
 from barlake.operators.bronze import append_bronze, purge_superseded, with_ingestion
-from barlake.operators.gold import gold_layer, gold_since, gold_tail, idle_symbols
+from barlake.operators.gold import dates_read, gold_islands, gold_layer, gold_since, idle_islands, influence
 from barlake.operators.retention import cut_layer, cutoff_date
 from barlake.operators.silver import KEYS, NEWEST, changed_keys, new_rows, silver_layer
-from barlake.sources.layers import drop_absent, holds_rows, read_layer, replace_keys, write_layer
+from barlake.sources.files import readable, rejected
+from barlake.sources.layers import (
+    date_ranges,
+    drop_absent,
+    holds_rows,
+    read_layer,
+    read_ranges,
+    replace_keys,
+    replace_ranges,
+    write_layer,
+)
 from barlake.sources.scratch import delete_path, path_exists, scratch_path
 
 
@@ -32,12 +42,13 @@ def run_bronze(
 ) -> dict[str, object]:
     """Append landed bars to the raw layer.
 
-    With ``batch_ts`` a run can be retried: bars already loaded under that time are skipped.
+    With ``batch_ts`` a run can be retried: bars already loaded under that time are skipped,
+    and so are rejected records, which have no key and are told by all their columns.
     """
     path, spark = layer_path(paths, "bronze"), bars.sparkSession
     if batch_ts is not None and path_exists(spark, path):
         loaded = read_layer(spark, path).where(F.col("_ingestion_timestamp") == moment(batch_ts))
-        bars = new_rows(loaded, bars)
+        bars = new_rows(loaded, readable(bars)).unionByName(_not_among(rejected(bars), rejected(loaded)))
     return append_bronze(bars, path, batch_ts, partition)
 
 
@@ -133,21 +144,23 @@ def refresh_gold(
 ) -> None:
     """Recompute the analytics rows that changed or removed bars influence, in place.
 
-    ``touched`` holds (symbol, date) and should be a stored table.  The stored rows of a
-    partition that are not recomputed stay; a touched key without a clean row has none here.
+    ``touched`` holds (symbol, date) and should be a stored table.  What is recomputed, and
+    read for it, are the islands of ``influence``: touched dates far apart cost what each of them
+    reaches, not what lies between.  The stored rows of a partition that are not recomputed stay;
+    a touched key without a clean row has none here.
     """
-    if not holds_rows(spark, layer_path(paths, "silver")):
-        replace_keys(spark, layer_path(paths, "gold"), touched, touched.limit(0), f"{staging}/gold", partition)
+    clean, analytics = layer_path(paths, "silver"), layer_path(paths, "gold")
+    if not holds_rows(spark, clean):
+        replace_keys(spark, analytics, touched, touched.limit(0), f"{staging}/gold", partition)
         return
-    tail = f"{staging}/tail"
-    if not path_exists(spark, f"{tail}/_SUCCESS"):
-        silver = read_layer(spark, layer_path(paths, "silver"))
-        idle = idle_symbols(silver, touched)
-        rows = gold_tail(silver, touched, average_as=average_as, idle=idle)
-        rows.write.mode("overwrite").parquet(tail)
-    rows = spark.read.parquet(tail)
-    keys = rows.select(*KEYS).union(touched.select(*KEYS))
-    replace_keys(spark, layer_path(paths, "gold"), keys, rows, f"{staging}/gold", partition)
+    silver = read_layer(spark, clean)
+    islands = influence(silver, touched).persist()  # small, and read several times
+    recent = read_ranges(spark, clean, dates_read(islands))
+    idle = idle_islands(recent, islands)
+    past = recent.limit(0) if idle.isEmpty() else silver
+    rows = gold_islands(recent, past, islands, idle, average_as)
+    replace_ranges(spark, analytics, islands, rows, f"{staging}/gold", partition)
+    islands.unpersist()
 
 
 def run_incremental(
@@ -173,42 +186,31 @@ def run_incremental(
     staging = staging or scratch_path(spark, "incremental")
     bronze, arrived = layer_path(paths, "bronze"), f"{staging}/arrived"
     if not path_exists(spark, f"{arrived}/_SUCCESS"):
-        if write_layer(with_ingestion(bars, batch_ts), arrived, "overwrite", partition)["rows"] == 0:
-            delete_path(spark, staging)
-            return
-    batch = read_layer(spark, arrived)
-    changed = _stored_changes(spark, bronze, batch, bars.columns, newest, f"{staging}/changed")
-    if changed.isEmpty():
+        batch = with_ingestion(bars, batch_ts).persist()
+        _changed_rows(spark, bronze, batch, bars.columns, newest).write.mode("overwrite").parquet(arrived)
+        batch.unpersist()
+    batch = spark.read.parquet(arrived)
+    if batch.isEmpty():
         delete_path(spark, staging)
         return
-    _append_once(spark, bronze, _of_keys(batch, changed), partition)
-    dated = changed.where("date IS NOT NULL AND symbol IS NOT NULL")
-    versions = _of_keys(_in_dates_of(read_layer(spark, bronze), dated), dated)
+    append_once(spark, bronze, batch, partition)
+    dated = readable(batch).select(*KEYS).distinct()
+    versions = _of_keys(read_ranges(spark, bronze, date_ranges(dated)), dated)
     clean = silver_layer(versions, newest=newest)
     replace_keys(spark, layer_path(paths, "silver"), dated, clean, f"{staging}/silver", partition)
     refresh_gold(spark, paths, dated, staging, average_as, partition)
     delete_path(spark, staging)
 
 
-def _stored_changes(
-    spark: SparkSession, bronze: str, batch: DataFrame, bar: Sequence[str], newest: Sequence[str], path: str
+def _changed_rows(
+    spark: SparkSession, bronze: str, batch: DataFrame, bar: Sequence[str], newest: Sequence[str]
 ) -> DataFrame:
-    """The changed keys of a batch, written once: after the append they could not be told any more."""
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        if path_exists(spark, bronze):
-            held = _in_dates_of(read_layer(spark, bronze), batch)
-            values = [c for c in bar if c not in KEYS]
-            changed = changed_keys(held, batch, values, newest=newest)
-        else:
-            changed = batch.select(*KEYS).distinct()
-        changed.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
-def _in_dates_of(table: DataFrame, batch: DataFrame) -> DataFrame:
-    """Rows of the table between the batch's first and last date, and undated ones; others are pruned."""
-    first, last = (batch.select(f("date")).scalar() for f in (F.min, F.max))
-    return table.where(F.col("date").between(first, last) | F.col("date").isNull())
+    """The rows of a batch whose keys the raw layer lacks, or holds with other values."""
+    if not path_exists(spark, bronze):
+        return batch
+    held = read_ranges(spark, bronze, date_ranges(batch), undated=True)
+    values = [c for c in bar if c not in KEYS]
+    return _of_keys(batch, changed_keys(held, batch, values, newest=newest))
 
 
 def _of_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
@@ -216,15 +218,19 @@ def _of_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
     return rows.join(wanted, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in KEYS], "left_semi")
 
 
-def _append_once(spark: SparkSession, bronze: str, rows: DataFrame, partition: str) -> None:
+def _not_among(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows that have no equal in ``known``, in all the columns both have; NULL equals NULL."""
+    shared = [c for c in rows.columns if c in known.columns]
+    known = known.select(*[F.col(c).alias(f"_known_{c}") for c in shared])
+    return rows.join(known, [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in shared], "left_anti")
+
+
+def append_once(spark: SparkSession, bronze: str, rows: DataFrame, partition: str) -> None:
     """Append rows to the raw layer, but for those it holds under the same load time (a resumed run)."""
     if path_exists(spark, bronze):
         stamp = rows.select(F.max("_ingestion_timestamp")).scalar()
-        table = read_layer(spark, bronze)
-        known = table.where(F.col("_ingestion_timestamp") == stamp)
-        shared = [c for c in rows.columns if c in table.columns]
-        known = known.select(*[F.col(c).alias(f"_known_{c}") for c in shared])
-        rows = rows.join(known, [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in shared], "left_anti")
+        held = read_ranges(spark, bronze, date_ranges(rows), undated=True)
+        rows = _not_among(rows, held.where(F.col("_ingestion_timestamp") == stamp))
     write_layer(rows, bronze, "append", partition)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -40,6 +41,7 @@ def read_bars(
             _read_text(spark, files, fmt, options | {"header": True}, _source_schema(rename, names))
             for names, files in _layouts(spark, paths, options).items()
         ]
+        frames = frames or [spark.createDataFrame([], OHLC.add(CORRUPT, StringType()))]  # files without a line
         raw = union_sources([conform(f, OHLC, rename, keep_extra=True) for f in frames])
     elif fmt == "json":
         raw = conform(_read_text(spark, _listed(paths), fmt, options, _source_schema(rename)), OHLC, rename, True)
@@ -70,11 +72,30 @@ def readable(bars: DataFrame) -> DataFrame:
 def _layouts(
     spark: SparkSession, paths: str | Sequence[str], options: Mapping[str, object]
 ) -> dict[tuple[str, ...], list[str]]:
-    """Header -> files that have it; of each file only the first lines are read."""
-    found: dict[tuple[str, ...], list[str]] = {}
+    """Header -> files that have it.
+
+    One distributed pass finds the first line of every file, as a hash; a file of each
+    different one is then opened for its header.  What reaches the driver are the names of the
+    files, which its file index holds anyway.
+    """
+    plain = {k: v for k, v in options.items() if k.lower() in ("linesep", "recursivefilelookup", "pathglobfilter")}
+    lines = spark.read.format("text").options(**plain).load(_listed(paths)).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    )
+    # The first block of a file is read by one task, in order.  The place of a line there and the
+    # line's hash make one fixed-width number, so its minimum is found by hash aggregation.
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).cast("decimal(20,0)")
+    line = F.xxhash64("value").cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")
+    shift = F.lit(str(1 << 64)).cast("decimal(20,0)")
+    first = lines.where("start = 0 AND trim(value) != ''").select("file", (place * shift + line).cast("decimal(38,0)").alias("line"))
+    headers = first.groupBy("file").agg(F.min("line").alias("line")).select("file", (F.col("line") % shift).alias("line"))
+    files: dict[object, list[str]] = {}
+    for row in sorted(headers.collect()):
+        files.setdefault(row["line"], []).append(unquote(row["file"]))
     reader = spark.read.format("csv").options(**options | {"header": True})
-    for file in sorted(spark.read.format("text").load(_listed(paths)).inputFiles()):
-        found.setdefault(tuple(reader.load(file).columns), []).append(file)
+    found: dict[tuple[str, ...], list[str]] = {}
+    for names in files.values():
+        found.setdefault(tuple(reader.load(names[0]).columns), []).extend(names)
     return found
 
 

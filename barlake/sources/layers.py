@@ -12,7 +12,10 @@ partitions, but a concurrent reader may see some replaced and some not.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as dt
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -106,6 +109,42 @@ def read_layer(
     return df if schema is None else df.select(*schema.names)
 
 
+def read_ranges(
+    spark: SparkSession,
+    path: str,
+    ranges: Sequence[tuple[dt.date, dt.date]],
+    undated: bool = False,
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Rows dated in one of the inclusive ranges, and undated ones if wanted.
+
+    The ranges are literals on the partition column, so no other partition is listed or read.
+    """
+    df = spark.read.format(fmt).load(path)
+    day = F.col("date")
+    wanted = [day.between(first, last) for first, last in ranges]
+    if undated:
+        wanted.append(day.isNull())
+    df = df.where(reduce(or_, wanted, F.lit(False)))
+    if MONTH in df.columns:
+        month = F.col(MONTH)
+        months = [month.between(first.replace(day=1), last) for first, last in ranges]
+        df = df.where(reduce(or_, months + [month.isNull()] * undated, F.lit(False))).drop(MONTH)
+    return df
+
+
+def date_ranges(rows: DataFrame) -> list[tuple[dt.date, dt.date]]:
+    """The dates of the rows as runs of neighbouring days: at most one per second day of the calendar."""
+    days = sorted(r[0] for r in rows.where("date IS NOT NULL").select("date").distinct().collect())
+    runs: list[tuple[dt.date, dt.date]] = []
+    for day in days:
+        if runs and day - runs[-1][1] <= dt.timedelta(days=1):
+            runs[-1] = (runs[-1][0], day)
+        else:
+            runs.append((day, day))
+    return runs
+
+
 def replace_keys(
     spark: SparkSession,
     path: str,
@@ -124,25 +163,60 @@ def replace_keys(
     repaired and the rows of a partition dropped midway are not lost.  One writer at a
     time: a replay puts back the rows it merged at first.
     """
+    gone = keys.select(F.col("symbol").alias("_symbol"), F.col("date").alias("_date"))
+    same = (F.col("symbol") == F.col("_symbol")) & (F.col("date") == F.col("_date"))
+    _replace(spark, path, keys, lambda table: table.join(gone, same, "left_anti"), rows, staging, partition, fmt)
+
+
+def replace_ranges(
+    spark: SparkSession,
+    path: str,
+    ranges: DataFrame,
+    rows: DataFrame,
+    staging: str,
+    partition: str = "date",
+    fmt: str = "parquet",
+) -> None:
+    """Replace the rows of each symbol in its date ranges (symbol, first, last) by ``rows``.
+
+    Works as ``replace_keys`` does, with ranges instead of single keys; ``rows`` is computed
+    once, straight into the staged partitions.
+    """
+    gone = ranges.select(F.col("symbol").alias("_symbol"), F.col("first").alias("_first"), F.col("last").alias("_last"))
+    inside = (F.col("symbol") == F.col("_symbol")) & F.col("date").between(F.col("_first"), F.col("_last"))
+    days = ranges.select(F.explode(F.sequence("first", "last")).alias("date"))
+    _replace(spark, path, days, lambda table: table.join(gone, inside, "left_anti"), rows, staging, partition, fmt)
+
+
+def _replace(
+    spark: SparkSession,
+    path: str,
+    dated: DataFrame,
+    surviving: Callable[[DataFrame], DataFrame],
+    rows: DataFrame,
+    staging: str,
+    partition: str,
+    fmt: str,
+) -> None:
     column, merged = _partition_column(partition), f"{staging}/merged"
     # One value per day or month at most, so listing them on the driver is bounded by the
     # calendar; as literals they prune the scan.
     day = F.col("date") if column == "date" else _month_of("date")
-    days = [r[0] for r in keys.select(day.alias("d")).distinct().collect()]
+    days = [r[0] for r in dated.select(day.alias("d")).distinct().collect()]
     if not path_exists(spark, f"{merged}/_SUCCESS"):
         if holds_rows(spark, path):
             table = spark.read.format(fmt).load(path).where(F.col(column).isin(days)).drop(MONTH)
-            gone = keys.select(F.col("symbol").alias("_symbol"), F.col("date").alias("_date"))
-            same = (F.col("symbol") == F.col("_symbol")) & (F.col("date") == F.col("_date"))
-            rows = rows.unionByName(table.join(gone, same, "left_anti"), allowMissingColumns=True)
+            rows = rows.unionByName(surviving(table), allowMissingColumns=True)
         write_layer(rows, merged, "overwrite", partition, fmt)
     kept = set()
     if holds_rows(spark, merged):
         rows = spark.read.format(fmt).load(merged)
         kept = {r[0] for r in rows.select(column).distinct().collect()}
         write_layer(rows.drop(MONTH), path, "replace", partition, fmt)
+    stored = set(child_names(spark, path)) if path_exists(spark, path) else set()
     for value in set(days) - kept:
-        delete_path(spark, f"{path}/{column}={value.isoformat()}")
+        if f"{column}={value.isoformat()}" in stored:
+            delete_path(spark, f"{path}/{column}={value.isoformat()}")
 
 
 def holds_rows(spark: SparkSession, path: str) -> bool:

@@ -18,7 +18,7 @@ from barlake.operators.silver import (
 )
 from barlake.plans.jobs import layer_path, refresh_gold
 from barlake.sources.files import union_sources
-from barlake.sources.layers import holds_rows, read_layer, replace_keys
+from barlake.sources.layers import date_ranges, holds_rows, read_ranges, replace_keys
 from barlake.sources.scratch import delete_path, path_exists
 from barlake.streaming.ingest import AVAILABLE_NOW
 
@@ -43,12 +43,12 @@ def _merge_clean(
         dated = batch.where("symbol IS NOT NULL AND date IS NOT NULL")
         newest_rows(dated, newest=newest).write.mode("overwrite").parquet(arrived)
         rows = spark.read.parquet(arrived)
-        first, last = (rows.select(f("date")).scalar() for f in (F.min, F.max))
+        days = date_ranges(rows)
         keys = rows.select(*[F.col(k).alias(f"_key_{k}") for k in KEYS])
         same = [F.col(k) == F.col(f"_key_{k}") for k in KEYS]
         for table in (path, withdrawn):
             if holds_rows(spark, table):
-                old = read_layer(spark, table).where(F.col("date").between(first, last))
+                old = read_ranges(spark, table, days)
                 rows = union_sources([rows, old.join(keys, same, "left_semi")])
         latest_version(rows, newest=newest).write.mode("overwrite").parquet(chosen)
     rows = spark.read.parquet(chosen)
@@ -106,7 +106,7 @@ def start_gold_refresh(
     """Upsert each micro-batch, then recompute the analytics rows it influences.
 
     Frames and ``lag`` cannot run on a stream, so each batch recomputes, as a
-    batch job, the touched symbols from their first touched date on.
+    batch job, the date ranges of the touched symbols in which a change can be seen.
     """
 
     def refresh(batch: DataFrame, batch_id: int) -> None:

@@ -131,6 +131,12 @@ CORRECTED = BARS + """, corrected AS (
   FROM bars WHERE volume % 41 <> 0
 )""" + _gold_over("corrected")
 
+# Bars after a later load corrected the closes of two days.
+APART = BARS + """, apart AS (
+  SELECT * REPLACE (CASE WHEN date IN (DATE '1995-06-15', DATE '2001-03-05') THEN close * 2 ELSE close END AS close)
+  FROM bars
+)""" + _gold_over("apart")
+
 REMAINING = BARS + ", remaining AS (SELECT * FROM bars WHERE volume % 41 <> 0)" + _gold_over("remaining")
 
 GOLD_COLUMNS = """date, symbol, daily_open, daily_high, daily_low, daily_close, daily_volume,
@@ -207,6 +213,13 @@ GROUP BY date, symbol""",
     "ingest_rejects": _with(
         BARS, "SELECT symbol, count(*) AS rejects FROM bars WHERE volume % 10 = 0 GROUP BY symbol"
     ),
+    "ingest_landed_once": _with(BARS, f"SELECT {BAR} FROM bars"),
+    "ingest_retried": _with(
+        BARS,
+        f"""SELECT {BAR} FROM (
+  SELECT * REPLACE (CASE WHEN volume % 10 <> 0 THEN date END AS date, CASE WHEN volume % 7 <> 0 THEN symbol END AS symbol)
+  FROM bars)""",
+    ),
     "ingest_added_column": _with(
         BARS,
         f"""SELECT {BAR}, CASE WHEN date >= DATE '1998-07-01' THEN CAST(CAST(volume AS BIGINT) AS VARCHAR) END AS lot
@@ -293,6 +306,7 @@ WHERE symbol IS NULL OR close IS NULL""",
     "layers_end_to_end": _with(GOLD, f"SELECT {GOLD_COLUMNS} FROM gold"),
     "incremental_run": _with(GOLD, f"SELECT {GOLD_COLUMNS} FROM gold"),
     "incremental_correction": _with(CORRECTED, f"SELECT {GOLD_COLUMNS} FROM gold"),
+    "incremental_far_apart": _with(APART, f"SELECT {GOLD_COLUMNS} FROM gold"),
     "incremental_late_bar": _with(GOLD, f"SELECT {GOLD_COLUMNS} FROM gold"),
     "rebuild_after_removal": _with(REMAINING, f"SELECT {GOLD_COLUMNS} FROM gold"),
     "full_run_retained": _with(
@@ -372,6 +386,14 @@ FROM gold GROUP BY symbol""",
   CAST(sum(daily_volume) AS BIGINT) AS volume
 FROM gold WHERE date >= DATE '1996-01-01' AND daily_return_pct > 0
 GROUP BY symbol, year(date)""",
+    ),
+    "sql_with_ctes": _with(
+        GOLD + ", " + META,
+        """SELECT symbol, date, daily_close, (SELECT max(sector) FROM updates u WHERE u.symbol = b.symbol) AS sector,
+  (SELECT count(*) FROM gold g WHERE g.symbol = b.symbol AND g.date > b.date) AS later
+FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY daily_close DESC, date) AS place,
+        max(daily_volume) OVER (PARTITION BY symbol) AS most FROM gold) b
+WHERE place <= 3 AND most > 40""",
     ),
     "export_json_rows": _with(
         GOLD,

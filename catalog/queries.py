@@ -28,6 +28,7 @@ from barlake.streaming import (
     start_bar_log,
     start_bronze_append,
     start_gold_refresh,
+    start_landing,
     start_silver_upsert,
 )
 from catalog import tables as t
@@ -122,6 +123,30 @@ def ingest_added_column(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(*_bars_only(found).columns, "lot")
 
 
+def ingest_landed_once(spark: SparkSession, sf: str) -> DataFrame:
+    """Two landings in one folder, the later with other columns; three runs read each file once."""
+    rows, folder = t.bars(spark, sf), scratch_path(spark, "landing")
+    raw, checkpoint, staging = (scratch_path(spark, name) for name in ("landed-raw", "checkpoint", "landed-staging"))
+    ours = {name: theirs for theirs, name in VENDOR.items()}
+    early = rows.where("date < '1998-07-01'")
+    late = rows.where("date >= '1998-07-01'").withColumn("lot", F.col("volume").cast("string"))
+    for landing in (early, late.select(*sorted(late.columns)), None):
+        if landing is not None:
+            landing.withColumnsRenamed(ours).write.mode("append").option("header", True).csv(folder)
+        start_landing(spark, folder, raw, checkpoint, staging, rename=VENDOR, partition="month").awaitTermination()
+    return _bars_only(read_layer(spark, raw))
+
+
+def ingest_retried(spark: SparkSession, sf: str) -> DataFrame:
+    """One load, rejects included, run three times under its load time; the raw layer has it once."""
+    paths = _layer_paths(spark, "retried")
+    spoiled = t.bars(spark, sf).withColumn("date", F.when(F.col("volume") % 10 != 0, F.col("date")))
+    spoiled = spoiled.withColumn("symbol", F.when(F.col("volume") % 7 != 0, F.col("symbol")))
+    for _ in range(3):
+        jobs.run_bronze(spoiled, paths, t.LOADED_AT, "month")
+    return _bars_only(read_layer(spark, paths["bronze"]))
+
+
 def conform_schema(spark: SparkSession, sf: str) -> DataFrame:
     """Raw text in vendor order and spelling onto the declared schema."""
     raw = t.dirty_versions(spark, sf).select(
@@ -277,7 +302,7 @@ def daily_returns(spark: SparkSession, sf: str) -> DataFrame:
 def _average(days: int, frame: str) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
         name = f"ma_{days}"
-        rows = gold.moving_averages(t.bars(spark, sf), frame, t.EXACT, days=(days,))
+        rows = gold.moving_averages(t.bars(spark, sf), frame, days=(days,))
         return rows.select("date", "symbol", "close", name)
 
     return query
@@ -343,6 +368,18 @@ def incremental_correction(spark: SparkSession, sf: str) -> DataFrame:
     return _gold_columns(read_layer(spark, paths["gold"]))
 
 
+def incremental_far_apart(spark: SparkSession, sf: str) -> DataFrame:
+    """All bars, then a run that corrects two days nearly six years apart."""
+    paths, rows = _layer_paths(spark, "apart"), t.bars(spark, sf)
+    _full_run(spark, rows, paths)
+    touched = F.col("date").isin(dt.date(1995, 6, 15), dt.date(2001, 3, 5))
+    corrected = rows.withColumn("close", F.when(touched, F.col("close") * 2).otherwise(F.col("close")))
+    jobs.run_incremental(
+        spark, corrected, paths, t.LOADED_LATER, average_as=t.EXACT, partition="month"
+    )
+    return _gold_columns(read_layer(spark, paths["gold"]))
+
+
 def incremental_late_bar(spark: SparkSession, sf: str) -> DataFrame:
     """A full run without some weeks of one symbol, which then arrive late."""
     paths, rows = _layer_paths(spark, "late"), t.bars(spark, sf)
@@ -450,6 +487,25 @@ def sql_over_gold(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def sql_with_ctes(spark: SparkSession, sf: str) -> DataFrame:
+    """CTEs, a window, a correlated subquery and a name in an expression, over two given tables."""
+    return sql_over_layers(
+        spark,
+        """
+        WITH best AS (
+          SELECT symbol, date, daily_close,
+                 row_number() OVER (PARTITION BY symbol ORDER BY daily_close DESC, date) AS place
+          FROM IDENTIFIER('go' || 'ld')),
+        known AS (SELECT symbol, max(sector) AS sector FROM meta GROUP BY symbol)
+        SELECT best.symbol, best.date, best.daily_close, known.sector,
+               (SELECT count(*) FROM gold g WHERE g.symbol = best.symbol AND g.date > best.date) AS later
+        FROM best LEFT JOIN known ON known.symbol = best.symbol
+        WHERE place <= 3 AND EXISTS (SELECT 1 FROM gold x WHERE x.symbol = best.symbol AND x.daily_volume > 40)
+        """,
+        {"gold": t.gold(spark, sf), "meta": t.metadata(spark, sf)},
+    )
+
+
 def export_json_rows(spark: SparkSession, sf: str) -> DataFrame:
     """All columns as JSON, with their NULLs; doubles as whole ten-thousandths."""
     rows = t.gold(spark, sf)
@@ -662,6 +718,8 @@ QUERIES: dict[str, Query] = {
     "ingest_bars": ingest_bars,
     "ingest_bars_range": ingest_bars_range,
     "ingest_rejects": ingest_rejects,
+    "ingest_landed_once": ingest_landed_once,
+    "ingest_retried": ingest_retried,
     "ingest_added_column": ingest_added_column,
     "conform_schema": conform_schema,
     "union_sources": union_of_sources,
@@ -695,6 +753,7 @@ QUERIES: dict[str, Query] = {
     "incremental_run": incremental_run,
     "incremental_correction": incremental_correction,
     "incremental_late_bar": incremental_late_bar,
+    "incremental_far_apart": incremental_far_apart,
     "rebuild_after_removal": rebuild_after_removal,
     "full_run_retained": full_run_retained,
     "run_metrics": run_metrics,
@@ -709,6 +768,7 @@ QUERIES: dict[str, Query] = {
     "gold_report": gold_report,
     "avg_return_by_symbol": avg_return_by_symbol,
     "sql_over_gold": sql_over_gold,
+    "sql_with_ctes": sql_with_ctes,
     "export_json_rows": export_json_rows,
     "dq_nulls": dq_nulls,
     "dq_schema": dq_schema,

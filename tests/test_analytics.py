@@ -2,8 +2,10 @@
 
 import json
 import statistics
+from fractions import Fraction
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from barlake.functions import grouped_median
@@ -103,13 +105,51 @@ def test_gold_tail_equals_full_run(spark, frame):
     full = gold.gold_layer(silver, frame).where(
         f"(symbol = 'A' AND date >= date'{day(300)}') OR (symbol = 'GAP' AND date >= date'{day(400)}')"
     )
-    assert column(gold.idle_symbols(silver, touched), "symbol", "symbol") == ["GAP"]
-    for idle in (None, gold.idle_symbols(silver, touched)):
-        tail = gold.gold_tail(silver, touched, frame, idle=idle)
+    islands = gold.influence(silver, touched)
+    assert column(gold.idle_islands(silver, islands), "symbol", "symbol") == ["GAP"]
+    tails = [gold.gold_tail(silver, touched, frame)]
+    if frame == "calendar":
+        recent = silver.where(" OR ".join(f"date BETWEEN date'{a}' AND date'{b}'" for a, b in gold.dates_read(islands)))
+        tails.append(gold.gold_islands(recent, silver, islands, gold.idle_islands(recent, islands)))
+    for tail in tails:
         assert same_rows(tail.drop("_gold_timestamp"), full.drop("_gold_timestamp"))
         assert tail.count() == 23
 
 
+def test_islands_follow_the_touched_dates(spark):
+    """Two touched days of 2,500 cost what each of them reaches."""
+    silver = loaded(bars(spark, range(1, 2501), "A").union(bars(spark, [3, 4, 5], "B", days=[0, 900, 1000])))
+    touched = spark.createDataFrame([("A", day(5)), ("A", day(2400)), ("B", day(0))], "symbol string, date date")
+    islands = {tuple(r) for r in gold.influence(silver, touched).collect()}
+    assert islands == {
+        ("A", day(5), day(204)), ("A", day(2400), day(2599)), ("B", day(0), day(199)), ("B", day(900), day(929)),
+    }
+    tail = gold.gold_tail(silver, touched)
+    assert tail.count() == 200 + 100 + 2
+    full = gold.gold_layer(silver).join(tail.select("symbol", "date"), ["symbol", "date"], "left_semi")
+    assert same_rows(tail.drop("_gold_timestamp"), full.drop("_gold_timestamp"))
+
+
+def test_ranges_that_meet_are_merged(spark):
+    rows = [("A", 0, 3), ("A", 4, 5), ("A", 7, 9), ("A", 8, 8), ("B", 1, 1), ("B", 0, 9), (None, 2, 3)]
+    ranges = spark.createDataFrame([(s, day(a), day(b)) for s, a, b in rows], "symbol string, first date, last date")
+    got = {tuple(r) for r in gold.merged_ranges(ranges, ("symbol",)).collect()}
+    assert got == {("A", day(0), day(5)), ("A", day(7), day(9)), ("B", day(0), day(9)), (None, day(2), day(3))}
+
+
+def test_means_are_exact_and_use_running_sums(spark):
+    closes = [0.1, 0.2, 0.3, 1e9, 0.1] * 60
+    rows = gold.moving_averages(loaded(bars(spark, closes)), days=(3,))
+    got = column(rows, "ma_3")
+    want = [float(sum(map(Fraction, map(str, closes[max(0, i - 2) : i + 1])))) / min(i + 1, 3) for i in range(300)]
+    assert got == want
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "unboundedpreceding" in plan.lower() and plan.count("Exchange hashpartitioning") == 1
+    odd = bars(spark, [1, 2, 3, 4]).withColumn("close", F.when(F.col("close") == 2, F.lit(float("nan"))).otherwise(F.col("close")))
+    assert column(gold.moving_averages(odd, "rows", days=(2,)), "ma_2") == [1.0, 1.0, 3.0, 3.5]
+    assert column(gold.moving_averages(odd, days=(2,), min_periods=2), "ma_2") == [None, None, None, 3.5]
+
+
 def test_features(spark):
     df = gold.price_momentum(gold.lag_features(bars(spark, [10, 11, 12, 13, 14, 15]), (1, 5)))
     assert column(df, "close_lag_1") == [None, 10, 11, 12, 13, 14]
@@ -168,6 +208,17 @@ def test_json_and_export(spark, tmp_path):
 
 
 ACCEPTED = [
+    "SELECT * FROM IDENTIFIER('go' || 'ld')",
+    "SELECT symbol, date, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS r FROM gold WINDOW w AS (ORDER BY date)",
+    "SELECT a.symbol FROM gold a JOIN gold b ON a.symbol = b.symbol AND a.date > b.date WHERE EXISTS (SELECT 1 FROM gold c WHERE c.symbol = a.symbol)",
+    "SELECT symbol, max_by(date, daily_close), percentile_approx(daily_close, 0.5), median(daily_volume) FROM gold GROUP BY ROLLUP (symbol)",
+    "SELECT transform(collect_list(daily_close), x -> round(ceil(x) + coalesce(nullif(x, 1), 0), 2)), "
+    "left(max(symbol), 2), to_timestamp('2024-01-01'), date_trunc('month', max(date)), lpad('a', 3, 'b'), CASE WHEN true THEN 1 END FROM gold",
+    "SELECT s, v FROM gold CROSS JOIN (VALUES ('a'), ('b')) AS w(s) LATERAL VIEW explode(array(1, 2)) t AS v WHERE symbol RLIKE '^U' AND date BETWEEN '2024-01-01' AND '2024-02-01'",
+    "SELECT symbol FROM gold UNION SELECT symbol FROM gold EXCEPT SELECT 'x' ORDER BY symbol LIMIT 5 OFFSET 1",
+    "SELECT * FROM (SELECT symbol, daily_close FROM gold) PIVOT (max(daily_close) FOR symbol IN ('UP', 'DOWN'))",
+    "SELECT max(foreign_rows.daily_close) FROM gold AS foreign_rows",
+    "SELECT u.symbol, (SELECT count(*) FROM gold d WHERE d.date = u.date) FROM gold u, LATERAL (SELECT u.daily_close * 2 AS twice)",
     "SELECT symbol, AVG(daily_return_pct) AS avg_return FROM gold GROUP BY symbol LIMIT 10",
     "WITH g AS (SELECT * FROM gold) SELECT count(*) AS n FROM g;",
     "SELECT 1 AS updated_at, 'x' AS insert_note FROM gold",
@@ -175,6 +226,18 @@ ACCEPTED = [
     "SELECT 'reflect(' AS said, g.symbol FROM gold AS g",
 ]
 REJECTED = [
+    "SELECT * FROM IDENTIFIER('foreign_rows')",
+    "SELECT * FROM IDENTIFIER('parquet.`/root/testdata/sf0.001/nation.parquet`')",
+    "SELECT IDENTIFIER('reflect')('java.lang.System', 'getProperty', 'user.home')",
+    "SELECT left(try_reflect('java.lang.System', 'getProperty', 'user.home'), 3) FROM gold",
+    "SELECT filter(array(1), x -> reflect('java.lang.System', 'getProperty', 'user.home') = 'x') FROM gold",
+    "SELECT (SELECT max(java_method('java.lang.System', 'lineSeparator')) FROM gold) FROM gold",
+    "SELECT * FROM gold WHERE symbol IN (SELECT CAST(id AS STRING) FROM global_temp.shared_rows)",
+    "SELECT my_function(symbol) FROM gold",
+    "SELECT input_file_name() FROM gold",
+    "SELECT raise_error(symbol) FROM gold",
+    "SELECT * FROM range(10)",
+    "SELECT 1) UNION ALL (SELECT id FROM foreign_rows",
     "INSERT INTO gold SELECT * FROM gold",
     "CREATE TABLE x AS SELECT 1",
     "DROP VIEW gold",
@@ -203,12 +266,23 @@ def test_sql_accepts_queries(spark, text):
 @pytest.mark.parametrize("text", REJECTED)
 def test_sql_rejects_everything_else(spark, text):
     spark.range(3).createOrReplaceTempView("foreign_rows")
-    with pytest.raises(Exception):
+    spark.range(3).createOrReplaceGlobalTempView("shared_rows")
+    spark.udf.register("my_function", lambda x: x)
+    with pytest.raises((ValueError, AnalysisException)):
         sql_over_layers(spark, text, {"gold": gold_rows(spark)})
     assert not spark.catalog.tableExists("gold")
     assert spark.conf.get("spark.sql.runSQLOnFiles") == "true"
 
 
+def test_sql_leaves_the_callers_views_and_settings_alone(spark):
+    spark.range(7).createOrReplaceTempView("gold")
+    got = sql_over_layers(spark, "SELECT count(*) AS n, date_format(TIMESTAMP '2024-01-01 00:00:00Z', 'HH') AS h FROM gold", {"Gold": gold_rows(spark)})
+    assert one(got) == {"n": gold_rows(spark).count(), "h": "00"} and spark.table("gold").count() == 7
+    joined = got.crossJoin(spark.table("gold"))
+    assert joined.count() == 7  # a result is a table of the caller's session
+    spark.catalog.dropTempView("gold")
+
+
 def test_sql_limit(spark):
     assert sql_over_layers(spark, "SELECT * FROM gold", {"gold": gold_rows(spark)}, 2).count() == 2
 

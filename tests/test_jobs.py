@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from barlake.operators import gold, retention, silver
 from barlake.plans import jobs
 from barlake.sources.files import sample_bars
+from barlake.sources import layers
 from barlake.sources.layers import read_layer, replace_keys, write_layer
 from barlake.sources.scratch import delete_path, path_exists
+from barlake.streaming import landing
 from barlake.streaming import (
     bars_from_stream,
     close_days,
@@ -19,6 +21,7 @@ from barlake.streaming import (
     start_bar_log,
     start_bronze_append,
     start_gold_refresh,
+    start_landing,
     start_silver_upsert,
 )
 from util import LOADED, bars, column, day, loaded, same_rows
@@ -323,3 +326,77 @@ def test_full_run_removes_days_that_fell_away(spark, tmp_path, since):
     jobs.run_gold(spark, paths, since=since)
     days = [r.date.day for r in stored_gold(spark, paths).select("date").distinct().orderBy("date").collect()]
     assert days == [1, 2, 3, 4, 6, 7, 8]
+
+
+def test_refresh_follows_the_touched_days(spark, tmp_path, monkeypatch):
+    """Two corrected days of 700 recompute some 400 rows, read no other month, and take six writes."""
+    rows = bars(spark, range(1, 1201))
+    paths = layer_paths(tmp_path)
+    jobs.run_full(spark, rows, paths, batch_ts=LOADED, partition="month")
+    touched = F.col("date").isin(day(20), day(900))
+    corrected = rows.withColumn("close", F.when(touched, F.col("close") + 5).otherwise(F.col("close")))
+    seen, writes = {}, []
+    island_rows, write = jobs.gold_islands, layers.write_layer
+
+    def counted(recent, *args):
+        out = island_rows(recent, *args)
+        seen.update(read=recent.count(), rows=out.count(), months=recent.select(F.trunc("date", "month")).distinct().count())
+        return out
+
+    def noted(df, path, *args, **kwargs):
+        writes.append(path)
+        return write(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(jobs, "gold_islands", counted)
+    for module in (jobs, layers):
+        monkeypatch.setattr(module, "write_layer", noted)
+    jobs.run_incremental(spark, corrected, paths, LOADED + dt.timedelta(days=1), partition="month")
+    assert seen["rows"] == 400 and seen["read"] <= 399 + 220 and seen["months"] <= 23
+    assert len(writes) == 5  # and the staged batch
+    want = gold.gold_layer(loaded(corrected)).drop("_gold_timestamp")
+    assert same_rows(stored_gold(spark, paths), want)
+
+
+def test_retried_load_repeats_no_reject(spark, tmp_path):
+    paths, rows = layer_paths(tmp_path), bars(spark, [1, 2, 3, 3])
+    rows = rows.withColumn("date", F.when(F.col("close") < 3, F.col("date"))).withColumn("open", F.when(F.col("close") < 3, F.col("open")))
+    rows = rows.withColumn("symbol", F.when(F.col("close") != 2, F.col("symbol")))
+    for _ in range(2):
+        jobs.run_bronze(rows, paths, LOADED)
+    assert read_layer(spark, paths["bronze"]).count() == 4
+    jobs.run_bronze(rows, paths, LOADED + dt.timedelta(days=1))
+    assert read_layer(spark, paths["bronze"]).count() == 8
+
+
+def test_landed_files_are_read_once(spark, tmp_path, monkeypatch):
+    folder, raw = tmp_path / "landed files", str(tmp_path / "raw")
+    folder.mkdir()
+
+    def run():
+        start_landing(spark, str(folder), raw, str(tmp_path / "log"), str(tmp_path / "staging"), partition="month").awaitTermination()
+
+    def held():
+        return sorted((str(r.date), r.symbol, r.close) for r in read_layer(spark, raw).collect()) if path_exists(spark, raw) else []
+
+    (folder / "empty.csv").write_text("")
+    run()
+    assert held() == []
+    (folder / "a.csv").write_text("date,symbol,close\n2024-01-01,A,1\n2024-01-02,A,2\n")
+    (folder / "b.csv").write_text("\nsymbol,close,date,extra\nB,3,2024-01-01,x\n")
+    run()
+    first = [("2024-01-01", "A", 1.0), ("2024-01-01", "B", 3.0), ("2024-01-02", "A", 2.0)]
+    assert held() == first
+    (folder / "c.csv").write_text("date,symbol,close\n2024-01-03,C,4\n")
+
+    def interrupted(*args):
+        append_once(*args)
+        raise RuntimeError("driver lost")
+
+    append_once = landing.append_once
+    with monkeypatch.context() as patch:
+        patch.setattr(landing, "append_once", interrupted)
+        with pytest.raises(Exception):
+            run()
+    run()
+    run()
+    assert held() == [*first, ("2024-01-03", "C", 4.0)]

@@ -85,9 +85,9 @@ def test_tail_equals_full_run_on_random_gaps(spark):
     full = gold.gold_layer(table).drop("_gold_timestamp")
     before = gold.gold_layer(table.join(touched, ["symbol", "date"], "left_anti")).drop("_gold_timestamp")
     changed = full.exceptAll(before).select("symbol", "date")
-    for idle in (None, gold.idle_symbols(table, touched)):
-        tail = gold.gold_tail(table, touched, idle=idle)
-        tail = tail.drop("_gold_timestamp")
+    islands = gold.influence(table, touched)
+    for idle in (None, gold.idle_islands(table, islands)):
+        tail = gold.gold_islands(table, table, islands, idle).drop("_gold_timestamp")
         assert tail.exceptAll(full).isEmpty() and tail.count() < full.join(first, "symbol").where("date >= _from").count()
         assert changed.join(tail, ["symbol", "date"], "left_anti").isEmpty()
 
