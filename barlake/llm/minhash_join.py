@@ -12,14 +12,16 @@ them, but for a chance of below one in a million at the threshold itself and far
   in all others are read off a byte per coordinate that travels with the posting.  (Another
   value has the same byte once in 256 times, which can add a collision and never hides one.)
   Only pairs that reach ``matches``, and whose set sizes allow the similarity, go on.
-* What remains is confirmed on the full sets of shingles.
 
-Groups of copies.  Equal sets are one node from the start.  In each list every node is first
-looked at with the list's centre, the one with the fewest lists of its own.  Confirmed links are
-merged, and then only lists that still hold several components are counted pair by pair, in
-blocks of at most ``block`` nodes a side, over pairs of different components; a pair within a
-component is connected already.  So a group of near copies costs a multiple of its size, no link
-is lost, and what a task emits are pairs above the match threshold, not all pairs of a list.
+What remains is confirmed on the full sets of shingles, family by family: a family is what pairs
+above the match threshold hold together.
+
+Groups of copies.  Equal sets are one node from the start.  Neither a list nor a family gives out
+its pairs: a task follows the pairs from node to node and compares each only with nodes not
+reached yet, so it returns at most one link per node, and in a group of near copies nearly all
+are reached from the first.  Lists of more than ``block`` nodes and families of more than
+``shingles`` shingles are split, and every two parts meet in a task of their own.  No pair is left
+out: one that is not compared is connected already.
 
 Shingles and sets are compared as 64-bit hashes.  Nulls and empty texts have an empty set, link
 with nothing and are their own component.  Rows that repeat are separate rows with the same
@@ -101,94 +103,132 @@ def _signed(width: int, coordinates: int):
     return run
 
 
-def _collide(matches: int):
-    """Task: the pairs whose bytes agree often enough."""
+def reached(count: int, near) -> list[tuple[int, int]]:
+    """Links that connect what ``near`` connects: at most one per member.
 
-    def run(batches):
-        for batch in batches:
-            a, b, left, right = batch.columns
-            if len(batch) == 0:
-                continue
-            left, right = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(len(batch), -1) for c in (left, right))
-            keep = pa.array((left == right).sum(1) >= matches)
-            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(keep)
+    ``near(x, rest)`` tells which of the members ``rest`` are linked with member x; it is asked
+    only for members that nothing has reached yet.
+    """
+    links, rest = [], np.arange(count)
+    while len(rest) > 1:
+        waiting, rest = [int(rest[0])], rest[1:]
+        while waiting and len(rest):
+            x = waiting.pop()
+            hit = near(x, rest)
+            found, rest = rest[hit], rest[~hit]
+            links += [(x, int(y)) for y in found]
+            waiting += found.tolist()
+    return links
 
-    return run
 
+def _edges(node: np.ndarray, links: list[tuple[int, int]]):
+    x, y = np.array(links, int).reshape(-1, 2).T
+    return pa.table({"a": np.minimum(node[x], node[y]), "b": np.maximum(node[x], node[y])})
 
-def _count_lists(matches: int, percent: int):
-    """Group: pairs of different components in the group's lists that collide often enough.
 
-    A group holds whole lists, or two blocks of a long one: then only pairs across them count.
-    """
+def _runs(key: np.ndarray) -> list[tuple[int, int]]:
+    """Start and end of each run of equal neighbours."""
+    starts = np.flatnonzero(np.r_[True, np.diff(key) != 0]) if len(key) else np.empty(0, int)
+    return list(zip(starts.tolist(), [*starts[1:].tolist(), len(key)]))
+
+
+def _collide(matches: int, percent: int):
+    """Group: links between nodes of the group's lists whose bytes agree often enough."""
 
     def run(table):
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        pair, node, n, c, block = (table.column(x).to_numpy() for x in ("pair", "node", "n", "c", "block"))
+        table = table.sort_by([("pair", "ascending"), ("node", "ascending")])
+        pair, node, n = (table.column(x).to_numpy() for x in ("pair", "node", "n"))
         marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(len(node), -1)
-        order = np.lexsort((block, pair))
-        pair, node, n, c, block, marks = (x[order] for x in (pair, node, n, c, block, marks))
-        starts = np.flatnonzero(np.r_[True, np.diff(pair) != 0])
-        found = []
-        for start, end in zip(starts, np.r_[starts[1:], len(pair)]):
-            across = start + int(np.searchsorted(block[start:end], j)) if i != j else None
-            for at in range(start, end if across is None else across):
-                first = at + 1 if across is None else across
-                size, more = n[at], n[first:end]
-                near = (c[first:end] != c[at]) & (100 * np.minimum(size, more) >= percent * np.maximum(size, more))
-                with_ = np.flatnonzero(near)
-                if len(with_):
-                    with_ = with_[(marks[first:end][with_] == marks[at]).sum(1) >= matches] + first
-                    found += [(int(node[at]), int(node[o])) for o in with_]
-        a, b = zip(*found) if found else ((), ())
-        return pa.table({"a": pa.array(map(min, a, b), pa.int64()), "b": pa.array(map(max, a, b), pa.int64())})
+
+        def agree(x, y):
+            size = 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
+            return size & ((marks[x] == marks[y]).sum(1) >= matches)
+
+        runs = _runs(pair)
+        two = np.array([start for start, end in runs if end - start == 2], int)
+        two = two[agree(two, two + 1)]
+        links = list(zip(two.tolist(), (two + 1).tolist()))
+        for start, end in runs:
+            if end - start > 2:
+                found = reached(end - start, lambda x, rest: agree(np.array([start + x]), start + rest))  # noqa: B023
+                links += [(start + x, start + y) for x, y in found]
+        return _edges(node, links)
 
     return run
 
 
+class Common:
+    """How many shingles a set shares with each of some sets, by lists over the latter."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sets, self.sizes, self.held = sets, np.array([len(s) for s in sets]), None
+
+    def _hold(self, members: np.ndarray):
+        flat = np.concatenate([self.sets[m] for m in members])
+        order = np.argsort(flat, kind="stable")
+        self.held, self.values = members, flat[order]
+        self.owners = np.repeat(np.arange(len(members)), self.sizes[members])[order]
+
+    def linked(self, x: int, rest: np.ndarray, percent: int) -> np.ndarray:
+        # Lists are built anew whenever half their members are gone; ``rest`` ascends.
+        if self.held is None or len(rest) * 2 < len(self.held):
+            self._hold(rest)
+        first, last = (np.searchsorted(self.values, self.sets[x], side) for side in ("left", "right"))
+        counts = last - first
+        places = np.repeat(first - np.r_[0, np.cumsum(counts)[:-1]], counts) + np.arange(counts.sum())
+        common = np.bincount(self.owners[places], minlength=len(self.held))[np.searchsorted(self.held, rest)]
+        return 100 * common >= percent * (self.sizes[x] + self.sizes[rest] - common)
+
+
 def _confirm(width: int, percent: int):
-    """Task: the pairs whose full sets reach the similarity."""
+    """Group: links between nodes of the group's families whose full sets reach the similarity."""
 
-    def run(batches):
-        words, last, left = WordHashes(), None, None
-        for batch in batches:
-            a, b, text_a, text_b = batch.columns
-            keep = np.zeros(len(batch), bool)
-            for at, key in enumerate(a.to_pylist()):
-                if key != last:
-                    last, left = key, shingles(words.of(text_a[at].as_py()), width)
-                right = shingles(words.of(text_b[at].as_py()), width)
-                common = len(np.intersect1d(left, right, assume_unique=True))
-                keep[at] = 100 * common >= percent * (len(left) + len(right) - common)
-            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(keep))
+    def run(table):
+        words = WordHashes()
+        table = table.sort_by([("family", "ascending"), ("node", "ascending")])
+        family, node = (table.column(x).to_numpy() for x in ("family", "node"))
+        bodies, links = table.column("body"), []
+        for start, end in _runs(family):
+            common = Common([shingles(words.of(bodies[i].as_py()), width) for i in range(start, end)])
+            found = reached(end - start, lambda x, rest: common.linked(x, rest, percent))  # noqa: B023
+            links += [(start + x, start + y) for x, y in found]
+        return _edges(node, links)
 
     return run
 
 
-def _confirmed(pairs: DataFrame, rows: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs that link; texts are fetched for nodes in a pair only."""
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    holders = sets.join(needed, "node", "left_semi").groupBy("node").agg(F.min("rid").alias("rid"))
-    texts = stored(rows.select("rid", "body").join(holders, "rid").dropDuplicates(["rid"]).select("node", "body"), "texts")
-    full = (
-        pairs.join(texts.select(F.col("node").alias("b"), F.col("body").alias("text_b")), "b")
-        .join(texts.select(F.col("node").alias("a"), F.col("body").alias("text_a")), "a")
-        .select("a", "b", "text_a", "text_b")
-    )
-    return stored(full.mapInArrow(_confirm(width, percent), "a long, b long"), "links")
-
+def _met(rows: DataFrame, key: str, parts: Column, small: int, task, columns: list[str]) -> DataFrame:
+    """The links a task finds in each group of rows with equal ``key``.
 
-def _similar_size(x: Column, y: Column, percent: int) -> Column:
-    return F.least(x, y) * 100 >= F.greatest(x, y) * percent
+    Groups of one part are packed, ``small`` groups of groups in all; of others every two parts meet.
+    """
+    rows = rows.select("node", key, *columns, parts.cast("int").alias("parts"))
+    one = rows.where("parts = 1").select(
+        F.pmod(F.xxhash64(key), F.lit(small)).alias("g"), F.lit(-1).alias("i"), F.lit(-1).alias("j"), key, "node", *columns
+    )
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    many = (
+        rows.where("parts > 1").withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("own != other")
+        .select(F.col(key).alias("g"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), key, "node", *columns)
+    )
+    return one.unionByName(many).groupBy("g", "i", "j").applyInArrow(task, "a long, b long")
 
 
 def near_duplicates(
-    docs: DataFrame, width: int = 2, percent: int = 80, coordinates: int = 64, matches: int = 34, block: int = 2048
+    docs: DataFrame,
+    width: int = 2,
+    percent: int = 80,
+    coordinates: int = 64,
+    matches: int = 34,
+    block: int = 2048,
+    family: int = 1_000_000,
 ) -> DataFrame:
     """(rid, doc_id, n_shingles, component_id, component) per row of ``docs`` (doc_id, text).
 
     ``component_id`` is the least id of a component and null if all its ids are; ``component``
     tells components apart and is null without words.  ``rid`` is the hash of id and text.
+    ``block`` is the nodes of a list, ``family`` the shingles of a family one task takes.
     """
     rows = docs.select(
         F.xxhash64("doc_id", "text").alias("rid"),
@@ -208,43 +248,20 @@ def near_duplicates(
         .withColumn("alone", F.lit(coordinates) - F.count("*").over(of_node))
         .withColumn("place", F.col("alone") + F.row_number().over(of_node.orderBy("length", "pair")))
         .where(F.col("place") <= coordinates - matches + 1)
-        .select("pair", "node", "alone")
+        .select("pair", "node", "length")
     )
     lists = stored(prefix.join(nodes.select("node", "n", "marks"), "node"), "lists")
-
-    centre = lists.groupBy("pair").agg(F.min(F.struct("alone", "n", "node", "marks")).alias("h")).select("pair", "h.*")
-    star = (
-        lists.alias("x").join(centre.alias("h"), "pair")
-        .where((F.col("x.node") != F.col("h.node")) & _similar_size(F.col("x.n"), F.col("h.n"), percent))
-        .select(F.least("x.node", "h.node").alias("a"), F.greatest("x.node", "h.node").alias("b"), "x.marks", "h.marks")
-        .toDF("a", "b", "left", "right")
-        .mapInArrow(_collide(matches), "a long, b long").distinct()
-    )
-    star = stored(star, "star")
-    links = _confirmed(star, rows, sets, width, percent)
-    known = stored(components(links), "known")
-
-    placed = lists.join(known, "node", "left").withColumn("c", F.coalesce("component", "node"))
-    mixed = placed.groupBy("pair").agg(F.count("*").alias("m"), F.min("c").alias("low"), F.max("c").alias("high"))
-    mixed = mixed.where("low < high").select("pair", "m")
-    parts = F.ceil(F.col("m") / block).cast("int")
-    open_ = stored(placed.join(mixed, "pair").select("pair", "node", "n", "marks", "c", parts.alias("parts")), "open")
-    short = open_.where("parts = 1").select(
-        F.pmod(F.xxhash64("pair"), F.lit(_buckets(open_))).alias("g"), F.lit(-1).alias("i"), F.lit(-1).alias("j"), F.lit(-1).alias("block"),
-        "pair", "node", "n", "marks", "c",
-    )
-    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    long_ = (
-        open_.where("parts > 1").withColumn("block", own)
-        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select(
-            F.col("pair").alias("g"), F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block",
-            "pair", "node", "n", "marks", "c",
-        )
-    )
-    cross = short.unionByName(long_).groupBy("g", "i", "j").applyInArrow(_count_lists(matches, percent), "a long, b long")
-    cross = stored(cross.distinct().join(star, ["a", "b"], "left_anti"), "cross")
-    links = links.union(_confirmed(cross, rows, sets, width, percent))
+    parts = F.ceil(F.col("length") / block)
+    met = _met(lists, "pair", parts, _tasks(lists.count(), 50_000), _collide(matches, percent), ["n", "marks"])
+    families = stored(components(met.distinct()), "families").withColumnRenamed("component", "family")
+
+    size = families.join(nodes.select("node", "n"), "node").groupBy("family").agg(F.sum("n").alias("size"))
+    holders = sets.join(families, "node").groupBy("family", "node").agg(F.min("rid").alias("rid"))
+    bodies = rows.select("rid", "body").join(holders, "rid").dropDuplicates(["rid"]).join(size, "family")
+    bodies = stored(bodies.select("family", "node", "body", "size"), "bodies")
+    total = bodies.agg(F.coalesce(F.sum(F.length("body")), F.lit(0))).first()[0]
+    parts = F.ceil(F.col("size") / family)
+    links = _met(bodies, "family", parts, _tasks(total, 4_000_000), _confirm(width, percent), ["body"])
     known = stored(components(links), "known")
 
     least = sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
@@ -260,8 +277,8 @@ def near_duplicates(
     )
 
 
-def _buckets(postings: DataFrame, each: int = 50_000) -> int:
-    return max(12, -(-postings.count() // each))
+def _tasks(amount: int, each: int) -> int:
+    return max(12, -(-amount // each))
 
 
 def op12_minhash_join(spark, sf_dir: str) -> DataFrame:

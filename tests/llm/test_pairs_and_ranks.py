@@ -116,8 +116,8 @@ def near_copies(rng, base, count):
         yield own
 
 
-@pytest.mark.parametrize("block", [2048, 5])
-def test_near_duplicates_against_all_pairs(spark, block):
+@pytest.mark.parametrize("how", [{}, {"block": 5, "family": 100}])
+def test_near_duplicates_against_all_pairs(spark, how):
     rng = np.random.default_rng(5)
     rows = []
     for g in range(10):
@@ -127,19 +127,38 @@ def test_near_duplicates_against_all_pairs(spark, block):
     chain = [f"c{i}" for i in range(60)]
     rows += [[f"d{k}" if i < 3 * k else w for i, w in enumerate(chain)] for k in range(12)]
     rows = [(int(i), " ".join(ws)) for i, ws in zip(rng.permutation(len(rows)), rows)]
-    check(spark, rows, block=block)
+    check(spark, rows, **how)
 
 
-def test_texts_of_stock_passages_emit_few_pairs(spark, monkeypatch):
-    """Unlinked texts that recombine passages meet in every list, but nearly none reaches the match threshold."""
+def test_groups_give_out_no_pairs(spark, monkeypatch):
+    """Unlinked texts that recombine passages meet in every list, but what leaves a task is at most a link per node."""
     rng = np.random.default_rng(6)
     passages = [" ".join(f"p{p}w{i}" for i in range(25)) for p in range(30)]
     rows = [(i, " ".join(passages[p] for p in rng.choice(30, 6, replace=False))) for i in range(200)]
-    emitted = []
-    confirmed = minhash_join._confirmed
-    monkeypatch.setattr(minhash_join, "_confirmed", lambda pairs, *rest: (emitted.append(pairs.count()), confirmed(pairs, *rest))[1])
+    base = [f"b{i}" for i in range(80)]
+    rows += [(1000 + i, " ".join(ws)) for i, ws in enumerate(near_copies(rng, base, 150))]
+    given = []
+    connected = minhash_join.components
+    monkeypatch.setattr(minhash_join, "components", lambda links: (given.append(links.distinct().count()), connected(links))[1])
     check(spark, rows)
-    assert sum(emitted) < 200
+    assert given[1] < 150 and given[0] < 31 * 150
+
+
+def connected(count, pairs):
+    group, pairs = list(range(count)), list(pairs)
+    for _ in range(count):
+        for x, y in pairs:
+            group[x] = group[y] = min(group[x], group[y])
+    return group
+
+
+def test_reached_connects_what_is_near():
+    rng = np.random.default_rng(9)
+    near = rng.random((60, 60)) < 0.02
+    near |= near.T
+    links = minhash_join.reached(60, lambda x, rest: near[x][rest])
+    assert connected(60, links) == connected(60, zip(*np.nonzero(near))) and len(links) < 60
+    assert minhash_join.reached(0, None) == minhash_join.reached(1, None) == []
 
 
 def test_near_duplicates_of_odd_rows(spark):
