@@ -14,13 +14,12 @@ vectors meet in blocks of at most about ``block`` rows, so a cell with a third o
 of one vector repeated, is many tasks.
 
 Components are turned into floor(scale * x); scores are exact integers (computed as doubles
-below 2**53).  Ties go to the smaller id.  Vectors that are null, empty, hold a null or
-non-finite component, or have not the pivots' most common length take no part, nor do rows
-without an id; rows that repeat an id are vectors of their own, but a query never finds a row
+below 2**53).  Ties go to the smaller id.  Vectors that are null, empty, or hold a null or
+non-finite component take no part, nor do rows without an id; shorter vectors count as
+continued by zeros; rows that repeat an id are vectors of their own, but a query never finds a row
 of its own id.  A row that asks repeatedly, with the same id and vector, asks once.  An id
 that asks with several vectors has one answer: each row found counts once, with the best of its
-scores.  (The SQL joins every asking row, so it differs where asking ids repeat.)  Extra
-columns are ignored; empty tables give no rows.
+scores.  Extra columns are ignored; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -119,8 +118,8 @@ def _reach(pivots: np.ndarray, summaries: dict[int, tuple[float, float]]):
             own = np.array(batch.column(2).to_pylist(), int)
             size = np.sqrt((x**2).sum(1))
             bound = x @ pivots[cells].T + size[:, None] * radius[None, :]
-            # A little slack: the bound is rounded, the scores are not.
-            send = (bound * (1 + 1e-9) + 1e-6 >= worst[None, :]) & (own[:, None] != cells[None, :])
+            # A little slack, upwards whatever the sign: the bound is rounded, the scores are not.
+            send = (bound + 1e-9 * np.abs(bound) + 1e-6 >= worst[None, :]) & (own[:, None] != cells[None, :])
             row, to = np.nonzero(send)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array(cells[to].astype(np.int32))],
@@ -171,17 +170,15 @@ def top_k(vectors: DataFrame, queries, k: int = 5, scale: int = 256, pivots: int
     spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     whole = rows.mapInArrow(_integers(scale), "vec_id long, v binary")
-    pivots = max(8, min(pivots, whole.where(queries).count() // 64))
-    sample = whole.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(4 * pivots).collect()
-    sizes = [len(r["v"]) for r in sample]
-    if not sizes:
+    asked, least, most = whole.agg(F.count_if(queries), F.min(F.length("v")), F.max(F.length("v"))).first()
+    if most is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    length = max(sorted(set(sizes)), key=sizes.count)
-    width = length // 8
-    chosen = _first_distinct(_matrix([r["v"] for r in sample if len(r["v"]) == length], width), pivots)
-    cells = stored(
-        whole.where(F.length("v") == length).mapInArrow(_assign(chosen), "vec_id long, v binary, cell int, away double"), "cells"
-    )
+    if least < most:
+        whole = whole.withColumn("v", F.rpad("v", most, F.lit(bytes(1))))
+    pivots, width = max(8, min(pivots, asked // 64)), most // 8
+    sample = whole.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(4 * pivots).collect()
+    chosen = _first_distinct(_matrix([r["v"] for r in sample], width), pivots)
+    cells = stored(whole.mapInArrow(_assign(chosen), "vec_id long, v binary, cell int, away double"), "cells")
     asking = stored(cells.where(queries).dropDuplicates(["vec_id", "v"]), "asking")
     near = stored(_ranked(_join(asking, cells, block, k, width), k, "query_id", "asked"), "near")
     kth = near.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("asked").alias("h"), F.col("score").alias("kth"))
@@ -205,13 +202,14 @@ def op5_voronoi_knn(spark, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+asked AS (SELECT DISTINCT vec_id, e FROM v WHERE vec_id % 50 = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+  SELECT q.vec_id AS query_id, c.row, c.vec_id, max(CAST(list_dot_product(q.e, c.e) AS BIGINT)) AS score
+  FROM asked q JOIN v c ON c.vec_id <> q.vec_id GROUP BY ALL),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """

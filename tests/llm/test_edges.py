@@ -107,6 +107,7 @@ def test_knn_against_brute_force(spark):
     rows += [(1000 + i, [0.5, 0.5, 0.5, 0.5]) for i in range(120)]
     odd = [(None, [1.0] * 4), (2000, None), (2050, [1.0, None, 1.0, 1.0]), (2100, [float("nan")] * 4), (2150, []), (2200, [1.0])]
     table = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>").withColumns({"cell": F.lit(1), "v": F.lit(2)})
+    rows.append((2200, [1.0, 0.0, 0.0, 0.0]))  # a shorter vector goes on with zeros
     ids = np.array([i for i, _ in rows])
     x = np.floor(256 * np.array([v for _, v in rows], np.float32).astype(float))
     want = []
@@ -121,6 +122,28 @@ def test_knn_against_brute_force(spark):
     assert voronoi_knn.top_k(table.where("false"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+@pytest.mark.parametrize("pivots", [8, 64])
+def test_knn_of_negative_scores_with_ties(spark, pivots):
+    """All scores lie far below zero and most are equal: the smaller ids must come from other cells too."""
+    rng = np.random.default_rng(11)
+    rows = [(50 * i, [100.0, float(rng.integers(0, 3))]) for i in range(80)]
+    rows += [(50 * i + 1 + int(j), [-300.0, 0.0] if j % 2 else [-300.0 - 100 * float(rng.integers(0, 3)), float(rng.integers(-2, 1))]) for i in range(80) for j in range(5)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    asked = F.col("vec_id") % 50 == 0
+    far = [r for r in rows if r[0] % 50]
+    got = {}
+    for r in voronoi_knn.top_k(spark.createDataFrame(far + rows[:1], table.schema), asked, scale=1, pivots=pivots, block=32).collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    best = sorted((-int(np.dot(v, rows[0][1])), i) for i, v in far)[:5]
+    assert got == {0: [(i, -s) for s, i in best]} and best[0][0] > 1000
+    got = sorted(map(tuple, voronoi_knn.top_k(table, asked, scale=1, pivots=pivots, block=32).collect()))
+    want = []
+    for q, v in rows[:80]:
+        found = sorted((-int(np.dot(v, x)), i) for i, x in rows if i != q)[:5]
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(found)]
+    assert got == sorted(want)
+
+
 def test_pivots_keep_the_order_of_the_sample():
     x = np.array([[9.0, 1.0], [3.0, 2.0], [9.0, 1.0], [1.0, 5.0], [2.0, 2.0]])
     assert voronoi_knn._first_distinct(x, 3).tolist() == [[9, 1], [3, 2], [1, 5]]
