@@ -18,7 +18,7 @@ from barlake.operators.silver import (
 )
 from barlake.plans.jobs import layer_path, refresh_gold
 from barlake.sources.files import union_sources
-from barlake.sources.layers import date_ranges, holds_rows, read_ranges, replace_keys
+from barlake.sources.layers import date_ranges, holds_rows, read_layer, read_ranges, replace_keys, write_layer
 from barlake.sources.scratch import delete_path, path_exists
 from barlake.streaming.ingest import AVAILABLE_NOW
 
@@ -60,6 +60,28 @@ def _merge_clean(
     return keys
 
 
+def seed_withdrawn(
+    raw: DataFrame,
+    path: str,
+    newest: Sequence[str] = NEWEST,
+    partition: str = "date",
+) -> None:
+    """Record the keys that batch runs withdrew from the clean layer, once.
+
+    They are the keys of the raw layer without a clean row whose newest version is invalid.  A
+    clean layer that has such a record already is left alone, so a stream that starts again
+    does not read the raw layer again.
+    """
+    spark, withdrawn = raw.sparkSession, withdrawn_path(path)
+    if path_exists(spark, f"{withdrawn}/_SUCCESS"):
+        return
+    dated = raw.where("symbol IS NOT NULL AND date IS NOT NULL")
+    if holds_rows(spark, path):
+        clean = read_layer(spark, path).select(*[F.col(k).alias(f"_key_{k}") for k in KEYS])
+        dated = dated.join(clean, [F.col(k) == F.col(f"_key_{k}") for k in KEYS], "left_anti")
+    write_layer(null_rows(newest_rows(dated, newest=newest), CRITICAL), withdrawn, "overwrite", partition)
+
+
 def _forget_previous(batch: DataFrame, staging: str, batch_id: int) -> None:
     """A batch starts only once the one before is committed: its staged rows can go."""
     if batch_id > 0:
@@ -74,12 +96,16 @@ def start_silver_upsert(
     newest: Sequence[str] = NEWEST,
     partition: str = "date",
     trigger: Mapping[str, object] = AVAILABLE_NOW,
+    raw: DataFrame | None = None,
 ) -> StreamingQuery:
     """Merge each micro-batch of raw versions into the clean layer; the newest version wins.
 
     Only the partitions a batch touches are rewritten.  Staging is named by
-    batch id, so a batch interrupted midway is resumed, not applied twice.
+    batch id, so a batch interrupted midway is resumed, not applied twice.  Over a clean layer
+    that batch runs wrote, give the ``raw`` layer they read: keys withdrawn there stay so.
     """
+    if raw is not None:
+        seed_withdrawn(raw, path, newest, partition)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         _forget_previous(batch, staging, batch_id)
@@ -102,12 +128,16 @@ def start_gold_refresh(
     average_as: str | None = None,
     partition: str = "date",
     trigger: Mapping[str, object] = AVAILABLE_NOW,
+    raw: DataFrame | None = None,
 ) -> StreamingQuery:
     """Upsert each micro-batch, then recompute the analytics rows it influences.
 
     Frames and ``lag`` cannot run on a stream, so each batch recomputes, as a
     batch job, the date ranges of the touched symbols in which a change can be seen.
+    ``raw`` is the raw layer, for a clean layer that batch runs wrote.
     """
+    if raw is not None:
+        seed_withdrawn(raw, layer_path(paths, "silver"), newest, partition)
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         _forget_previous(batch, staging, batch_id)

@@ -536,6 +536,7 @@ FROM (SELECT *, close AS adjusted_close FROM event_bars)""",
         EVENT_LATEST + ", valid AS (SELECT * FROM event_latest WHERE event_id % 5 <> 0)" + _gold_over("valid"),
         f"SELECT {GOLD_COLUMNS} FROM gold",
     ),
+    "stream_over_batch_layer": _with(EVENT_LATEST, f"SELECT {BAR} FROM event_latest WHERE event_id % 5 <> 0"),
     "stream_upsert": _with(EVENT_LATEST, f"SELECT {BAR}, event_id FROM event_latest"),
     "stream_gold_tail": _with(
         EVENT_LATEST + _gold_over("event_latest"), f"SELECT {GOLD_COLUMNS} FROM gold"

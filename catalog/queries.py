@@ -711,6 +711,27 @@ def stream_upsert_invalid(spark: SparkSession, sf: str) -> DataFrame:
     return _refreshed_gold(spark, sf, lambda versions: versions.withColumn("close", close))
 
 
+def stream_over_batch_layer(spark: SparkSession, sf: str) -> DataFrame:
+    """A clean layer of batch runs, from all but the oldest third of the versions, and a stream that
+    then brings those: a key whose newest version is invalid stays out of it."""
+    paths = _layer_paths(spark, "over-batch")
+    folder, checkpoint, staging = (scratch_path(spark, name) for name in ("versions", "checkpoint", "over-staging"))
+    close = F.when(F.col("event_id") % 5 != 0, F.col("close"))
+    versions = t.event_versions(t.event_ticks(spark, sf)).withColumn("close", close)
+    early = F.col("_ingestion_timestamp") < F.to_timestamp(F.lit("2024-01-11"))
+    old = F.pmod("event_id", F.lit(3)) == 0
+    write_layer(versions.where(~early | ~old), paths["bronze"], "append", "month")
+    raw = read_layer(spark, paths["bronze"])
+    write_layer(silver.silver_layer(raw, newest=t.EVENT_VERSION_ORDER), paths["silver"], "overwrite", "month")
+    versions.where(early & old).write.parquet(folder)
+    for _ in range(2):
+        late = spark.readStream.schema(versions.schema).parquet(folder)
+        start_silver_upsert(
+            late, paths["silver"], checkpoint, staging, t.EVENT_VERSION_ORDER, "month", raw=raw
+        ).awaitTermination()
+    return _bars_only(read_layer(spark, paths["silver"])).withColumn("volume", F.col("volume").cast("bigint"))
+
+
 QUERIES: dict[str, Query] = {
     "ohlc_bars_ticks": ohlc_bars_ticks,
     "ohlc_bars_events": ohlc_bars_events,
@@ -795,4 +816,5 @@ QUERIES: dict[str, Query] = {
     "stream_upsert": stream_upsert,
     "stream_upsert_invalid": stream_upsert_invalid,
     "stream_gold_tail": stream_gold_tail,
+    "stream_over_batch_layer": stream_over_batch_layer,
 }
