@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import NumericType, StructType
 
 from barlake.functions import any_missing, date_bound, day_between, missing
@@ -163,39 +163,75 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     that many sketches per column, not one per input partition.
     """
     names = list(columns or df.columns)
-    numeric = {n for n in names if isinstance(df.schema[n].dataType, NumericType)}
+    slot = (F.spark_partition_id() % MERGE_SLOTS).alias("_slot")
+    return _profile_of(df.groupBy(slot).agg(*_sketches(df, names)), names)
+
+
+def profile_sketches(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per date: counts, extremes and mergeable sketches of each column.
+
+    Rows without a date are profiled under a date of NULL.
+    """
+    names = [c for c in columns or df.columns if c != "date"]
+    return df.groupBy("date").agg(*_sketches(df, names))
+
+
+def profile_range(
+    sketches: DataFrame, start: DateLike | None = None, end: DateLike | None = None, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """The profile of any range of dates out of stored ``profile_sketches``, without reading the rows again.
+
+    Counts and extremes are exact; distinct values and quartiles have the error of the sketches,
+    however many dates are merged.  With no bound, undated rows are included.
+    """
+    names = list(columns or _profiled(sketches))
+    if start is not None or end is not None:
+        sketches = sketches.where(day_between(start, end))
+    return _profile_of(sketches, names)
+
+
+def _profiled(sketches: DataFrame) -> list[str]:
+    return [c.removeprefix("hll_") for c in sketches.columns if c.startswith("hll_")]
+
+
+def _sketches(df: DataFrame, names: Sequence[str]) -> list[Column]:
+    """Aggregates that can be merged: what the rows of a group say about each column."""
     sketches = [F.count(F.lit(1)).alias("rows")]
-    for i, name in enumerate(names):
+    for name in names:
         value = F.when(~missing(df, name), F.col(name))
         sketches += [
-            F.count_if(missing(df, name)).alias(f"missing_{i}"),
-            F.min(value).alias(f"smallest_{i}"),
-            F.max(value).alias(f"largest_{i}"),
-            F.hll_sketch_agg(F.when(value.isNotNull(), F.xxhash64(value))).alias(f"hll_{i}"),
+            F.count_if(missing(df, name)).alias(f"missing_{name}"),
+            F.min(value).alias(f"smallest_{name}"),
+            F.max(value).alias(f"largest_{name}"),
+            F.hll_sketch_agg(F.when(value.isNotNull(), F.xxhash64(value))).alias(f"hll_{name}"),
         ]
-        if name in numeric:
+        if isinstance(df.schema[name].dataType, NumericType):
             values = F.kll_sketch_agg_double(value.cast("double"), QUARTILE_K)
-            sketches.append(values.alias(f"kll_{i}"))
-    merged = df.groupBy((F.spark_partition_id() % MERGE_SLOTS).alias("_slot")).agg(*sketches)
+            sketches.append(values.alias(f"kll_{name}"))
+    return sketches
+
+
+def _profile_of(sketches: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The profile that rows of ``_sketches`` add up to."""
 
-    def profile(i, name):
-        present = F.sum("rows") - F.sum(f"missing_{i}")
+    def profile(name):
+        present = F.sum("rows") - F.sum(f"missing_{name}")
         quartiles = F.lit(None).cast("array<double>")
-        if name in numeric:
+        if f"kll_{name}" in sketches.columns:
             at = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-            merged_kll = F.kll_merge_agg_double(f"kll_{i}", QUARTILE_K)
+            merged_kll = F.kll_merge_agg_double(f"kll_{name}", QUARTILE_K)
             quartiles = F.when(present > 0, F.kll_sketch_get_quantile_double(merged_kll, at))
         return F.struct(
             F.lit(name).alias("column"),
             F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(f"missing_{i}"), F.lit(0)).alias("missing"),
-            F.min(f"smallest_{i}").cast("string").alias("smallest"),
-            F.max(f"largest_{i}").cast("string").alias("largest"),
-            F.hll_sketch_estimate(F.hll_union_agg(f"hll_{i}")).alias("approx_distinct"),
+            F.coalesce(F.sum(f"missing_{name}"), F.lit(0)).alias("missing"),
+            F.min(f"smallest_{name}").cast("string").alias("smallest"),
+            F.max(f"largest_{name}").cast("string").alias("largest"),
+            F.hll_sketch_estimate(F.hll_union_agg(f"hll_{name}")).alias("approx_distinct"),
             quartiles.alias("approx_quartiles"),
         )
 
-    return _long_form(merged, [profile(i, name) for i, name in enumerate(names)])
+    return _long_form(sketches, [profile(name) for name in names])
 
 
 def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:

@@ -11,18 +11,21 @@ from barlake.functions import date_bound, moment
 from barlake.functions.expressions import DateLike
 from barlake.operators.bronze import append_bronze, purge_superseded, with_ingestion
 from barlake.operators.gold import dates_read, gold_islands, gold_layer, gold_since, idle_islands, influence
+from barlake.operators.quality import profile_sketches
 from barlake.operators.retention import cut_layer, cutoff_date
 from barlake.operators.silver import KEYS, NEWEST, changed_keys, new_rows, silver_layer
 from barlake.sources.files import readable, rejected
 from barlake.sources.layers import (
     date_ranges,
     drop_absent,
+    drop_month,
     holds_rows,
     read_layer,
     read_ranges,
     replace_keys,
     replace_ranges,
     write_layer,
+    write_profile,
 )
 from barlake.sources.scratch import delete_path, path_exists, scratch_path
 
@@ -134,6 +137,38 @@ def run_metrics(spark: SparkSession, written: Mapping[str, Mapping[str, object]]
     )
 
 
+def refresh_profile(
+    spark: SparkSession,
+    layer: str,
+    sketches: str,
+    touched: DataFrame | None = None,
+    columns: Sequence[str] | None = None,
+) -> None:
+    """Bring the stored profile of a layer up to date: one row of sketches per date, in a file per month.
+
+    With ``touched`` (date) only the months of those dates are read and replaced; a month that
+    no longer holds rows is removed.  ``profile_range`` answers from the result.
+    """
+    if touched is None or not path_exists(spark, sketches):
+        rows = read_layer(spark, layer)
+        ranges = None
+    else:
+        # One value per month at most.
+        months = [r[0] for r in touched.where("date IS NOT NULL").select(F.trunc("date", "month").alias("m")).distinct().collect()]
+        ranges = [(m, (m.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)) for m in months]
+        rows = read_ranges(spark, layer, ranges)
+    profiled = profile_sketches(rows, columns)
+    if ranges is None:
+        write_profile(profiled, sketches, "overwrite")
+        return
+    held = profiled.select(F.trunc("date", "month").alias("m")).distinct()
+    kept = {r[0] for r in held.collect()}
+    write_profile(profiled, sketches, "replace")
+    for first, _ in ranges:
+        if first not in kept:
+            drop_month(spark, sketches, first)
+
+
 def refresh_gold(
     spark: SparkSession,
     paths: Mapping[str, str],

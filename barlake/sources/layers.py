@@ -76,6 +76,21 @@ def write_layer(
     return written.get
 
 
+def write_profile(sketches: DataFrame, path: str, mode: str) -> None:
+    """Store rows of one date each, a file per month; ``replace`` replaces the months present."""
+    rows = sketches.withColumn(MONTH, _month_of("date"))
+    out = rows.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, "date").write.partitionBy(MONTH)
+    how = {"overwrite": "static", "replace": "dynamic"}[mode]
+    out.mode("overwrite").option("partitionOverwriteMode", how).parquet(path)
+
+
+def drop_month(spark: SparkSession, path: str, first: dt.date) -> None:
+    """Remove the partition of the month that begins on the given day, if there is one."""
+    target = f"{path}/{MONTH}={first.isoformat()}"
+    if path_exists(spark, target):
+        delete_path(spark, target)
+
+
 def read_layer(
     spark: SparkSession,
     path: str,

@@ -459,6 +459,16 @@ FROM (
   SELECT symbol, CAST(unnest(generate_series(lo, DATE '2001-11-20', INTERVAL 1 DAY)) AS DATE) AS date
   FROM (SELECT symbol, min(date) AS lo FROM bars GROUP BY symbol)
 ) g ANTI JOIN bars ON g.symbol = bars.symbol AND g.date = bars.date""",
+    ),
+    "profile_range": _with(
+        BARS,
+        """, two AS (
+  SELECT symbol, volume, CASE WHEN date NOT IN (DATE '1996-03-05', DATE '1997-06-02') THEN close END AS close
+  FROM bars WHERE date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31')
+SELECT 'symbol' AS column, count(*) AS rows, count(*) - count(symbol) AS missing, NULL::BIGINT AS smallest_e2, NULL::BIGINT AS largest_e2,
+  true AS distinct_near, true AS quartiles_near FROM two
+UNION ALL SELECT 'close', count(*), count(*) - count(close), floor(min(close) * 100 + 0.5)::BIGINT, floor(max(close) * 100 + 0.5)::BIGINT, true, true FROM two
+UNION ALL SELECT 'volume', count(*), count(*) - count(volume), min(volume) * 100, max(volume) * 100, true, true FROM two""",
     ),
     "profile_columns": _with(
         BARS,

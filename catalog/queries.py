@@ -563,6 +563,38 @@ def _layers(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     }
 
 
+def profile_range(spark: SparkSession, sf: str) -> DataFrame:
+    """The profile of two years out of stored sketches, after two days were corrected; approximate
+    values as whether they are within twice the stated error of the sketches."""
+    layer, stored = scratch_path(spark, "profiled"), scratch_path(spark, "sketches")
+    rows, names = t.bars(spark, sf), ("symbol", "close", "volume")
+    write_layer(rows, layer, "overwrite", "month")
+    jobs.refresh_profile(spark, layer, stored, columns=names)
+    touched = F.col("date").isin(dt.date(1996, 3, 5), dt.date(1997, 6, 2))
+    spoiled = rows.withColumn("close", F.when(~touched, F.col("close")))
+    write_layer(spoiled.where("date BETWEEN '1996-03-01' AND '1996-03-31' OR date BETWEEN '1997-06-01' AND '1997-06-30'"), layer, "replace", "month")
+    jobs.refresh_profile(spark, layer, stored, spoiled.where(touched).select("date"), names)
+    found = quality.profile_range(read_layer(spark, stored), "1996-01-01", "1997-12-31")
+    exact = read_layer(spark, layer, "1996-01-01", "1997-12-31").select(*[F.col(c).cast("double") if c != "symbol" else F.col(c) for c in names])
+    q = F.col("_quartiles")
+    truth = [
+        exact.withColumn("_quartiles", found.where(F.col("column") == c).select("approx_quartiles").scalar()).agg(
+            F.lit(c).alias("column"), F.count_distinct(c).alias("distinct"), F.count(c).alias("n"),
+            *[F.count_if(F.col(c).try_cast("double") < q[i]).alias(f"below_{i}") for i in range(3)],
+            *[F.count_if(F.col(c).try_cast("double") <= q[i]).alias(f"to_{i}") for i in range(3)],
+        )
+        for c in names
+    ]
+    checked = found.join(union_sources(truth), "column")
+    near = [(F.col(f"below_{i}") <= F.col("n") * (p + 0.03)) & (F.col(f"to_{i}") >= F.col("n") * (p - 0.03)) for i, p in enumerate((0.25, 0.5, 0.75))]
+    number = lambda c: F.when(F.col("column") != "symbol", F.floor(F.col(c).try_cast("double") * 100 + 0.5))
+    return checked.select(
+        "column", "rows", "missing", number("smallest").alias("smallest_e2"), number("largest").alias("largest_e2"),
+        (F.abs(F.col("approx_distinct") - F.col("distinct")) <= F.col("distinct") * 0.05 + 1).alias("distinct_near"),
+        (F.col("approx_quartiles").isNull() | (near[0] & near[1] & near[2])).alias("quartiles_near"),
+    )
+
+
 def layer_counts(spark: SparkSession, sf: str) -> DataFrame:
     return quality.layer_counts(_layers(spark, sf))
 
@@ -799,6 +831,7 @@ QUERIES: dict[str, Query] = {
     "missing_days": missing_days,
     "missing_days_until": missing_days_until,
     "profile_columns": profile_columns,
+    "profile_range": profile_range,
     "layer_counts": layer_counts,
     "layer_lineage": layer_lineage,
     "symbol_metrics": symbol_metrics,

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from barlake.operators import gold, retention, silver
+from barlake.operators import gold, quality, retention, silver
 from barlake.plans import jobs
 from barlake.sources.files import sample_bars
 from barlake.sources import layers
@@ -400,3 +400,41 @@ def test_landed_files_are_read_once(spark, tmp_path, monkeypatch):
     run()
     run()
     assert held() == [*first, ("2024-01-03", "C", 4.0)]
+
+
+def test_stored_profile_equals_a_profile_of_the_rows(spark, tmp_path):
+    layer, stored = str(tmp_path / "layer"), str(tmp_path / "sketches")
+    rows = bars(spark, range(1, 100)).withColumn("close", F.when(F.col("close") % 7 != 0, F.col("close")))
+    undated = rows.limit(2).withColumn("date", F.lit(None).cast("date"))
+    write_layer(rows.union(undated), layer, "overwrite", "month")
+    jobs.refresh_profile(spark, layer, stored)
+
+    def same(start=None, end=None):
+        got = quality.profile_range(read_layer(spark, stored), start, end).drop("approx_quartiles", "approx_distinct")
+        held = read_layer(spark, layer, start, end)
+        want = quality.profile_columns(held, [c for c in held.columns if c != "date"])
+        return same_rows(got, want.drop("approx_quartiles", "approx_distinct"))
+
+    assert same() and same(day(3), day(50)) and same(day(300), day(400))
+    touched = rows.where(F.col("date").isin(day(40), day(70))).select("date")
+    write_layer(rows.where(F.col("date").between(day(31), day(59))).withColumn("volume", F.lit(5).cast("bigint")), layer, "replace", "month")
+    delete_path(spark, f"{layer}/_month=2024-03-01")
+    jobs.refresh_profile(spark, layer, stored, touched)
+    assert same() and same(day(20), day(90))
+    once = quality.profile_range(read_layer(spark, stored), columns=["close"]).first()
+    assert once.column == "close" and abs(once.approx_distinct - 58) < 3
+
+
+def test_stream_over_a_batch_layer_keeps_withdrawn_keys_out(spark, tmp_path):
+    clean, raw = str(tmp_path / "silver"), loaded(bars(spark, [1, 2, 3]), LOADED)
+    bad = loaded(bars(spark, [9], days=[1]).withColumn("close", F.lit(None).cast("double")), LOADED + dt.timedelta(days=1))
+    raw = raw.unionByName(bad)
+    write_layer(silver.silver_layer(raw), clean, "overwrite", "month")
+    older = loaded(bars(spark, [70, 80], days=[1, 2]), LOADED - dt.timedelta(days=1))
+    newer = loaded(bars(spark, [90], days=[0]), LOADED + dt.timedelta(days=2))
+    folder = str(tmp_path / "late")
+    for late in (older, newer):
+        late.write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(late.schema).parquet(folder)
+        start_silver_upsert(stream, clean, str(tmp_path / "log"), str(tmp_path / "st"), partition="month", raw=raw).awaitTermination()
+    assert column(read_layer(spark, clean), "close") == [90.0, 3.0]
