@@ -4,9 +4,8 @@ The labelled examples are a bounded sample: at most ``sample`` training rows of
 label, those with the least hash of their id.  Everything else covers the whole corpus:
 document frequencies are counted over every text and every text is scored whole.
 
-* Terms are runs of letters (A-Z lower-cased; characters above ASCII count as letters) and
-  their first four to seven letters, which stand for inflected forms.  The index keeps every
-  term of the examples, however rare.  Vectors are (1 + ln tf) * idf * relevance, of length
+* Terms are whole words: runs of letters (A-Z lower-cased; characters above ASCII count as
+  letters).  The index keeps every word of the examples, however rare.  Vectors are (1 + ln tf) * idf * relevance, of length
   one; relevance is 0.1 plus the size of the log ratio of the term's shares among toxic and
   clean examples, a weight that is never 0.  Words that no example has can match none and are
   left out of a text's vector.
@@ -46,31 +45,10 @@ def tokens(body: bytes | None) -> list[bytes]:
     return body.translate(LETTERS).split() if body else []
 
 
-def terms_of(word: bytes) -> list[bytes]:
-    """The word itself and, marked with a star, its beginnings."""
-    letters = word.decode("utf-8", "replace")
-    return [word, *(letters[:n].encode() + b"*" for n in (4, 5, 6, 7) if len(letters) > n)]
-
-
-class ChosenTerms(dict):
-    """Word -> positions of its terms; remembers the first ``limit`` words of a task."""
-
-    def __init__(self, chosen: dict[bytes, int], limit: int = 150_000):
-        super().__init__()
-        self.chosen, self.limit = chosen, limit
-
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
-        found = tuple(self.chosen[t] for t in terms_of(word) if t in self.chosen)
-        if len(self) < self.limit:
-            self[word] = found
-        return found
-
-    def of(self, body: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of a text's terms, ascending, and how often they occur."""
-        found = []
-        for terms in map(self.__getitem__, tokens(body)):
-            found += terms
-        return np.unique(np.array(found, np.int64), return_counts=True)
+def found_in(chosen: dict[bytes, int], body: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of a text's terms, ascending, and how often they occur."""
+    found = [at for at in map(chosen.get, tokens(body)) if at is not None]
+    return np.unique(np.array(found, np.int64), return_counts=True)
 
 
 def _body(docs: DataFrame, *names) -> DataFrame:
@@ -89,8 +67,7 @@ def _terms(batches):
     for batch in batches:
         rows = []
         for body, key, y in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            terms = {t for w in set(tokens(body.as_py())) for t in terms_of(w)}
-            rows.append({"doc_id": key, "y": y, "terms": list(terms)})
+            rows.append({"doc_id": key, "y": y, "terms": list(set(tokens(body.as_py())))})
         yield pa.RecordBatch.from_pylist(rows, _EXAMPLES)
 
 
@@ -103,10 +80,10 @@ def _frequencies(chosen: dict[bytes, int]):
     """Task: in how many texts each term of the examples occurs; the last entry counts texts."""
 
     def run(batches):
-        df, words = np.zeros(len(chosen) + 1, np.int64), ChosenTerms(chosen)
+        df = np.zeros(len(chosen) + 1, np.int64)
         for batch in batches:
             for body in batch.column(0):
-                df[words.of(body.as_py())[0]] += 1
+                df[found_in(chosen, body.as_py())[0]] += 1
             df[-1] += len(batch)
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], names=["term", "df"])
@@ -203,9 +180,8 @@ def _found(chosen: dict[bytes, int]):
     """Task: the index terms of labelled texts and how often they occur."""
 
     def run(batches):
-        words = ChosenTerms(chosen)
         for batch in batches:
-            counts = [words.of(body.as_py()) for body in batch.column(0)]
+            counts = [found_in(chosen, body.as_py()) for body in batch.column(0)]
             done = [pa.array([c[i] for c in counts], pa.list_(pa.int64())) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *done], names=["doc_id", "y", "found", "times"])
 
@@ -287,13 +263,13 @@ def train(
 def _score(shared):
     def run(batches):
         model = pickle.loads(shared.value)
-        words, index = ChosenTerms(model["chosen"]), model.get("index")
+        chosen, index = model["chosen"], model.get("index")
         # Slices keep the matrix of partial scores small.
         for batch in (b.slice(at, 64) for b in batches for at in range(0, len(b), 64)):
             if model["curve"] is None:
                 scores, near = [model["share"]] * len(batch), [[]] * len(batch)
             else:
-                found = index.nearest_each([vector(*words.of(body.as_py()), model["heavy"]) for body in batch.column(0)], model["k"])
+                found = index.nearest_each([vector(*found_in(chosen, body.as_py()), model["heavy"]) for body in batch.column(0)], model["k"])
                 raw = np.array([votes(index, x, model["share"], model["prior"]) for x in found])
                 slope, constant = model["curve"]
                 scores = 1 / (1 + np.exp(-np.clip(slope * raw + constant, -30, 30)))
