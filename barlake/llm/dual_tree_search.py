@@ -250,8 +250,8 @@ def search(
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     items = items.where("item_id IS NOT NULL").groupBy("item_id").agg(F.array_join(F.array_sort(F.collect_set("text")), " ").alias("text"))
     items = stored(items, "items")
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = -(-size // block)
+    size, count = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
+    blocks = min(-(-size // block), count)  # one very long item asks for no empty blocks
     kind = items.schema["item_id"].dataType.simpleString()
     answers = []
     for b in range(blocks):

@@ -195,7 +195,7 @@ def ranked(docs, items, k=20):
     return sorted(out)
 
 
-@pytest.mark.parametrize("how", [{}, {"block": 60, "cells": 100, "sample": 20}, {"sample": 10**6}])
+@pytest.mark.parametrize("how", [{}, {"block": 200_000, "cells": 100, "sample": 20}, {"sample": 10**6}])
 def test_search_against_plain_python(spark, how):
     rng = np.random.default_rng(7)
     docs = list(enumerate(texts(rng, 300, words=200)))
