@@ -14,10 +14,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from barlake.functions import day_between, date_bound
@@ -140,14 +138,22 @@ def read_ranges(
     wanted = [day.between(first, last) for first, last in ranges]
     if undated:
         wanted.append(day.isNull())
-    df = df.where(reduce(or_, wanted, F.lit(False)))
+    df = df.where(_any(wanted))
     if MONTH in df.columns:
         month = F.col(MONTH)
         months = [month.between(first.replace(day=1), last) for first, last in ranges]
-        df = df.where(reduce(or_, months + [month.isNull()] * undated, F.lit(False))).drop(MONTH)
+        df = df.where(_any(months + [month.isNull()] * undated)).drop(MONTH)
     return df
 
 
+def _any(tests: Sequence[Column]) -> Column:
+    """Whether one of the tests holds; halved again and again, as a long chain overflows the analyzer's stack."""
+    if len(tests) < 2:
+        return tests[0] if tests else F.lit(False)
+    half = len(tests) // 2
+    return _any(tests[:half]) | _any(tests[half:])
+
+
 def date_ranges(rows: DataFrame) -> list[tuple[dt.date, dt.date]]:
     """The dates of the rows as runs of neighbouring days: at most one per second day of the calendar."""
     days = sorted(r[0] for r in rows.where("date IS NOT NULL").select("date").distinct().collect())
