@@ -4,21 +4,27 @@ Targets: sources in order of code point, a null source last, weigh ``weights`` i
 share ``epochs`` times all words.  A target stops at ``cap`` times its source's words; the
 excess is shared again by weight until none is above (water filling).
 
-Each source is taken whole as often as its target allows.  The rest of its target is a
-sample of its documents without repeats: a document's rank is its random odds u / (1 - u)
-divided by its inclusion odds p / (1 - p), and the documents of least rank are taken until
-the sample's size, in words, is reached.  Documents are drawn per size class, the largest
-first; what whole documents leave open or take too much is carried to the next class, so a
-source ends within half a document of the smallest class it has enough of.  u is a hash of
-id and text: reruns agree.
-
-A class is never sorted as a whole.  Its words are summed in ``bins`` of equal width in u,
-where the rank is monotone; running sums over the bins find the one in which the sample
-ends, and only that bin's documents are ranked one by one.
+Certain copies come first: each source is taken whole as often as its target allows.  The rest
+of the target, as a share f of the source's words, is a sample without repeats.  A document of
+s words is included with p = min(1, c * s ** favour): longer documents are likelier, and c is
+such that the expected words, the sum of p * s over the source, are f times the source's.
+Documents with p = 1 are certain and taken; the others are ranked by their random odds
+u / (1 - u) divided by their inclusion odds p / (1 - p), and those of least rank are taken
+until the sample's fixed size, in words, is reached.  u is a hash of id and text: reruns
+agree.  ``favour=0`` makes all odds of a source equal.
+
+One border document may be larger than all the rest of a small target, so the draw is
+stratified: size classes are drawn one after another, the largest first, and what the whole
+documents of a class leave open or take too much is carried to the next.  A source ends within
+half a document of the smallest class it has enough of.
+
+A class is never sorted as a whole.  Its words are summed in ``bins`` of the rank r, taken as
+r / (1 + r); running sums over the bins find the one in which the sample ends, and only that
+bin's documents are ranked one by one.
 
 Null and empty texts have size 0 and take nothing; a null source is a source of its own;
-rows that repeat id and text are taken together; extra columns are kept, but for those named
-like the added ones, which are replaced.
+rows that repeat id and text are taken together; extra columns of any name are kept, but for
+those named like the added ones, which are replaced.
 """
 
 from __future__ import annotations
@@ -29,6 +35,7 @@ from barlake.llm.components import stored
 
 WEIGHTS = (5, 2, 1)
 CLASSES = (4096, 1024, 256, 64, 16)
+ADDED = ("size", "source_size", "target", "copies", "taken")
 
 
 def size_of(text: Column) -> Column:
@@ -53,8 +60,33 @@ def targets(sizes: list[tuple[str | None, int]], weights=WEIGHTS, epochs: float
     return out
 
 
+def odds_scale(sizes: DataFrame, wanted: DataFrame, favour: float) -> DataFrame:
+    """(source, scale): c such that min(1, c * size ** favour) gives the wanted words of each source.
+
+    ``sizes`` holds (source, size, words), the words of all documents of a size; ``wanted`` holds
+    (s, open), the words to sample of a source.  If the largest sizes are certain, the others share what
+    these leave; the first size that is not certain then says what c is.  A source has as many
+    sizes as its documents have different lengths, so a window over them is small.
+    """
+    down = Window.partitionBy("source").orderBy(F.desc("size"))
+    above = F.coalesce(F.sum("words").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rest = F.sum("weighted").over(down.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    rows = sizes.join(F.broadcast(wanted), F.col("source").eqNullSafe(F.col("s")))
+    rows = rows.withColumn("weight", F.pow(F.col("size").cast("double"), F.lit(float(favour))))
+    rows = rows.withColumn("weighted", F.col("weight") * F.col("words"))
+    rows = rows.withColumn("scale", (F.col("open") - above) / rest)
+    fits = F.col("scale") * F.col("weight") <= 1
+    return rows.groupBy("source").agg(F.max_by("scale", F.when(fits, F.col("size"))).alias("scale"))
+
+
 def mixed(
-    docs: DataFrame, weights=WEIGHTS, epochs: float = 1.5, cap: float = 2.0, classes=CLASSES, bins: int = 4096
+    docs: DataFrame,
+    weights=WEIGHTS,
+    epochs: float = 1.5,
+    cap: float = 2.0,
+    classes=CLASSES,
+    bins: int = 4096,
+    favour: float = 0.25,
 ) -> DataFrame:
     """``docs`` with size, source_size, target, copies (times taken) and taken (words).
 
@@ -62,34 +94,61 @@ def mixed(
     has weighed.  Everything per document stays in Spark.
     """
     spark = docs.sparkSession
-    docs = docs.drop("source_size", "target", "copies", "taken")
-    rows = docs.withColumn("size", size_of(F.col("text"))).withColumn("_u", _uniform())
-    cls = F.lit(0)
-    for i, least in enumerate(classes):
-        cls = F.when(F.col("size") < least, i + 1).otherwise(cls)
-    rows = rows.withColumn("_class", cls)
-    slim = stored(rows.select("source", "size", "_class", "_u", F.floor(F.col("_u") * bins).cast("int").alias("_bin")), "sizes")
-    binned = stored(slim.groupBy("source", "_class", "_bin").agg(F.sum("size").alias("words")), "bins")
-    sizes = [(r["source"], r["w"]) for r in binned.groupBy("source").agg(F.sum("words").alias("w")).collect()]
+    kept = [c for c in docs.columns if c.lower() not in ADDED]
+    # The given columns wait in a struct, so none of them can clash with those below.
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"),
+        "source",
+        size_of(F.col("text")).alias("size"),
+        _uniform().alias("u"),
+    )
+    slim = stored(rows.select("source", "size", "u"), "sizes")
+    by_size = stored(slim.groupBy("source", "size").agg(F.sum("size").alias("words")), "by-size")
+    sizes = [(r["source"], r["w"]) for r in by_size.groupBy("source").agg(F.sum("words").alias("w")).collect()]
     wanted = targets(sizes, weights, epochs, cap)
     whole = {s: int(wanted[s] // n) if n else 0 for s, n in sizes}
-    part = {s: wanted[s] / n - whole[s] if n else 0.0 for s, n in sizes}
-    carry, cuts = {s: 0.0 for s, _ in sizes}, []
+    open_ = [(s, float(wanted[s] - whole[s] * n)) for s, n in sizes if n and wanted[s] > whole[s] * n]
+    scales = odds_scale(by_size.where("size > 0"), spark.createDataFrame(open_, "s string, open double"), favour)
+    scale = {r["source"]: r["scale"] for r in scales.collect()}
+    plan = spark.createDataFrame(
+        [(s, n, float(wanted[s]), whole[s], scale.get(s)) for s, n in sizes],
+        "plan_source string, source_size long, target double, whole int, scale double",
+    )
+
+    def ranked(table: DataFrame) -> DataFrame:
+        """With what the plan says of the source, the class, p, and the rank's place in 0 to 1."""
+        table = table.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("plan_source")))
+        p = F.least(F.lit(1.0), F.col("scale") * F.pow(F.col("size").cast("double"), F.lit(float(favour))))
+        p = F.when(F.col("scale").isNotNull() & (F.col("size") > 0), p).otherwise(0.0)
+        cls = F.lit(0)
+        for i, least in enumerate(classes):
+            cls = F.when(F.col("size") < least, i + 1).otherwise(cls)
+        table = table.withColumns({"class": cls, "p": p})
+        # r / (1 + r) of the rank r = u / (1 - u) / (p / (1 - p)).
+        against, chosen = F.col("u") * (1 - F.col("p")), F.col("p") * (1 - F.col("u"))
+        table = table.withColumn("place", F.when((F.col("p") > 0) & (F.col("p") < 1), against / (against + chosen)))
+        return table.withColumn("bin", F.least(F.floor(F.col("place") * bins), F.lit(bins - 1)).cast("int"))
+
+    drawn = stored(ranked(slim).where("place IS NOT NULL").select("source", "class", "size", "p", "place", "bin"), "ranked")
+    # Expected words are summed as decimals: the sums, and so reruns, agree whatever the order of addition.
+    expected = F.sum((F.col("p") * F.col("size")).cast("decimal(28,6)")).alias("expected")
+    binned = stored(drawn.groupBy("source", "class", "bin").agg(F.sum("size").alias("words"), expected), "bins")
+    carry, cuts = {s: 0.0 for s in scale}, []
     for k in range(len(classes) + 1):
-        state = [(s, float(part[s]), float(carry[s])) for s in carry if part[s] > 0]
-        for r in _ends(slim, binned, k, bins, spark.createDataFrame(state, "s string, p double, carry double")).collect():
-            carry[r["source"]] = r["share"] - r["words"]
-            cuts.append((r["source"], k, r["cut"]))
-    plan = spark.createDataFrame([(s, n, float(wanted[s]), whole[s]) for s, n in sizes], "ps string, source_size long, target double, _whole int")
-    ends = spark.createDataFrame(cuts, "es string, _k int, _cut double")
+        state = spark.createDataFrame(list(carry.items()), "s string, carry double")
+        for r in _ends(drawn.where(F.col("class") == k), binned.where(F.col("class") == k), bins, state).collect():
+            carry[r["source"]] = r["open"] - r["words"]
+            cuts.append((r["source"], k, r["bin"], r["cut"]))
+    ends = spark.createDataFrame(cuts, "end_source string, end_class int, end_bin int, cut double")
     # Both tables hold a row per source (and class), as collected above: small enough to broadcast.
-    out = rows.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("ps")))
-    out = out.join(F.broadcast(ends), F.col("source").eqNullSafe(F.col("es")) & (F.col("_class") == F.col("_k")), "left")
-    copies = F.col("_whole") + F.coalesce(F.col("_u") <= F.col("_cut"), F.lit(False)).cast("int")
-    out = out.withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(0))
-    added = ("size", "source_size", "target", "copies", "taken")
-    out = out.withColumn("taken", F.col("copies") * F.col("size"))
-    return out.select(*[c for c in docs.columns if c not in added], *added)
+    out = ranked(rows).join(
+        F.broadcast(ends), F.col("source").eqNullSafe(F.col("end_source")) & (F.col("class") == F.col("end_class")), "left"
+    )
+    before = (F.col("bin") < F.col("end_bin")) | ((F.col("bin") == F.col("end_bin")) & (F.col("place") <= F.col("cut")))
+    sampled = (F.col("p") >= 1) | F.coalesce(before, F.lit(False))
+    copies = F.when(F.col("size") > 0, F.col("whole") + sampled.cast("int")).otherwise(0)
+    given = [F.col(f"doc.`{c}`").alias(c) for c in kept]
+    return out.select(*given, "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def _uniform() -> Column:
@@ -97,36 +156,32 @@ def _uniform() -> Column:
     return (F.pmod(F.xxhash64(F.lit(17), "doc_id", "text"), F.lit(1 << 48)) + 0.5) / float(1 << 48)
 
 
-def _ends(slim: DataFrame, binned: DataFrame, k: int, bins: int, state: DataFrame) -> DataFrame:
-    """(source, share, words, cut): where each source's sample from class k ends."""
-    state = F.broadcast(state)
-    table = binned.where(F.col("_class") == k).join(state, F.col("source").eqNullSafe(F.col("s")))
+def _ends(drawn: DataFrame, binned: DataFrame, bins: int, state: DataFrame) -> DataFrame:
+    """(source, open, words, bin, cut): where each source's sample ends in a class.
+
+    The sample is the bins before ``bin`` and, of that one, the places up to ``cut`` (none
+    if null); ``open`` words were wanted, ``words`` are in it.
+    """
+    table = binned.join(F.broadcast(state), F.col("source").eqNullSafe(F.col("s")))
     over = Window.partitionBy("source")
-    running = over.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    table = table.withColumns({
-        "upto": F.sum("words").over(running),
-        "share": F.greatest(F.sum("words").over(over) * F.col("p") + F.col("carry"), F.lit(0.0)),
-        "open": F.sum("words").over(over) * F.col("p") + F.col("carry"),
-    })
-    ends = table.groupBy("source", "p", "share", "open").agg(
-        F.min(F.when(F.col("upto") > F.col("share"), F.col("_bin"))).alias("bin"),
+    running = over.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    table = table.withColumn("open", F.sum("expected").over(over).cast("double") + F.col("carry"))
+    table = table.withColumns({"upto": F.sum("words").over(running), "share": F.greatest(F.col("open"), F.lit(0.0))})
+    ends = table.groupBy("source", "open", "share").agg(
+        F.coalesce(F.min(F.when(F.col("upto") > F.col("share"), F.col("bin"))), F.lit(bins)).alias("bin"),
         F.coalesce(F.max(F.when(F.col("upto") <= F.col("share"), F.col("upto"))), F.lit(0)).alias("before"),
     )
-    border = slim.where(F.col("_class") == k).alias("r").join(
-        F.broadcast(ends.select(F.col("source").alias("s"), "p", "share", "before", "bin")),
-        F.col("r.source").eqNullSafe(F.col("s")) & (F.col("r._bin") == F.col("bin")),
+    border = drawn.select("source", "size", "place", F.col("bin").alias("own")).join(
+        F.broadcast(ends.select(F.col("source").alias("s"), "share", "before", "bin")),
+        F.col("source").eqNullSafe(F.col("s")) & (F.col("own") == F.col("bin")),
     )
-    rank = F.col("_u") / (1 - F.col("_u")) / (F.col("p") / (1 - F.col("p")))
-    upto = F.sum("size").over(Window.partitionBy("s").orderBy(rank).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    by_rank = Window.partitionBy("s").orderBy("place").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     nearer = F.col("before") + F.col("upto") - F.col("size") / 2 <= F.col("share")
-    last = border.withColumn("upto", upto).where(nearer & (F.col("size") > 0)).groupBy("s").agg(
-        F.max("_u").alias("cut"), F.max("upto").alias("more")
+    last = border.withColumn("upto", F.sum("size").over(by_rank)).where(nearer).groupBy("s").agg(
+        F.max("place").alias("cut"), F.max("upto").alias("more")
     )
     return ends.join(last, F.col("source").eqNullSafe(F.col("s")), "left").select(
-        "source",
-        F.col("open").alias("share"),
-        (F.col("before") + F.coalesce("more", F.lit(0))).alias("words"),
-        F.coalesce(F.col("cut"), F.col("bin") / F.lit(float(bins)), F.lit(1.0)).alias("cut"),
+        "source", "open", (F.col("before") + F.coalesce("more", F.lit(0))).alias("words"), "bin", "cut"
     )
 
 
