@@ -28,6 +28,7 @@ from barlake.sources.layers import (
     write_profile,
 )
 from barlake.sources.scratch import delete_path, path_exists, scratch_path
+from barlake.sources.widening import read_widened
 
 
 def layer_path(paths: Mapping[str, str], layer: str) -> str:
@@ -60,10 +61,15 @@ def run_silver(
     paths: Mapping[str, str],
     newest: Sequence[str] = NEWEST,
     partition: str = "date",
+    widen: bool = False,
 ) -> dict[str, object]:
-    """Rebuild the clean layer from the whole raw layer."""
-    rows = silver_layer(read_layer(spark, layer_path(paths, "bronze")), newest=newest)
-    return write_layer(rows, layer_path(paths, "silver"), "overwrite", partition)
+    """Rebuild the clean layer from the whole raw layer.
+
+    ``widen`` reads a raw layer whose loads disagree on columns or their types.
+    """
+    path = layer_path(paths, "bronze")
+    rows = read_widened(spark, path) if widen else read_layer(spark, path)
+    return write_layer(silver_layer(rows, newest=newest), layer_path(paths, "silver"), "overwrite", partition)
 
 
 def run_gold(

@@ -35,6 +35,18 @@ def _month_of(date) -> F.Column:
     return F.trunc(date, "month")
 
 
+def load_metrics(df: DataFrame) -> list[Column]:
+    """What is counted of the rows of a load: all, those without a key, those that pass their checks, first and last date."""
+    checked = "_quality_check_passed"
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("date").isNull() | F.col("symbol").isNull()).alias("rejected"),
+        (F.count_if(checked) if checked in df.columns else F.max(F.lit(None).cast("bigint"))).alias("passed"),
+        F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"),
+    ]
+
+
 def write_layer(
     df: DataFrame,
     path: str,
@@ -56,9 +68,7 @@ def write_layer(
         .sortWithinPartitions(column, "symbol", *(["date"] if column == MONTH else []))
         .observe(  # behind the shuffle, so a map stage that runs again counts nothing twice
             written,
-            F.count(F.lit(1)).alias("rows"),
-            F.min("date").alias("first_date"),
-            F.max("date").alias("last_date"),
+            *load_metrics(df),
         )
     )
     writer = out.write.format(fmt).partitionBy(column)

@@ -318,6 +318,50 @@ LEFT JOIN (SELECT {GOLD_COLUMNS} FROM gold WHERE date >= DATE '2001-11-04' - 30)
         BARS,
         """SELECT layer, count(*) AS rows, min(date) AS first_date, max(date) AS last_date
 FROM bars CROSS JOIN (VALUES ('bronze'), ('silver'), ('gold')) AS layers(layer) GROUP BY layer""",
+    ),
+    "run_history": _with(
+        BARS,
+        """, counted AS (
+  SELECT run_id, count(*) AS bronze_rows, count(*) FILTER (volume % 7 = 0) AS rejected,
+         count(*) FILTER (volume % 7 <> 0) AS silver_rows,
+         count(*) FILTER (volume % 7 <> 0 AND (volume % 5 <> 0 OR volume = 0)) AS passed
+  FROM bars JOIN (VALUES ('run-1', DATE '1996-12-31'), ('run-2', DATE '1998-06-30'), ('run-3', DATE '2100-01-01'))
+    AS runs(run_id, until) ON date <= until
+  GROUP BY run_id
+), rated AS (
+  SELECT run_id, 'done' AS status, bronze_rows, silver_rows, silver_rows AS gold_rows, rejected,
+         CAST(rejected AS DOUBLE) / bronze_rows AS error_rate, CAST(passed AS DOUBLE) / silver_rows AS quality_score
+  FROM counted
+)
+SELECT *, CAST(sum(bronze_rows) OVER (ORDER BY run_id) AS BIGINT) AS loaded_so_far,
+  quality_score - lag(quality_score) OVER (ORDER BY run_id) AS score_change, true AS timed
+FROM rated""",
+    ),
+    # Each row paired with all bars it reads, one by one.
+    "gold_provenance": _with(
+        VERSIONS,
+        f""", newest AS (
+  SELECT date, symbol, loaded FROM versions QUALIFY {NEWEST_VERSION} = 1
+), linked AS (
+  SELECT *, lag(date) OVER (PARTITION BY symbol ORDER BY date) AS date_before,
+         min(date) OVER {_frame(30, "calendar")} AS first_of_30
+  FROM newest
+), reading AS (
+  SELECT r.date, r.symbol, f.date_before AS before_the_30
+  FROM linked r JOIN linked f ON f.symbol = r.symbol AND f.date = r.first_of_30
+)
+SELECT r.date, r.symbol, strftime(min(i.loaded), '%Y-%m-%d %H:%M:%S') AS earliest_load,
+  strftime(max(i.loaded), '%Y-%m-%d %H:%M:%S') AS latest_load, min(i.date) AS first_bar, count(*) AS bars_read
+FROM reading r JOIN newest i ON i.symbol = r.symbol AND i.date <= r.date
+  AND (i.date >= r.date - 199 OR i.date = r.before_the_30)
+GROUP BY r.date, r.symbol""",
+    ),
+    "schema_widening": _with(
+        BARS,
+        """SELECT date, symbol, open, high, low, close, adjusted_close, CAST(volume AS DOUBLE) AS volume,
+  CASE WHEN date < DATE '1997-01-01' THEN CAST(volume AS VARCHAR)
+       WHEN date <= DATE '1998-06-30' THEN 'L' || CAST(volume AS VARCHAR) END AS lot
+FROM bars""",
     ),
     "purge_stored": _with(
         VERSIONS,

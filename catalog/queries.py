@@ -13,13 +13,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barlake.functions import moment
-from barlake.operators import bronze, gold, quality, retention, sector, serving, silver
-from barlake.plans import jobs
+from barlake.operators import bronze, gold, provenance, quality, retention, sector, serving, silver
+from barlake.plans import jobs, runlog
 from barlake.plans.sql import sql_over_layers
 from barlake.schemas import OHLC, conform
 from barlake.sources.files import read_bars, rejected, union_sources
 from barlake.sources.layers import read_layer, write_layer
 from barlake.sources.scratch import scratch_path
+from barlake.sources.widening import read_widened
 from barlake.streaming import (
     bars_from_stream,
     close_days,
@@ -417,6 +418,43 @@ def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.run_metrics(spark, written)
 
 
+def run_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Three logged full runs over a growing landing, some of it without a symbol, some below zero."""
+    paths, log = _layer_paths(spark, "history"), scratch_path(spark, "run-log")
+    landing = t.bars(spark, sf).withColumns({
+        "symbol": F.when(F.col("volume") % 7 != 0, F.col("symbol")),
+        "volume": F.when(F.col("volume") % 5 == 0, -F.col("volume")).otherwise(F.col("volume")),
+    })
+    for n, until in enumerate(("1996-12-31", "1998-06-30", "2100-01-01")):
+        rows, loaded = landing.where(F.col("date") <= until), t.LOADED_AT + dt.timedelta(days=n)
+        full = lambda: jobs.run_full(spark, rows, paths, batch_ts=loaded, average_as=t.EXACT, partition="month")
+        runlog.run_logged(spark, log, f"run-{n + 1}", full)
+    history = runlog.run_history(runlog.read_log(spark, log))
+    return history.withColumn("timed", F.col("seconds") > 0).drop("started", "seconds", "times_as_long")
+
+
+def gold_provenance(spark: SparkSession, sf: str) -> DataFrame:
+    """The loads behind every analytics row over the newest versions, each loaded at a time of its own."""
+    newest = silver.latest_version(t.versions(spark, sf), newest=t.VERSION_ORDER)
+    text = lambda name: F.date_format(name, "yyyy-MM-dd HH:mm:ss")
+    return provenance.gold_provenance(newest).withColumns(
+        {"earliest_load": text("earliest_load"), "latest_load": text("latest_load")}
+    )
+
+
+def schema_widening(spark: SparkSession, sf: str) -> DataFrame:
+    """Three loads of one raw layer: whole numbers became long, then double; lots became text, then fell away."""
+    path, rows = scratch_path(spark, "widened"), t.bars(spark, sf)
+    volume = lambda kind: F.col("volume").cast(kind)
+    early = rows.where("date < '1997-01-01'").withColumn("lot", volume("int")).withColumn("volume", volume("int"))
+    later = rows.where("date BETWEEN '1997-01-01' AND '1998-06-30'")
+    later = later.withColumn("lot", F.concat(F.lit("L"), volume("string"))).withColumn("low", F.col("low").cast("decimal(12,2)"))
+    last = rows.where("date > '1998-06-30'").withColumn("volume", volume("double"))
+    for load in (early, later.select(*sorted(later.columns)), last):
+        write_layer(load, path, "append", "month")
+    return read_widened(spark, path).select(*BAR, "lot")
+
+
 def purge_stored(spark: SparkSession, sf: str) -> DataFrame:
     """Superseded versions removed from the stored raw layer."""
     paths = _layer_paths(spark, "purged")
@@ -810,6 +848,9 @@ QUERIES: dict[str, Query] = {
     "rebuild_after_removal": rebuild_after_removal,
     "full_run_retained": full_run_retained,
     "run_metrics": run_metrics,
+    "run_history": run_history,
+    "gold_provenance": gold_provenance,
+    "schema_widening": schema_widening,
     "purge_stored": purge_stored,
     "gold_since": gold_since,
     "ml_lag_features": ml_lag_features,
