@@ -260,7 +260,9 @@ def train(
     return model | {"chosen": chosen, "heavy": heavy, "index": index, "curve": curve}
 
 
-def _score(shared):
+def _score(shared, first: int):
+    """Task: the columns from ``first`` on, with score and evidence; column 0 is the text."""
+
     def run(batches):
         model = pickle.loads(shared.value)
         chosen, index = model["chosen"], model.get("index")
@@ -269,26 +271,30 @@ def _score(shared):
             if model["curve"] is None:
                 scores, near = [model["share"]] * len(batch), [[]] * len(batch)
             else:
-                found = index.nearest_each([vector(*found_in(chosen, body.as_py()), model["heavy"]) for body in batch.column(0)], model["k"])
+                bodies = batch.column(0).cast(pa.binary())
+                found = index.nearest_each([vector(*found_in(chosen, body.as_py()), model["heavy"]) for body in bodies], model["k"])
                 raw = np.array([votes(index, x, model["share"], model["prior"]) for x in found])
                 slope, constant = model["curve"]
                 scores = 1 / (1 + np.exp(-np.clip(slope * raw + constant, -30, 30)))
                 near = [[int(index.ids[at]) for _, at in x] for x in found]
             done = [pa.array(scores, pa.float64()), pa.array(near, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *done], names=[*batch.schema.names[1:], "score", "evidence"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[first:], *done], names=[*batch.schema.names[first:], "score", "evidence"])
 
     return run
 
 
-def score(docs: DataFrame, model: dict, *names: str) -> DataFrame:
+def score(docs: DataFrame, model: dict, *names: str, text_as: str | None = None) -> DataFrame:
     """The named columns of ``docs`` with score (0 to 1) and evidence (ids of the nearest examples).
 
-    The model that is broadcast holds at most 2 * sample examples with all their terms.
+    ``text_as`` also gives the text back, under this name: a text then travels once, not once
+    to be scored and once to be kept.  The model that is broadcast holds at most 2 * sample
+    examples with all their terms.
     """
-    rows = _body(docs, *names)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
+    rows = _body(docs, *names) if text_as is None else docs.select(F.col("text").alias(text_as), *names)
+    first = 1 if text_as is None else 0
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[first:])
     shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
-    return rows.mapInArrow(_score(shared), f"{schema}, score double, evidence array<bigint>")
+    return rows.mapInArrow(_score(shared, first), f"{schema}, score double, evidence array<bigint>")
 
 
 def op8_toxicity_nearest_examples(spark, sf_dir: str) -> DataFrame:

@@ -175,6 +175,15 @@ def test_toxicity(docs, nothing, spark):
         assert len(got) == size and all(r.score == 0 and r.evidence == [] for r in got)
 
 
+def test_toxicity_gives_the_text_back(docs, spark):
+    labels = spark.createDataFrame([(4, 1, 1), (6, 1, 0), (7, 1, 0), (8, 1, 1)], "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs, labels)
+    with_text = toxicity.score(docs, model, "doc_id", "rid", text_as="body").select("doc_id", "rid", "body", "score", "evidence")
+    without = toxicity.score(docs.withColumn("body", F.col("text")), model, "doc_id", "rid", "body").select(with_text.columns)
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert rows(with_text) == rows(without) and model["curve"] is not None
+
+
 def test_toxicity_keeps_rare_words(spark):
     # A word is in a few texts of its kind only, and nothing else tells the texts apart.
     bad = [(i, f"some plain words {chr(97 + i % 20)}xq here") for i in range(200)]
