@@ -24,8 +24,8 @@ TOXIC_FROM = 0.7
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below 0.7."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    held = docs.select("text", *[F.col(c).alias(f"kept_{c}") for c in docs.columns])
-    scored = toxicity.score(held, model, *held.columns[1:]).where(F.col("score") < TOXIC_FROM)
+    held = docs.select("text", *[F.col(c).alias(f"kept_{c}") for c in docs.columns if c != "text"])
+    scored = toxicity.score(held, model, *held.columns[1:], text_as="kept_text").where(F.col("score") < TOXIC_FROM)
     return scored.select(*[F.col(f"kept_{c}").alias(c) for c in docs.columns])
 
 
