@@ -27,7 +27,7 @@ def append_bronze(
     partition: str = "date",
 ) -> dict[str, object]:
     """Append a batch; columns the table does not have yet are simply stored."""
-    return write_layer(with_ingestion(df, batch_ts), path, "append", partition)
+    return write_layer(with_ingestion(df, batch_ts), path, "append", partition, checks=True)
 
 
 def read_bronze(

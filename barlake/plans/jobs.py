@@ -69,7 +69,7 @@ def run_silver(
     """
     path = layer_path(paths, "bronze")
     rows = read_widened(spark, path) if widen else read_layer(spark, path)
-    return write_layer(silver_layer(rows, newest=newest), layer_path(paths, "silver"), "overwrite", partition)
+    return write_layer(silver_layer(rows, newest=newest), layer_path(paths, "silver"), "overwrite", partition, checks=True)
 
 
 def run_gold(

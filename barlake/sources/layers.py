@@ -53,8 +53,9 @@ def write_layer(
     mode: str,
     partition: str = "date",
     fmt: str = "parquet",
+    checks: bool = False,
 ) -> dict[str, object]:
-    """Write a layer and return what was written, counted by the same job.
+    """Write a layer and return what was written, counted by the same job; with ``checks`` also rejects and passes.
 
     ``mode``: ``append`` adds files, ``overwrite`` replaces the table,
     ``replace`` replaces only the partitions present in ``df``.
@@ -68,7 +69,7 @@ def write_layer(
         .sortWithinPartitions(column, "symbol", *(["date"] if column == MONTH else []))
         .observe(  # behind the shuffle, so a map stage that runs again counts nothing twice
             written,
-            *load_metrics(df),
+            *(load_metrics(df) if checks else [m for i, m in enumerate(load_metrics(df)) if i not in (1, 2)]),
         )
     )
     writer = out.write.format(fmt).partitionBy(column)
