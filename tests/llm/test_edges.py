@@ -262,6 +262,22 @@ def test_wrapper_induction(spark):
     assert wrapper_induction.extract(table.where("false")).count() == 0
 
 
+def test_templates_are_counted_over_all_pages_of_a_host(spark):
+    page = "<title>{}</title><body class=no-{}><div id=top>Our site</div><div class=text>Story {}</div>{}"
+    shop, few = "<div class=shop>Open<br>all day</div>", "<div class=few>Only some have it</div>"
+    pages = [(i, f"http://u:p@H:80/{i}", page.format(i, i, i, shop * (i % 4 != 0) + few * (i % 4 < 2))) for i in range(400)]
+    pages += [(1000 + i, f"http://c/{i}", f"<title>{i}</title><div>copied</div>") for i in range(9)]  # copies make no template
+    pages += [(2000 + i, f"http://t/{i}", f"<div>same</div><div>{i}</div>") for i in range(2)] + [(3000, "http://o/", "<div>alone</div>")]
+    pages += [(4000 + i, f"//[::{i}]/", f"<div>same</div><div>{i}</div>") for i in range(2)]  # two hosts
+    expected = {i: "\n".join([f"Story {i}"] + ["Only some have it"] * (i % 4 < 2)) for i in range(400)}
+    expected |= {1000 + i: "copied" for i in range(9)} | {2000: "0", 2001: "1", 3000: "alone", 4000: "same\n0", 4001: "same\n1"}
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    for rows in (table.repartition(1), table.repartition(7), table.union(table)):
+        got = wrapper_induction.extract(rows).collect()
+        assert len(got) == rows.count() and {r.page_id: r.text for r in got} == expected
+        assert len({(r.page_id, r.text) for r in got}) == len(expected)
+
+
 def test_articles_keep_headings_with_ordinary_words():
     page = (
         "<div class=related><article>other</article></div><article><div class='article-header'><h1>T</h1></div>"
